@@ -13,16 +13,17 @@ SALTS = 64
 
 def estimated_bytes(df: DataFrame) -> int:
     """Size of a frame as the optimizer estimates it, without running anything."""
-    return int(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes().toString())
+    return int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
 
 
 def hot_keys(df: DataFrame, *keys: str, parts: int = HOT_PARTS) -> DataFrame:
     """Keys holding more than 1/parts of the rows of `df`: fewer than `parts` rows.
 
-    Counts combine before the shuffle, and only the key columns are scanned.
+    Counts combine before the shuffle, only the key columns are scanned, and
+    the total is taken from the shuffled counts that Spark reuses.
     """
     counts = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("n"))
-    total = df.agg(F.count(F.lit(1)).alias("n"))
+    total = counts.agg(F.sum("n").alias("n"))
     return counts.filter(F.col("n") * parts > total.scalar()).select(*keys)
 
 
@@ -64,16 +65,20 @@ def lookup_join(
     size: int | None = None,
     limit: int = BROADCAST_LIMIT,
     within: Column | None = None,
+    reduced: bool = False,
     **salting,
 ) -> DataFrame:
     """Join a large frame to a lookup: broadcast up to `limit` bytes, salted beyond it.
 
     `size` is the proven size of the lookup where the caller has one; the
-    optimizer's estimate of the lookup is used otherwise.
+    optimizer's estimate of the lookup is used otherwise. A left side already
+    `reduced` to few rows per key has no hot keys and is joined without salt.
     """
     size = estimated_bytes(lookup) if size is None else size
     if size <= limit:
         return _equi(left, F.broadcast(lookup), on, how, within)
+    if reduced:
+        return _equi(left, lookup, on, how, within)
     return salted_join(left, lookup, on, how, within=within, **salting)
 
 
@@ -88,7 +93,7 @@ def _equi(left, right, on, how, within):
 
 
 def version_in_force(
-    left: DataFrame, dim_customer: DataFrame, columns: list[str], day: str = "order_day", **salting
+    left: DataFrame, dim_customer: DataFrame, columns: list[str], day: str = "order_day", **options
 ) -> DataFrame:
     """Inner join to the customer version valid on `day`.
 
@@ -97,7 +102,7 @@ def version_in_force(
     """
     versions = dim_customer.select("cust_id", "valid_from", "valid_to", *columns)
     within = F.col(day).between(F.col("valid_from"), F.col("valid_to"))
-    return lookup_join(left, versions, ["cust_id"], "inner", within=within, **salting).drop(
+    return lookup_join(left, versions, ["cust_id"], "inner", within=within, **options).drop(
         "valid_from", "valid_to"
     )
 

@@ -7,17 +7,16 @@ from orderloom.schemas import LINE_KEY
 
 
 def typed_orders(raw: DataFrame) -> DataFrame:
-    """Raw text columns plus their typed and normalised forms."""
-    return raw.withColumns(
-        {
-            "cust_id": rules.strip("cust_id"),
-            "status": F.lower(rules.strip("status")),
-            "order_ts": rules.order_timestamp("order_date"),
-            "quantity_num": rules.finite_number("quantity"),
-            "prod_num": F.col("prod_id").try_cast("int"),
-            "order_id_norm": rules.normal_order_id("order_id"),
-        }
-    )
+    """Raw text columns plus their typed and normalised forms, each parsed once."""
+    typed = {
+        "cust_id": rules.strip("cust_id"),
+        "status": F.lower(rules.strip("status")),
+        "order_ts": rules.order_timestamp("order_date"),
+        "quantity_num": rules.finite_number("quantity"),
+        "prod_num": F.col("prod_id").try_cast("int"),
+        "order_id_norm": rules.normal_order_id("order_id"),
+    }
+    return rules.computed_once(raw, [c for c in raw.columns if c not in typed], typed)
 
 
 def flagged_orders(raw: DataFrame) -> DataFrame:

@@ -3,8 +3,24 @@
 from pyspark.sql import types as T
 
 
-def _struct(ddl: str) -> T.StructType:
-    return T.StructType.fromDDL(ddl)
+_TYPES = {
+    "string": T.StringType(),
+    "int": T.IntegerType(),
+    "bigint": T.LongType(),
+    "double": T.DoubleType(),
+    "boolean": T.BooleanType(),
+    "date": T.DateType(),
+    "timestamp_ntz": T.TimestampNTZType(),
+    "amount": T.DecimalType(18, 2),
+    "money": T.DecimalType(18, 4),
+    "rate": T.DecimalType(18, 8),
+}
+
+
+def _struct(columns: str) -> T.StructType:
+    """Schema from "name type" pairs; needs no session, so workers can import this."""
+    pairs = [column.split() for column in columns.split(", ")]
+    return T.StructType([T.StructField(name, _TYPES[kind]) for name, kind in pairs])
 
 
 # Raw CSV inputs. Columns bind by position, so header spelling does not matter.
@@ -51,12 +67,12 @@ DIM_DATE = _struct(
 # Serving types of the mart: money and quantities become fixed-point on load.
 MART_FACT = _struct(
     "order_id string, cust_id string, prod_id int, cat_id int, root_category string, "
-    "order_ts timestamp_ntz, order_day date, quantity decimal(18,2), status string, "
-    "is_revenue_status boolean, currency string, conversion decimal(18,8), "
-    "price decimal(18,2), revenue_usd decimal(18,4)"
+    "order_ts timestamp_ntz, order_day date, quantity amount, status string, "
+    "is_revenue_status boolean, currency string, conversion rate, "
+    "price amount, revenue_usd money"
 )
 MART_PRODUCT = _struct(
-    "prod_id int, cat_id int, prod_name string, price decimal(18,2), currency string, "
+    "prod_id int, cat_id int, prod_name string, price amount, currency string, "
     "category_name string, root_category string"
 )
 
