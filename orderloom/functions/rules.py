@@ -32,12 +32,12 @@ def strip(text) -> Column:
 def normal_order_id(text) -> Column:
     """Letters, dash, number padded to three digits and never cut; null if malformed.
 
-    Prefixing the number with zeros first lets one regex both pad and drop
+    Prefixing the number with zeros first lets one regex strip, pad and drop
     surplus leading zeros: it keeps at least three digits, so a match always
     shortens the text and an unchanged text means there was no match.
     """
-    widened = F.replace(strip(text), F.lit("-"), F.lit("-000"))
-    return F.nullif(F.regexp_replace(widened, r"^([A-Za-z]+)-0*(\d{3,})$", "$1-$2"), widened)
+    widened = F.replace(text, F.lit("-"), F.lit("-000"))
+    return F.nullif(F.regexp_replace(widened, r"^\s*([A-Za-z]+)-0*(\d{3,})\s*$", "$1-$2"), widened)
 
 
 def order_timestamp(text: str) -> Column:
@@ -53,11 +53,9 @@ def order_timestamp(text: str) -> Column:
     )
 
 
-def finite_number(text) -> Column:
-    """Decimal text as double; null for suffixes such as 1d, for NaN and for infinities."""
-    text = F.col(text) if isinstance(text, str) else text
-    number = F.when(text.rlike(r"^[\s0-9+.eE-]+$"), text.try_cast("double"))
-    return F.when(F.abs(number) < F.lit(float("inf")), number)
+def number(text: str) -> Column:
+    """Decimal text as double; null for words and for suffixes such as 1d."""
+    return F.when(F.col(text).rlike(r"^[\s0-9+.eE-]+$"), F.col(text).try_cast("double"))
 
 
 def dq_reason() -> Column:
@@ -68,7 +66,7 @@ def dq_reason() -> Column:
     q = F.col("quantity_num")
     return (
         F.when(F.col("cust_id").isNull() | (F.col("cust_id") == ""), "orphan_customer")
-        .when(q.isNull(), "bad_quantity")
+        .when(q.isNull() | (F.abs(q) == F.lit(float("inf"))), "bad_quantity")
         .when(q <= 0, "non_positive_quantity")
         .when(q != F.rint(q), "fractional_quantity")
         .when(F.col("order_ts").isNull(), "bad_timestamp")

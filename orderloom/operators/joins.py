@@ -1,12 +1,15 @@
 """Joins that stay balanced: checked broadcast, hot-key salting, point in time."""
 
+from collections.abc import Callable
+
 from pyspark.sql import Column, DataFrame, functions as F
 
 # A lookup is broadcast only up to this size as estimated by the optimizer.
 BROADCAST_LIMIT = 32 * 1024 * 1024
 
-# A key is hot when it holds more than 1/HOT_PARTS of the rows, so there are
-# fewer than HOT_PARTS hot keys whatever the data looks like.
+# A key with more rows than HOT_ROWS is hot. Only the HOT_PARTS largest are
+# looked at: any other key holds less than 1/HOT_PARTS of the rows.
+HOT_ROWS = 1_000_000
 HOT_PARTS = 1000
 SALTS = 64
 
@@ -16,15 +19,15 @@ def estimated_bytes(df: DataFrame) -> int:
     return int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
 
 
-def hot_keys(df: DataFrame, *keys: str, parts: int = HOT_PARTS) -> DataFrame:
-    """Keys holding more than 1/parts of the rows of `df`: fewer than `parts` rows.
+def hot_keys(df: DataFrame, *keys: str, rows: int = HOT_ROWS, parts: int = HOT_PARTS) -> list[int]:
+    """Hashes of the keys behind more than `rows` rows, at most `parts` of them.
 
-    Counts combine before the shuffle, only the key columns are scanned, and
-    the total is taken from the shuffled counts that Spark reuses.
+    One job over the key columns alone; counts combine before the shuffle and
+    each task passes on only its largest keys.
     """
-    counts = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("n"))
-    total = counts.agg(F.sum("n").alias("n"))
-    return counts.filter(F.col("n") * parts > total.scalar()).select(*keys)
+    counts = df.groupBy(F.xxhash64(*keys).alias("key")).agg(F.count(F.lit(1)).alias("n"))
+    top = counts.filter(F.col("n") > rows).orderBy(F.desc("n")).limit(parts)
+    return [row["key"] for row in top.collect()]
 
 
 def salted_join(
@@ -32,9 +35,9 @@ def salted_join(
     right: DataFrame,
     on: list[str],
     how: str = "left",
-    spread: list[str] | None = None,
-    hot: DataFrame | None = None,
+    hot: list[int] | None = None,
     within: Column | None = None,
+    spread: list[str] | None = None,
     salts: int = SALTS,
 ) -> DataFrame:
     """Equi join that splits hot keys of `left` over several tasks; the result is exact.
@@ -42,19 +45,22 @@ def salted_join(
     Rows of a hot key get a salt from a hash of their `spread` columns (all
     others by default), and only the `right` rows of hot keys are repeated per
     salt. A hash rather than a random number keeps retried tasks in step.
-    `hot` only steers the balance: any frame of keys gives the same rows, so
-    it may come from an earlier stage. `within` is an extra join condition.
+    `hot` holds key hashes and only steers the balance: any list gives the
+    same rows. Without hot keys this is a plain join. `within` is an extra
+    join condition.
     """
     if how not in ("inner", "left"):
         raise ValueError(f"only inner and left joins can be salted, not {how!r}")
     hot = hot_keys(left, *on) if hot is None else hot
-    marks = F.broadcast(hot.select(*on).distinct().withColumn("_hot", F.lit(True)))
+    if not hot:
+        return _equi(left, right, on, how, within)
+    is_hot = F.xxhash64(*on).isin(hot)
     spread = spread or [c for c in left.columns if c not in on]
-    salt = F.when(F.col("_hot"), F.pmod(F.xxhash64(*spread), F.lit(salts)).cast("int"))
-    left = left.join(marks, on, "left").withColumn("_salt", F.coalesce(salt, F.lit(0))).drop("_hot")
-    every = F.when(F.col("_hot"), F.sequence(F.lit(0), F.lit(salts - 1))).otherwise(F.array(F.lit(0)))
-    right = right.join(marks, on, "left").withColumn("_salt", F.explode(every)).drop("_hot")
-    return _equi(left, right, on + ["_salt"], how, within).drop("_salt")
+    salt = F.when(is_hot, F.pmod(F.xxhash64(*spread), F.lit(salts)).cast("int")).otherwise(F.lit(0))
+    every = F.when(is_hot, F.sequence(F.lit(0), F.lit(salts - 1))).otherwise(F.array(F.lit(0)))
+    left = left.withColumn("_salt", salt)
+    right = right.withColumn("_salt", F.explode(every))
+    return _equi(left, right, [*on, "_salt"], how, within).drop("_salt")
 
 
 def lookup_join(
@@ -66,6 +72,7 @@ def lookup_join(
     limit: int = BROADCAST_LIMIT,
     within: Column | None = None,
     reduced: bool = False,
+    hot: Callable[[], list[int]] | None = None,
     **salting,
 ) -> DataFrame:
     """Join a large frame to a lookup: broadcast up to `limit` bytes, salted beyond it.
@@ -73,13 +80,15 @@ def lookup_join(
     `size` is the proven size of the lookup where the caller has one; the
     optimizer's estimate of the lookup is used otherwise. A left side already
     `reduced` to few rows per key has no hot keys and is joined without salt.
+    `hot` finds the hot keys more cheaply than from `left`, for instance in the
+    raw input; it is called only when salting may be needed.
     """
     size = estimated_bytes(lookup) if size is None else size
     if size <= limit:
         return _equi(left, F.broadcast(lookup), on, how, within)
     if reduced:
         return _equi(left, lookup, on, how, within)
-    return salted_join(left, lookup, on, how, within=within, **salting)
+    return salted_join(left, lookup, on, how, hot() if hot else None, within, **salting)
 
 
 def _equi(left, right, on, how, within):

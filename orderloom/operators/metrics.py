@@ -5,6 +5,8 @@ reduced rows, so a customer or product behind a third of all lines is already
 collapsed when it meets a join.
 """
 
+from collections.abc import Callable
+
 from pyspark.sql import DataFrame, Window, functions as F
 
 from orderloom.operators.joins import lookup_join, version_in_force
@@ -59,7 +61,7 @@ def top_products_by_region(
     top: int = 3,
     product_size: int | None = None,
     customer_size: int | None = None,
-    hot_customers: DataFrame | None = None,
+    hot_customers: Callable[[], list[int]] | None = None,
 ) -> DataFrame:
     """Products ranked by realised revenue within each region, ties kept.
 

@@ -12,9 +12,9 @@ def typed_orders(raw: DataFrame) -> DataFrame:
         "cust_id": rules.strip("cust_id"),
         "status": F.lower(rules.strip("status")),
         "order_ts": rules.order_timestamp("order_date"),
-        "quantity_num": rules.finite_number("quantity"),
+        "quantity_num": rules.number("quantity"),
         "prod_num": F.col("prod_id").try_cast("int"),
-        "order_id_norm": rules.normal_order_id("order_id"),
+        "order_id_norm": rules.normal_order_id(F.col("order_id")),
     }
     return rules.computed_once(raw, [c for c in raw.columns if c not in typed], typed)
 

@@ -7,9 +7,9 @@ and means a lost executor never costs more than the table in work.
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from orderloom.operators import dims, fact, fx, joins, orders, quality
+from orderloom.operators import dims, fact, fx, orders, quality
 from orderloom.operators.load import write_table
-from orderloom.plans.star import Raw
+from orderloom.plans.star import Raw, Star
 from orderloom.schemas import RAW_CATEGORY, RAW_CUSTOMER, RAW_ORDERS, RAW_PRODUCT
 from orderloom.sources import files
 
@@ -79,8 +79,7 @@ def bronze_to_silver(
     write_table(dims.dim_product(raw.products, read("dim_category")), at("dim_product"))
 
     lines = orders.dedup_orders(orders.clean_orders(raw.orders))
-    hot = joins.hot_keys(raw.orders.select(F.col("prod_id").try_cast("int").alias("prod_id")), "prod_id")
-    priced = fact.priced_orders(lines, read("dim_product"), hot=hot)
+    priced = fact.priced_orders(lines, read("dim_product"), hot=Star(raw).hot_products)
     write_table(
         fact.fact_orders(priced, fx.daily_rates(raw.rates)), at("fact_orders"), "order_day", ("cust_id",)
     )

@@ -63,13 +63,10 @@ class Star:
     def product_size(self) -> int:
         return joins.estimated_bytes(self.raw.products)
 
-    @cached_property
-    def hot_products(self) -> DataFrame:
-        ids = self.raw.orders.select(F.col("prod_id").try_cast("int").alias("prod_id"))
-        return joins.hot_keys(ids, "prod_id")
+    def hot_products(self) -> list[int]:
+        return joins.hot_keys(self.raw.orders.select(F.col("prod_id").try_cast("int").alias("prod_id")), "prod_id")
 
-    @cached_property
-    def hot_customers(self) -> DataFrame:
+    def hot_customers(self) -> list[int]:
         ids = self.raw.orders.select(rules.strip("cust_id").alias("cust_id"))
         return joins.hot_keys(ids, "cust_id")
 

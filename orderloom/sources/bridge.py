@@ -3,15 +3,22 @@
 Faults are planted by key arithmetic so that every rule has rows to catch.
 """
 
-from functools import cached_property
+from functools import cached_property, lru_cache
 
-from pyspark.sql import Column, DataFrame, SparkSession, functions as F
+from pyspark.sql import Column, DataFrame, SparkSession, functions as F, types as T
 
 from orderloom.operators.joins import estimated_bytes
 
 
+@lru_cache
+def _schema(spark: SparkSession, path: str) -> T.StructType:
+    return spark.read.parquet(path).schema
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir}/{name}.parquet")
+    """A driver table; its schema is read from the files once per session."""
+    path = f"{sf_dir}/{name}.parquet"
+    return spark.read.schema(_schema(spark, path)).parquet(path)
 
 
 def _every(key: str, n: int) -> Column:
