@@ -25,10 +25,10 @@ def write_csv(df: DataFrame, path: str) -> None:
 
 
 def write_rates(rates: DataFrame, path: str) -> None:
-    """One JSON array per year and currency, spread over lines as a hand-made file would be."""
+    """One JSON array, and so one file, per year and currency."""
     entry = F.struct(F.col("fx_date").cast("string").alias("date"), "currency", "conversion")
     arrays = rates.groupBy(F.year("fx_date").alias("year"), "currency").agg(
-        F.to_json(F.collect_list(entry), {"pretty": "true"}).alias("value")
+        F.to_json(F.collect_list(entry)).alias("value")
     )
     arrays.select("value", "year", F.col("currency").alias("ccy")).write.partitionBy("year", "ccy").text(path)
 
