@@ -29,15 +29,18 @@ def _slashed(day: str) -> Column:
     return F.concat_ws("/", F.month(day), F.dayofmonth(day), F.year(day))
 
 
-def spread(df: DataFrame, *keys: str) -> DataFrame:
-    """Rows over all cores when the table is too small for the reader to split that far.
+def spread(df: DataFrame, source: DataFrame) -> DataFrame:
+    """Rows over all cores when `source` is too small for the reader to split that far.
 
     A table with enough splits for every core is passed through unchanged.
     """
     spark = df.sparkSession
     cores = spark.sparkContext.defaultParallelism
     split = int(spark.conf.get("spark.sql.files.maxPartitionBytes").rstrip("b"))
-    return df.repartition(cores, *keys) if estimated_bytes(df) < cores * split else df
+    return df.repartition(cores, *df.columns) if estimated_bytes(source) < cores * split else df
+
+
+LINE_COLUMNS = ["l_orderkey", "l_partkey", "l_linenumber", "l_quantity"]
 
 
 def order_lines(lineitem: DataFrame, orders: DataFrame) -> DataFrame:
@@ -64,8 +67,8 @@ def order_lines(lineitem: DataFrame, orders: DataFrame) -> DataFrame:
 
 
 def raw_orders(spark: SparkSession, sf_dir: str) -> DataFrame:
-    lines = table(spark, sf_dir, "lineitem").select("l_orderkey", "l_partkey", "l_linenumber", "l_quantity")
-    return order_lines(spread(lines, *lines.columns), table(spark, sf_dir, "orders"))
+    lineitem = table(spark, sf_dir, "lineitem").select(LINE_COLUMNS)
+    return order_lines(spread(lineitem, lineitem), table(spark, sf_dir, "orders"))
 
 
 def raw_products(spark: SparkSession, sf_dir: str) -> DataFrame:

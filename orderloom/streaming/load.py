@@ -26,12 +26,12 @@ def stream_incremental_load(
 
     def append(batch: DataFrame, batch_id: int) -> None:
         load = f"{stream_id(batch.sparkSession, checkpoint)}-{batch_id}"
-        rows = one_per_key(conform(batch, MART_FACT), LINE_KEY)
+        rows = conform(batch, MART_FACT)
         if partition_by not in rows.columns:
             rows = rows.withColumn(partition_by, F.date_format("order_day", "yyyy-MM"))
         rows = rows.persist()
         try:
-            land_once(rows, target, load, LINE_KEY, partition_by)
+            land_once(rows, target, load, LINE_KEY, partition_by, lambda df: one_per_key(df, LINE_KEY))
         finally:
             rows.unpersist()
 

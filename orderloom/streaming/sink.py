@@ -1,6 +1,7 @@
 """Replay-safe landing of micro-batches as plain files."""
 
 import json
+from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 
@@ -55,20 +56,22 @@ def land_once(
     load: str,
     keys: list[str],
     partition_by: str,
+    unique: Callable[[DataFrame], DataFrame],
     fmt: str = "parquet",
 ) -> None:
     """Write the rows of a batch whose keys no other load holds, at `path`/load_id=<load>.
 
-    The batch holds one row per key. A retried batch overwrites its own folder,
-    so a half-written attempt leaves nothing behind; a replay under a new
-    checkpoint has another load id and is caught by the anti join. The join
-    reads only the partitions the batch touches, so its cost follows the batch
-    and not the table. A large partition value is written by several tasks.
+    `unique` reduces the batch to one row per key. A retried batch overwrites
+    its own folder, so a half-written attempt leaves nothing behind; a replay
+    under a new checkpoint has another load id and is caught by the anti join.
+    The join reads only the partitions the batch touches, so its cost follows
+    the batch and not the table. A large partition value is written by several tasks.
     """
     spark = batch.sparkSession
     sized = _sized(batch, partition_by)
-    target = read_loads(spark, path, batch.schema, partition_by, fmt).filter(F.col(LOAD) != load)
-    fresh = not_in(batch, _pruned(target, batch, partition_by, sized), keys)
+    rows = unique(batch)
+    target = read_loads(spark, path, rows.schema, partition_by, fmt).filter(F.col(LOAD) != load)
+    fresh = not_in(rows, _pruned(target, batch, partition_by, sized), keys)
     slices = 1 + (sized[0]["n"] if sized else 0) // ROWS_PER_FILE
     fresh = fresh.repartition(F.col(partition_by), F.pmod(F.xxhash64(*keys), F.lit(slices)))
     fresh.write.mode("overwrite").partitionBy(partition_by).format(fmt).save(f"{path}/{LOAD}={load}")

@@ -1,6 +1,6 @@
 """Order events: decode, validate by the batch rules, route good rows and dead letters."""
 
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from orderloom.functions import rules
@@ -11,7 +11,7 @@ from orderloom.streaming.sink import land_once, stream_id
 DEAD_LETTER_COLUMNS = ["data", "raw", *EVENT.names, "dq_reason"]
 
 
-def decode_events(events: DataFrame) -> DataFrame:
+def decode_events(events: DataFrame, keep: list[str] | None = None) -> DataFrame:
     """Events with their text and fields; `event` is null where decoding failed.
 
     `data` is base64 of one JSON object. Parsing it as the only element of a
@@ -19,10 +19,11 @@ def decode_events(events: DataFrame) -> DataFrame:
     """
     text = F.try_validate_utf8(F.try_to_binary("data", F.lit("base64")).cast("string"))
     boxed = F.from_json(F.concat(F.lit("["), "raw", F.lit("]")), f"array<{EVENT.simpleString()}>")
-    events = rules.computed_once(events, ["data"], {"raw": text})
-    events = rules.computed_once(events, ["data", "raw"], {"boxed": boxed})
+    keep = ["data", *(keep or [])]
+    events = rules.computed_once(events, keep, {"raw": text})
+    events = rules.computed_once(events, [*keep, "raw"], {"boxed": boxed})
     only = F.when(F.size("boxed") == 1, F.try_element_at("boxed", F.lit(1)))
-    return events.select("data", "raw", only.alias("event"))
+    return events.select(*keep, "raw", only.alias("event"))
 
 
 def validate_events(events: DataFrame) -> DataFrame:
@@ -34,16 +35,22 @@ def validate_events(events: DataFrame) -> DataFrame:
     return flagged_orders(fields).withColumn("dq_reason", reason).drop("_broken")
 
 
+def good_columns() -> dict[str, Column]:
+    """Fields of an accepted event in the raw order layout, normalised."""
+    return {
+        "order_id": F.col("order_id_norm"),
+        "cust_id": F.col("cust_id"),
+        "order_date": rules.order_date_text("order_ts"),
+        "prod_id": F.col("prod_num"),
+        "quantity": F.col("quantity_num").cast("bigint"),
+        "status": F.col("status"),
+    }
+
+
 def good_events(flagged: DataFrame) -> DataFrame:
-    """Accepted events in the raw order layout, normalised."""
-    return flagged.filter(F.col("dq_reason").isNull()).select(
-        F.col("order_id_norm").alias("order_id"),
-        "cust_id",
-        rules.order_date_text("order_ts").alias("order_date"),
-        F.col("prod_num").alias("prod_id"),
-        F.col("quantity_num").cast("bigint").alias("quantity"),
-        "status",
-    )
+    """Accepted events in the raw order layout."""
+    fields = [column.alias(name) for name, column in good_columns().items()]
+    return flagged.filter(F.col("dq_reason").isNull()).select(*fields)
 
 
 def dead_letters(flagged: DataFrame) -> DataFrame:
@@ -51,6 +58,29 @@ def dead_letters(flagged: DataFrame) -> DataFrame:
     return flagged.filter(F.col("dq_reason").isNotNull()).select(*DEAD_LETTER_COLUMNS)
 
 
+def routed_events(flagged: DataFrame) -> DataFrame:
+    """What both sinks need of a batch and no more: good fields, or the event as it arrived.
+
+    This is the frame worth keeping in memory between the sinks. Rejects are
+    few and their fields are read again from `data`.
+    """
+    good = F.col("dq_reason").isNull()
+    fields = good_columns()
+    return flagged.select(
+        "dq_reason",
+        F.when(~good, F.col("data")).alias("data"),
+        *[F.when(good, column).alias(name) for name, column in fields.items()],
+    )
+
+
+def _reread(letters: DataFrame) -> DataFrame:
+    """Distinct rejects with their fields and the number of equal ones."""
+    counted = letters.groupBy("data", "dq_reason").agg(F.count(F.lit(1)).alias("copies"))
+    events = decode_events(counted, ["dq_reason", "copies"])
+    fields = [F.col(f"event.{c}").alias(c) for c in EVENT.names]
+    return events.select("data", "raw", *fields, "dq_reason", "copies")
+
+
 def event_counts(flagged: DataFrame) -> DataFrame:
     """Good and bad events, one row."""
     good = F.col("dq_reason").isNull()
@@ -79,14 +109,15 @@ def stream_validate(
 
     def route(batch: DataFrame, batch_id: int) -> None:
         load = f"{stream_id(batch.sparkSession, checkpoint)}-{batch_id}"
-        flagged = validate_events(batch).persist()
+        routed = routed_events(validate_events(batch)).persist()
         try:
-            good = good_events(flagged).distinct().withColumn("order_month", order_month("order_date"))
-            land_once(good, good_path, load, STREAM_ORDERS.names, "order_month", "json")
-            bad = dead_letters(flagged).groupBy(*DEAD_LETTER_COLUMNS).agg(F.count(F.lit(1)).alias("copies"))
-            land_once(bad, bad_path, load, ["data"], "dq_reason", "json")
+            good = routed.filter(F.col("dq_reason").isNull()).select(*STREAM_ORDERS.names)
+            good = good.withColumn("order_month", order_month("order_date"))
+            land_once(good, good_path, load, STREAM_ORDERS.names, "order_month", DataFrame.distinct, "json")
+            bad = routed.filter(F.col("dq_reason").isNotNull()).select("data", "dq_reason")
+            land_once(bad, bad_path, load, ["data"], "dq_reason", _reread, "json")
         finally:
-            flagged.unpersist()
+            routed.unpersist()
 
     return (
         events.writeStream.foreachBatch(route)

@@ -5,9 +5,10 @@ from collections import Counter
 
 import pytest
 import samples
-from pyspark.sql import functions as F, types as T
+from pyspark.sql import DataFrame, functions as F, types as T
 
 from orderloom.operators import dims, fact, orders
+from orderloom.operators.joins import one_per_key
 from orderloom.operators.load import conform
 from orderloom.plans.pipeline import unified_orders
 from orderloom.schemas import DIM_CUSTOMER, LINE_KEY, MART_FACT, RAW_ORDERS, STREAM_ORDERS
@@ -129,9 +130,10 @@ def test_retried_batch_replaces_its_own_files(spark):
 
     root = work_folder(spark, "test")
     rows = conform(_fact(spark), MART_FACT)
-    land_once(rows.limit(1), f"{root}/t", "q-0", LINE_KEY, "order_day")
-    land_once(rows, f"{root}/t", "q-0", LINE_KEY, "order_day")
-    land_once(rows, f"{root}/t", "q-1", LINE_KEY, "order_day")
+    one = lambda df: one_per_key(df, LINE_KEY)
+    land_once(rows.limit(1), f"{root}/t", "q-0", LINE_KEY, "order_day", one)
+    land_once(rows, f"{root}/t", "q-0", LINE_KEY, "order_day", one)
+    land_once(rows, f"{root}/t", "q-1", LINE_KEY, "order_day", one)
     assert spark.read.parquet(f"{root}/t").count() == rows.count()
 
 
@@ -144,11 +146,11 @@ def test_large_partition_is_split_over_files(spark, monkeypatch):
     root = work_folder(spark, "test")
     spark.conf.set("spark.sql.adaptive.enabled", "false")  # it would merge these tiny slices again
     try:
-        sink.land_once(rows, f"{root}/t", "q-0", ["id"], "p")
+        sink.land_once(rows, f"{root}/t", "q-0", ["id"], "p", DataFrame.distinct)
     finally:
         spark.conf.unset("spark.sql.adaptive.enabled")
     assert len([f for f in os.listdir(f"{root}/t/load_id=q-0/p=a") if f.endswith(".parquet")]) > 1
-    sink.land_once(rows, f"{root}/t", "q-1", ["id"], "p")
+    sink.land_once(rows, f"{root}/t", "q-1", ["id"], "p", DataFrame.distinct)
     assert spark.read.parquet(f"{root}/t").count() == 1000
 
 
