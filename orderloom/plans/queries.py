@@ -115,7 +115,11 @@ def events(spark, sf_dir):
     """Order lines as a stream of base64 JSON events, some of them broken."""
     static = bridge.table(spark, sf_dir, "lineitem")
     lines = files.stream_table(spark, f"{sf_dir}/lineitem.parquet", static.schema).select(bridge.LINE_COLUMNS)
-    raw = bridge.order_lines(bridge.spread(lines, static), bridge.table(spark, sf_dir, "orders"))
+    raw = bridge.order_lines(
+        bridge.spread(lines, static),
+        bridge.table(spark, sf_dir, "orders"),
+        lambda: joins.hot_keys(static, "l_orderkey"),
+    )
     text = F.to_json(F.struct(*RAW_ORDERS.names))
     broken = F.coalesce(F.col("prod_id").endswith("99"), F.lit(False))
     return raw.select(F.base64(F.when(broken, F.concat(text, F.lit(" x"))).otherwise(text)).alias("data"))

@@ -3,11 +3,12 @@
 Faults are planted by key arithmetic so that every rule has rows to catch.
 """
 
+from collections.abc import Callable
 from functools import cached_property, lru_cache
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F, types as T
 
-from orderloom.operators.joins import estimated_bytes
+from orderloom.operators.joins import estimated_bytes, hot_keys, lookup_join
 
 
 @lru_cache
@@ -36,19 +37,20 @@ def spread(df: DataFrame, source: DataFrame) -> DataFrame:
     """
     spark = df.sparkSession
     cores = spark.sparkContext.defaultParallelism
-    split = int(spark.conf.get("spark.sql.files.maxPartitionBytes").rstrip("b"))
+    split = spark._jsparkSession.sessionState().conf().filesMaxPartitionBytes()
     return df.repartition(cores, *df.columns) if estimated_bytes(source) < cores * split else df
 
 
 LINE_COLUMNS = ["l_orderkey", "l_partkey", "l_linenumber", "l_quantity"]
 
 
-def order_lines(lineitem: DataFrame, orders: DataFrame) -> DataFrame:
+def order_lines(lineitem: DataFrame, orders: DataFrame, hot: Callable[[], list[int]] | None = None) -> DataFrame:
     """Raw order lines from a join of the two tables; one key in 41 is sent twice."""
     key = "l_orderkey"
+    orders = orders.select(F.col("o_orderkey").alias(key), "o_custkey", "o_orderstatus", "o_orderdate")
     status = F.when(F.col("o_orderstatus") == "F", " Paid").when(F.col("o_orderstatus") == "O", "created")
     copies = F.when(_every(key, 41), F.array(F.lit(1), F.lit(2))).otherwise(F.array(F.lit(1)))
-    lines = lineitem.join(orders, F.col(key) == F.col("o_orderkey")).select(
+    lines = lookup_join(lineitem, orders, [key], "inner", hot=hot).select(
         F.when(_every(key, 97), "bad id").otherwise(F.concat(F.lit("A-"), key)).alias("order_id"),
         F.when(_every(key, 53), "").when(~_every(key, 59), F.col("o_custkey").cast("string")).alias("cust_id"),
         F.when(_every(key, 61), "n/a")
@@ -68,7 +70,8 @@ def order_lines(lineitem: DataFrame, orders: DataFrame) -> DataFrame:
 
 def raw_orders(spark: SparkSession, sf_dir: str) -> DataFrame:
     lineitem = table(spark, sf_dir, "lineitem").select(LINE_COLUMNS)
-    return order_lines(spread(lineitem, lineitem), table(spark, sf_dir, "orders"))
+    orders = table(spark, sf_dir, "orders")
+    return order_lines(spread(lineitem, lineitem), orders, lambda: hot_keys(lineitem, "l_orderkey"))
 
 
 def raw_products(spark: SparkSession, sf_dir: str) -> DataFrame:
