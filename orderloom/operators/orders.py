@@ -24,9 +24,9 @@ def flagged_orders(raw: DataFrame) -> DataFrame:
     return typed_orders(raw).withColumn("dq_reason", rules.dq_reason())
 
 
-def clean_orders(raw: DataFrame) -> DataFrame:
-    """Good lines only, in the shape of the fact's own columns."""
-    return flagged_orders(raw).filter(F.col("dq_reason").isNull()).select(
+def good_lines(flagged: DataFrame) -> DataFrame:
+    """Lines that broke no rule, in the shape of the fact's own columns."""
+    return flagged.filter(F.col("dq_reason").isNull()).select(
         F.col("order_id_norm").alias("order_id"),
         "cust_id",
         F.col("prod_num").alias("prod_id"),
@@ -37,9 +37,9 @@ def clean_orders(raw: DataFrame) -> DataFrame:
     )
 
 
-def quarantine_orders(raw: DataFrame) -> DataFrame:
-    """Rejected lines with their raw text and the reason."""
-    return flagged_orders(raw).filter(F.col("dq_reason").isNotNull()).select(
+def rejected_lines(flagged: DataFrame) -> DataFrame:
+    """Lines that broke a rule, with their raw text and the reason."""
+    return flagged.filter(F.col("dq_reason").isNotNull()).select(
         "order_id",
         "cust_id",
         F.col("prod_num").alias("prod_id"),
@@ -51,6 +51,26 @@ def quarantine_orders(raw: DataFrame) -> DataFrame:
     )
 
 
+def clean_orders(raw: DataFrame) -> DataFrame:
+    return good_lines(flagged_orders(raw))
+
+
+def quarantine_orders(raw: DataFrame) -> DataFrame:
+    return rejected_lines(flagged_orders(raw))
+
+
+def write_checked(raw: DataFrame, path: str) -> None:
+    """Parse and flag raw lines once and keep them, good and rejected in folders of their own.
+
+    Everything later reads this table, so raw text is parsed a single time.
+    Good lines keep no raw text.
+    """
+    rejected = F.col("dq_reason").isNotNull()
+    text = {c: F.when(rejected, F.col(c)) for c in ("order_id", "order_date", "prod_id", "quantity")}
+    flagged = flagged_orders(raw).withColumns({**text, "rejected": rejected})
+    flagged.write.mode("overwrite").partitionBy("rejected").parquet(path)
+
+
 def dedup_orders(clean: DataFrame) -> DataFrame:
     """One line per natural key; of copies with different customers the smallest id stays.
 

@@ -7,10 +7,10 @@ and means a lost executor never costs more than the table in work.
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from orderloom.operators import dims, fact, fx, orders, quality
+from orderloom.operators import dims, fact, fx, joins, orders, quality
 from orderloom.operators.load import write_table
-from orderloom.plans.star import Raw, Star
-from orderloom.schemas import RAW_CATEGORY, RAW_CUSTOMER, RAW_ORDERS, RAW_PRODUCT
+from orderloom.plans.star import Raw
+from orderloom.schemas import CHECKED_ORDERS, RAW_CATEGORY, RAW_CUSTOMER, RAW_ORDERS, RAW_PRODUCT
 from orderloom.sources import files
 
 
@@ -65,21 +65,26 @@ def bronze_to_silver(
     """Write the conformed tables and return their row counts.
 
     With `reject_limit` the run stops before the fact is built if a larger
-    share of order lines was rejected.
+    share of order lines was rejected; the quarantine is written by then.
     """
     at = lambda name: f"{silver}/{name}"
     read = lambda name: files.scan_table(spark, at(name))
 
+    orders.write_checked(raw.orders.select(*RAW_ORDERS.names), at("orders_checked"))
+    checked = spark.read.schema(CHECKED_ORDERS).parquet(at("orders_checked"))
+    write_table(orders.rejected_lines(checked.filter("rejected")), at("orders_quarantine"))
     if reject_limit is not None:
-        quality.enforce_gate(orders.flagged_orders(raw.orders), reject_limit)
-    write_table(orders.quarantine_orders(raw.orders), at("orders_quarantine"))
+        quality.enforce_gate(checked.select("dq_reason"), reject_limit)
+
     write_table(dims.scd2_customer(raw.customers), at("dim_customer"))
     write_table(dims.quarantine_customers(raw.customers), at("customer_quarantine"))
     write_table(dims.category_rollup(raw.categories), at("dim_category"))
     write_table(dims.dim_product(raw.products, read("dim_category")), at("dim_product"))
 
-    lines = orders.dedup_orders(orders.clean_orders(raw.orders))
-    priced = fact.priced_orders(lines, read("dim_product"), hot=Star(raw).hot_products)
+    clean = orders.good_lines(checked.filter("not rejected"))
+    priced = fact.priced_orders(
+        orders.dedup_orders(clean), read("dim_product"), hot=lambda: joins.hot_keys(clean, "prod_id")
+    )
     write_table(
         fact.fact_orders(priced, fx.daily_rates(raw.rates)), at("fact_orders"), "order_day", ("cust_id",)
     )

@@ -41,6 +41,13 @@ RAW_RATES = _struct("date string, currency string, conversion string")
 # One order event; every field is text so that 2 and "2" are treated alike.
 EVENT = RAW_ORDERS
 
+# Parsed and flagged order lines as kept between cleaning and the fact.
+CHECKED_ORDERS = _struct(
+    "order_id string, order_date string, prod_id string, quantity string, cust_id string, status string, "
+    "order_ts timestamp_ntz, quantity_num double, prod_num int, order_id_norm string, dq_reason string, "
+    "rejected boolean"
+)
+
 # Columns of a good event as it lands beside the batch order files.
 STREAM_ORDERS = _struct(
     "order_id string, cust_id string, order_date string, prod_id int, quantity bigint, status string"
