@@ -28,16 +28,22 @@ class Star:
     is judged by its raw input, which bounds its row count.
     """
 
-    def __init__(self, raw: Raw):
+    def __init__(self, raw: Raw, flagged: DataFrame | None = None):
+        """`flagged` is the written form of the flagged lines, where there is one."""
         self.raw = raw
+        self.written = flagged
+
+    @cached_property
+    def flagged(self) -> DataFrame:
+        return orders.flagged_orders(self.raw.orders) if self.written is None else self.written
 
     @cached_property
     def clean(self) -> DataFrame:
-        return orders.clean_orders(self.raw.orders)
+        return orders.good_lines(self.flagged)
 
     @cached_property
     def quarantine(self) -> DataFrame:
-        return orders.quarantine_orders(self.raw.orders)
+        return orders.rejected_lines(self.flagged)
 
     @cached_property
     def lines(self) -> DataFrame:
