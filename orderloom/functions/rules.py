@@ -43,13 +43,12 @@ def normal_order_id(text) -> Column:
 def order_timestamp(text: str) -> Column:
     """Wall-clock order time, null if unparseable, whatever the session time zone.
 
-    Parsing as UTC and adding the distance from the epoch avoids the hour that
-    does not exist in zones with daylight saving.
+    Parsing as UTC and counting seconds from the epoch keeps the hour that does
+    not exist, or exists twice, in zones with daylight saving.
     """
     return F.expr(
-        "timestamp_ntz'1970-01-01 00:00:00' + ("
-        f"try_to_timestamp(concat(`{text}`, ' Z'), '{ORDER_TS_FORMAT} X')"
-        " - timestamp'1970-01-01 00:00:00Z')"
+        "timestamp_ntz'1970-01-01 00:00:00' + interval '1' second * "
+        f"unix_seconds(try_to_timestamp(concat(`{text}`, ' Z'), '{ORDER_TS_FORMAT} X'))"
     )
 
 

@@ -50,14 +50,18 @@ def test_order_id(spark, text, expected):
 
 
 def test_timestamp_ignores_session_zone(spark):
-    df = spark.createDataFrame([("3/10/2024 2:05",), ("12/31/9999 23:59",)], "t string")
+    times = ["3/10/2024 2:05", "7/1/2024 9:05", "11/3/2024 1:30", "12/31/9999 23:59", "1/1/1900 0:00"]
+    df = spark.createDataFrame([(t,) for t in times], "t string")
     zone = spark.conf.get("spark.sql.session.timeZone")
     try:
         spark.conf.set("spark.sql.session.timeZone", "America/New_York")
         got = [r[0] for r in df.select(rules.order_timestamp("t").cast("string")).collect()]
     finally:
         spark.conf.set("spark.sql.session.timeZone", zone)
-    assert got == ["2024-03-10 02:05:00", "9999-12-31 23:59:00"]
+    assert got == [
+        "2024-03-10 02:05:00", "2024-07-01 09:05:00", "2024-11-03 01:30:00", "9999-12-31 23:59:00",
+        "1900-01-01 00:00:00",
+    ]
 
 
 def test_normalised_values(spark):
