@@ -18,7 +18,6 @@ def write_table(
     partition_by: str | None = None,
     sort_by: tuple[str, ...] = (),
     only_touched: bool = False,
-    tasks: int | None = None,
 ) -> str:
     """Create or replace a Parquet table, optionally one folder per `partition_by` value.
 
@@ -26,12 +25,9 @@ def write_table(
     folder that holds much of the data over several tasks; sorting inside a
     task tightens the row-group statistics. With `only_touched`, folders
     absent from `df` keep their content, which makes day-wise reruns safe.
-    A small table with many folders gives the rebalance no reason to use more
-    than one task; `tasks` then sets how many write it.
     """
     if partition_by:
-        df = df.repartition(tasks, partition_by) if tasks else df.hint("rebalance", partition_by)
-        df = df.sortWithinPartitions(partition_by, *sort_by)
+        df = df.hint("rebalance", partition_by).sortWithinPartitions(partition_by, *sort_by)
     writer = df.write.mode("overwrite")
     if partition_by:
         writer = writer.partitionBy(partition_by)

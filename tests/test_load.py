@@ -3,7 +3,6 @@ import os
 
 from collections import Counter
 
-import pytest
 import samples
 from pyspark.sql import functions as F
 
@@ -73,11 +72,10 @@ def test_validity_is_disjoint_and_gap_free(spark):
     assert Counter(r.cust_id for r in rows if r.is_current) == Counter({r.cust_id for r in rows})
 
 
-@pytest.mark.parametrize("tasks", [None, 3])
-def test_table_round_trip_and_daywise_rerun(spark, tasks):
+def test_table_round_trip_and_daywise_rerun(spark):
     path = f"{work_folder(spark, 'test')}/t"
     lines = _lines(spark)
-    load.write_table(lines, path, "order_day", ("cust_id",), tasks=tasks)
+    load.write_table(lines, path, "order_day", ("cust_id",))
     assert any(name.startswith("order_day=") for name in os.listdir(path))
     assert Counter(files.scan_table(spark, path).select(*lines.columns).collect()) == Counter(lines.collect())
     early = lines.filter("order_day = date'2023-12-31'").limit(1)
