@@ -8,6 +8,30 @@ ASCII_UPPER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ"
 WORD_BREAK = r"[\x20\x09-\x0D]+"
 
 
+# Digits, letters a-z after folding A-Z, and all that is not ASCII make words.
+_KEPT = frozenset(range(0x30, 0x3A)) | frozenset(range(0x61, 0x7B)) | frozenset(range(0x80, 0x100))
+FOLD = bytes(b if b in _KEPT else 0x20 for b in bytes(range(256)).lower())
+
+
+def words_of(text: str | None) -> list[bytes]:
+    """Lower-cased words in UTF-8."""
+    return text.encode().translate(FOLD).split() if text else []
+
+
+def crc_fold(doc_id: Column, folds: int) -> Column:
+    return F.crc32(doc_id.cast("string").cast("binary")) % folds
+
+
+def hashed_sample(rows: DataFrame, label: str, per_label: int) -> list:
+    """At most about `per_label` rows of each label, picked by a hash of doc_id; the only rows that reach the driver."""
+    counts = {r[label]: r["count"] for r in rows.groupBy(label).count().collect()}
+    share = F.pmod(F.xxhash64(F.col("doc_id").cast("string")), F.lit(1 << 20)) / (1 << 20)
+    keep = F.lit(False)
+    for value, n in counts.items():
+        keep = F.when(F.col(label) == value, share < 1.2 * per_label / n).otherwise(keep)
+    return rows.filter(keep).withColumn("_at", share).orderBy("_at", "doc_id", label).collect()
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 

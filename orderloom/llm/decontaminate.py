@@ -20,14 +20,12 @@ import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame, functions as F, types as T
 
-from orderloom.llm.common import ascii_lower, written
+from orderloom.llm.common import FOLD, ascii_lower, words_of, written
 
 WINDOW = 13
 BLOCK_ROWS = 250_000
 
 _BREAKS = r"[\x00-\x2F\x3A-\x60\x7B-\x7F]+"
-_KEPT = frozenset(range(0x30, 0x3A)) | frozenset(range(0x61, 0x7B)) | frozenset(range(0x80, 0x100))
-_FOLD = bytes(b if b in _KEPT else 0x20 for b in bytes(range(256)).lower())
 _BASE = np.uint64(0x9E3779B97F4A7C15)
 
 HITS = T.StructType(
@@ -41,10 +39,6 @@ HITS = T.StructType(
 )
 
 
-def words_of(text: str | None) -> list[bytes]:
-    return text.encode().translate(_FOLD).split() if text else []
-
-
 def benchmark_windows(benchmark: DataFrame, window: int = WINDOW) -> DataFrame:
     """Distinct rows (window, item): all runs of `window` words of an item, or the whole of a shorter one."""
     words = F.filter(F.split(ascii_lower(F.col("text")), _BREAKS), lambda w: w != "")
@@ -176,7 +170,7 @@ def cut_words(text: str | None, starts, ends) -> str | None:
     """`text` without the words start..end-1 of each span and what stands between them."""
     if not text or len(starts) == 0:
         return text
-    raw, folded = text.encode(), text.encode().translate(_FOLD)
+    raw, folded = text.encode(), text.encode().translate(FOLD)
     edges, at = [], 0
     for word in folded.split():
         at = folded.index(word, at)

@@ -4,26 +4,46 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from orderloom.llm import decontaminate, packing, tokens
+from orderloom.llm import decontaminate, language, packing, quality, simhash, tokens, toxicity, urls
 from orderloom.llm.common import table
 
 Query = Callable[[SparkSession, str], DataFrame]
 
 
+def op1_simhash(spark, sf_dir):
+    return simhash.near_duplicates(table(spark, sf_dir, "documents"))
+
+
 def op2_token_counts(spark, sf_dir):
     return tokens.token_counts(table(spark, sf_dir, "documents"))
 
 
+def op3_language_id(spark, sf_dir):
+    return language.languages(table(spark, sf_dir, "documents"))
+
+
 def op4_decontamination(spark, sf_dir):
     return decontaminate.contamination(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
 
 
+def op7_url_filters(spark, sf_dir):
+    return urls.verdicts(table(spark, sf_dir, "pages"))
+
+
+def op8_toxicity(spark, sf_dir):
+    return toxicity.toxicity(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
 def op9_packing(spark, sf_dir):
     return packing.pack(table(spark, sf_dir, "documents"))
 
 
+def op10_quality_rules(spark, sf_dir):
+    return quality.judged(table(spark, sf_dir, "documents"))
+
+
 def llm_queries() -> dict[str, Query]:
-    return {f.__name__: f for f in (op2_token_counts, op4_decontamination, op9_packing)}
+    return {f.__name__: f for f in (op1_simhash, op2_token_counts, op3_language_id, op4_decontamination, op7_url_filters, op8_toxicity, op9_packing, op10_quality_rules)}
 
 
 def llm_oracles() -> dict[str, str]:
