@@ -4,7 +4,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from orderloom.llm import decontaminate, language, packing, quality, simhash, tokens, toxicity, urls
+from orderloom.llm import decontaminate, html, language, packing, pii, quality, simhash, tokens, toxicity, urls
 from orderloom.llm.common import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -26,6 +26,14 @@ def op4_decontamination(spark, sf_dir):
     return decontaminate.contamination(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
 
 
+def op5_personal_data(spark, sf_dir):
+    return pii.personal_data(table(spark, sf_dir, "documents"))
+
+
+def op6_main_text(spark, sf_dir):
+    return html.main_text(table(spark, sf_dir, "pages"))
+
+
 def op7_url_filters(spark, sf_dir):
     return urls.verdicts(table(spark, sf_dir, "pages"))
 
@@ -43,7 +51,19 @@ def op10_quality_rules(spark, sf_dir):
 
 
 def llm_queries() -> dict[str, Query]:
-    return {f.__name__: f for f in (op1_simhash, op2_token_counts, op3_language_id, op4_decontamination, op7_url_filters, op8_toxicity, op9_packing, op10_quality_rules)}
+    every = (
+        op1_simhash,
+        op2_token_counts,
+        op3_language_id,
+        op4_decontamination,
+        op5_personal_data,
+        op6_main_text,
+        op7_url_filters,
+        op8_toxicity,
+        op9_packing,
+        op10_quality_rules,
+    )
+    return {f.__name__: f for f in every}
 
 
 def llm_oracles() -> dict[str, str]:
