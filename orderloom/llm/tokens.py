@@ -14,6 +14,7 @@ Null text counts as empty: no bytes, no tokens. Every row is counted, whatever
 its id, and repeated rows are counted each.
 """
 
+import os
 from collections.abc import Iterator
 
 import numpy as np
@@ -26,11 +27,12 @@ VOCABULARY = "word_bpe_49k.json"
 LIMIT = 2048
 CHUNK = 32_768
 OVERLAP = 512
-MEMO_WORDS = 500_000
+MEMO_WORDS = 200_000
 
 
 class TokenCounter:
     def __init__(self, path: str, chunk: int = CHUNK, overlap: int = OVERLAP):
+        os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")
         self.tokenizer = Tokenizer.from_file(path)
         self.chunk, self.overlap = chunk, overlap
         self.memo: dict[str, int] = {}
