@@ -240,6 +240,10 @@ def _chosen(spans: Column, accepted: list[str]) -> Column:
     return F.array_sort(F.transform(F.concat(base, added), order))
 
 
+def chosen_spans(text: Column, accepted: list[str]) -> Column:
+    return let(found_spans(text), lambda spans: _chosen(spans, accepted))
+
+
 def _is_kind(number: int):
     return lambda s: s["kind"] == number
 
@@ -279,6 +283,6 @@ def redacted(docs: DataFrame) -> DataFrame:
     own = F.coalesce(F.col("text"), F.lit(""))
     accepted = accepted_patterns(written(docs.select(found_spans(own).alias("spans")), "found_spans"))
     whole = F.struct(*[docs[f"`{c}`"] for c in docs.columns])
-    spans = docs.select(whole.alias("_doc"), F.explode(F.array(_chosen(found_spans(own), accepted))).alias("_all"))
+    spans = docs.select(whole.alias("_doc"), F.explode(F.array(chosen_spans(own, accepted))).alias("_all"))
     text = F.when(F.size("_all") > 0, masked(F.col("_doc.text"), F.col("_all"))).otherwise(F.col("_doc.text"))
     return spans.select(F.col("_doc").withField("text", text).alias("_doc")).select("_doc.*")
