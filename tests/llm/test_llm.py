@@ -1,0 +1,337 @@
+"""The training-data operators against plain Python, round trips and held-out accuracy."""
+
+import hashlib
+import random
+import re
+import zlib
+from collections import Counter
+
+import duckdb
+import numpy as np
+import public_tokenizers
+import pytest
+import xxhash
+from pyspark.sql import functions as F
+from tokenizers import Tokenizer
+
+import corpus_pipeline
+from orderloom.llm import decontaminate, html, language, packing, pii, quality, simhash, tokens, toxicity, urls
+from orderloom.llm.common import table
+from orderloom.llm.queries import llm_oracles, llm_queries
+
+SF = "/root/testdata/sf0.001"
+SPLIT = re.compile(r"[^\x20\x09-\x0D]+")
+ODD = [
+    (1, None), (2, ""), (3, " \n\t "), (4, "one"), (5, "Two words"), (6, "same text here again"), (6, "same text here again"),
+    (None, "an id is missing here"), (7, "long " * 9000), (8, "x" * 70_000), (9, "😀 mail a.b@c.de and 1.2.3.4 now"),
+    (10, "<|endoftext|> in 日本語 text"), (11, "one two three four five six " * 4 + "\nline\nline"),
+]
+
+
+@pytest.fixture(scope="module")
+def odd(spark):
+    """Nulls, empty and long texts, repeated rows, and columns with the names operators use."""
+    rows = spark.createDataFrame(ODD, "doc_id long, text string")
+    return rows.select("*", F.lit("en").alias("lang"), F.lit("s").alias("source"), F.lit(1).alias("_doc"), F.lit(2).alias("_row"), F.lit(3).alias("score"), F.lit(4).alias("fp"), F.lit(5).alias("n_words")).cache()
+
+
+@pytest.fixture(scope="module")
+def docs(spark):
+    return table(spark, SF, "documents").cache()
+
+
+@pytest.fixture(scope="module")
+def texts(docs):
+    return {r.doc_id: r.text for r in docs.collect()}
+
+
+def _print(text):
+    words = SPLIT.findall(re.sub("[A-Z]", lambda m: m[0].lower(), text or ""))
+    runs = [words[i : i + 3] for i in range(len(words) - 2)] or ([words] if words else [])
+    h = [xxhash.xxh64_intdigest(" ".join(r), 42) for r in runs]
+    return sum(1 << b for b in range(64) if 2 * sum(x >> b & 1 for x in h) > len(h)) if h else 0
+
+
+def _components(prints):
+    root = list(range(len(prints)))
+
+    def find(i):
+        while root[i] != i:
+            i = root[i]
+        return i
+
+    for i in range(len(prints)):
+        for j in range(i):
+            if (prints[i] ^ prints[j]).bit_count() <= 2:
+                a, b = sorted((find(i), find(j)))
+                root[b] = a
+    return [find(i) for i in range(len(prints))]
+
+
+def test_golay_keys_meet_for_all_pairs_within_two_bits():
+    leaders, chance = simhash._leaders(), random.Random(1)
+    base = np.array([chance.getrandbits(64) for _ in range(30)], np.uint64)
+    for a in range(0, 64, 5):
+        for b in range(64):
+            other = base ^ np.uint64(1 << a) ^ (np.uint64(1 << b) if a != b else np.uint64(0))
+            keys = [set(zip(*map(list, simhash.golay_keys(p.view(np.int64), leaders)))) for p in (base, other)]
+            assert {i for i, _ in keys[0] & keys[1]} == set(range(30))
+
+
+@pytest.mark.parametrize("crowd", [16, 1])
+def test_simhash_components_equal_brute_force(spark, crowd):
+    chance = random.Random(crowd)
+    prints = [chance.getrandbits(64) for _ in range(40)]
+    for _ in range(120):
+        prints.append(chance.choice(prints) ^ 1 << chance.randrange(64) ^ 1 << chance.randrange(64))
+    signed = [p - (1 << 64) if p >> 63 else p for p in prints]
+    frame = spark.createDataFrame([(p,) for p in sorted(set(signed))], "fp long")
+    roots = {r.node: r.root for r in simhash.components(simhash.links(frame, crowd=crowd)).collect()}
+    ours, theirs = [roots.get(p, p) for p in signed], _components(prints)
+    assert len(set(zip(ours, theirs))) == len(set(ours)) == len(set(theirs))
+
+
+def test_simhash_of_documents(spark, odd, docs, texts):
+    found = {r.doc_id: (int(r.fingerprint, 16), r.component_id) for r in simhash.near_duplicates(docs).collect()}
+    ids = sorted(texts)
+    prints = [_print(texts[i]) for i in ids]
+    assert [found[i][0] for i in ids] == prints
+    assert [found[i][1] for i in ids] == [ids[k] for k in _components(prints)]
+    rows = simhash.near_duplicates(odd).collect()
+    assert len(rows) == len(ODD) and {r.component_id for r in rows if r.doc_id in (1, 2, 3)} == {1}
+    kept = simhash.one_of_each(odd)
+    assert kept.columns == odd.columns
+    assert Counter(r.doc_id for r in kept.collect()) == Counter([1, 4, 5, 6, None, 7, 8, 9, 10, 11])
+
+
+def test_token_counts(odd, docs, texts):
+    library = Tokenizer.from_file(public_tokenizers.path(tokens.VOCABULARY))
+    length = lambda t: len(library.encode(t or "", add_special_tokens=False).ids)
+    for frame in (docs, odd):
+        rows = frame.join(tokens.token_counts(frame).distinct(), "doc_id").collect()
+        assert rows and all(r.n_tokens == length(r.text) and r.n_bytes == len((r.text or "").encode()) for r in rows)
+    small = tokens.TokenCounter(public_tokenizers.path(tokens.VOCABULARY), chunk=300, overlap=16)
+    cases = [*list(texts.values())[:60], "a" * 2000 + " b c", "don't " * 300, "<|endoftext|> x" * 90, "é" * 900 + " \n" * 400]
+    assert [small.count(t) for t in cases] == [length(t) for t in cases] and small.widened
+
+
+def test_language_gradients_and_accuracy(spark, odd):
+    network = language.Network(["a", "b"], hidden=3)
+    network.weights = {n: w.astype(np.float64) for n, w in network.weights.items()}
+    x, y = np.array([[97, 98], [99, 97], [98, 256]]), np.array([0, 1])
+
+    def loss():
+        shares, _ = network.probabilities(x)
+        picked = np.log(shares[:, np.arange(2), y])
+        return -(picked * (x != 256)).sum() / (x != 256).sum()
+
+    slopes = network.gradients(x, y)
+    for name, at in (("out", (1, 1)), ("loop_f", (0, 4)), ("loop_b", (2, 7)), ("table_f", (97, 5)), ("table_b", (98, 2))):
+        weights = network.weights[name]
+        weights[at] += 1e-4
+        up = loss()
+        weights[at] -= 2e-4
+        down = loss()
+        weights[at] += 1e-4
+        assert abs((up - down) / 2e-4 - slopes[name][at]) < 1e-3
+    docs = table(spark, "/root/testdata/sf0.01", "documents")
+    trained = language.learned(docs)
+    rows = language.languages(docs, trained).join(docs.select("doc_id", "lang"), "doc_id").collect()
+    held = [r for r in rows if r.held_out]
+    assert len(held) > 100 and sum(r.lang == r.lang_pred for r in held) >= 0.97 * len(held)
+    assert all(r.held_out == (zlib.crc32(str(r.doc_id).encode()) % 4 == 2) and 0 <= r.score <= 1 for r in rows)
+    found = language.languages(odd, trained).collect()
+    assert {r.lang_pred for r in found if r.doc_id in (1, 2, 3)} == {"und"} and len(found) == len(ODD)
+    assert language.in_a_language(odd, trained).columns == odd.columns
+    assert language.languages(docs.limit(0)).count() == 0
+
+
+def test_contamination_equals_sql_and_blocks(spark, odd):
+    sf = "/root/testdata/sf0.01"
+    docs, bench = table(spark, sf, "documents"), table(spark, sf, "benchmark")
+    with duckdb.connect() as db:
+        for name in ("documents", "benchmark"):
+            db.sql(f"CREATE VIEW {name} AS SELECT * FROM '{sf}/{name}.parquet'")
+        wanted = sorted(db.sql(llm_oracles()["op4_decontamination"]).fetchall())
+    for options in ({}, {"block_rows": 400}):
+        assert sorted(map(tuple, decontaminate.contamination(docs, bench, **options).collect())) == wanted
+    items = spark.createDataFrame([(1, "one"), (2, None), (None, "two words"), (3, "")], "item_id long, text string")
+    rows = {r.doc_id: r for r in decontaminate.contamination(odd, items).collect()}
+    assert (rows[4].n_hit, rows[4].n_items, rows[5].n_hit, rows[5].n_items) == (1, 1, 2, 0)
+    assert rows[1].items_sha256 == hashlib.sha256(b"").hexdigest() and not rows[1].contaminated
+    assert decontaminate.clean_documents(odd, items).columns == odd.columns
+    assert decontaminate.clean_documents(odd, items.limit(0)).count() == len(ODD)
+    cut = {r.doc_id: r.text for r in decontaminate.without_passages(odd, items).collect()}
+    assert cut[4] == "" and cut[5] == "" and cut[9] == dict(ODD)[9]
+
+
+_BASE = {
+    "email": r"[A-Za-z0-9._%+-]+@[A-Za-z0-9-]+(\.[A-Za-z0-9-]+)+",
+    "ip": r"[0-9]+(\.[0-9]+)(\.[0-9]+)(\.[0-9]+)",
+    "card": r"[0-9]([\x20-]?[0-9])+",
+    "phone": r"\+[0-9][\x20().0-9-]+[0-9]",
+}
+
+
+def _base_spans(text):
+    out = []
+    for k, (kind, pattern) in enumerate(_BASE.items()):
+        for m in re.finditer(pattern, text or ""):
+            digits = re.sub("[^0-9]", "", m[0])
+            luhn = sum(sum(divmod(int(x) * (1 + i % 2), 10)) for i, x in enumerate(reversed(digits))) % 10 == 0
+            good = {"email": True, "ip": all(int(p) <= 255 for p in m[0].split(".")) if kind == "ip" else True, "card": 14 <= len(digits) <= 19 and luhn, "phone": 10 <= len(digits) <= 15}
+            if good[kind]:
+                out.append((m.start(), k, f"{kind}:{m.start()}:{m.end()}"))
+    return [s for *_, s in sorted(out)]
+
+
+def test_personal_data(spark, odd, docs):
+    hard = ["a@b.c_d@e.f.g", "a..b@c.d..e x@y", "1.2.3.4.5.6.7.8 300.1.1.1", "4111 1111 1111 1111 +1 (619) 555-0053", "0000255.1.1.1", "9" * 30_000, "+12" * 50 + "345678901", "é😀 a@b.co SSN 123-45-6789", "password=a1b2c3d4e5"]
+    cases = spark.createDataFrame(list(enumerate(hard, 100)), "doc_id long, text string")
+    for frame in (docs, cases, odd):
+        text = dict(frame.select("doc_id", "text").collect())
+        for r in pii.personal_data(frame).collect():
+            wanted = _base_spans(text[r.doc_id])
+            assert r.base_sha256 == hashlib.sha256(",".join(wanted).encode()).hexdigest(), text[r.doc_id][:99]
+            assert set(wanted) <= set(r.spans.split(","))
+            assert [r.n_email, r.n_ip, r.n_card, r.n_phone] == [sum(s.startswith(k + ":") for s in wanted) for k in _BASE]
+    masked = pii.redacted(odd)
+    assert masked.columns == odd.columns
+    after = {r.doc_id: r.text for r in masked.collect()}
+    assert after[9] == "😀 mail <EMAIL> and <IP> now" and after[1] is None and after[2] == "" and after[5] == "Two words"
+    assert pii.personal_data(docs.limit(0)).count() == 0
+
+
+def test_common_lines_are_a_longest_common_subsequence():
+    chance = random.Random(3)
+    for _ in range(200):
+        a, b = ([chance.choice("abcd") for _ in range(chance.randrange(14))] for _ in range(2))
+        best = [[0] * (len(b) + 1) for _ in range(len(a) + 1)]
+        for i, x in enumerate(a):
+            for j, y in enumerate(b):
+                best[i + 1][j + 1] = best[i][j] + 1 if x == y else max(best[i][j + 1], best[i + 1][j])
+        for found in (html.common_lines(a, b), html._lcs(a, b, limit=20)):
+            chosen, rest = [x for x, f in zip(a, found) if f], iter(b)
+            assert len(chosen) == best[-1][-1] and all(x in rest for x in chosen)
+
+
+def test_main_text(spark):
+    page = "<body><div>Top menu</div><div>Story {0} &amp; more</div><p>Same foot</body>"
+    rows = [(i, f"http://h.com/a/{i}", page.format(i)) for i in range(6)]
+    rows += [(7, None, None), (8, "http://q.com", "<nav>m</nav><main><h1>T  x</h1><p>A<br>b<div class='comments'>c</div></main><footer>f</footer>"), (8, "x", "")]
+    frame = spark.createDataFrame(rows, "page_id long, url string, html string").withColumn("row", F.lit(1))
+    found = [(r.page_id, r.text, r.n_chars) for r in html.main_text(frame).orderBy("page_id", "text").collect()]
+    assert found[:6] == [(i, f"Story {i} & more", 14) for i in range(6)]
+    assert found[6:] == [(7, "", 0), (8, "", 0), (8, "T x\n\nA b", 8)]
+    assert html.main_text(frame.limit(0)).count() == 0
+    pages = table(spark, SF, "pages")
+    assert html.main_text(pages).count() == pages.count()
+
+
+def test_url_verdicts(spark):
+    rows = [
+        (1, "http://a.x/p", "<a href='http://b.net/'>"), (2, "http://c.org/fr/1", '<a class=q href="//d.com/x">'), (3, None, None),
+        (4, "HTTP://B.net/de/", ""), (5, "http://example.net/en/?q", "x"), (6, "a://Q.org?x://y/fr/", None), (7, "http://b.net", None), (8, "", ""),
+    ]
+    pages = spark.createDataFrame(rows, "page_id int, url string, html string").withColumn("rule", F.lit("mine"))
+    found = {r.page_id: tuple(r)[1:] for r in urls.verdicts(pages).collect()}
+    assert found[4] == ("b.net", "/de/", "net/", "block") and found[5] == ("example.net", "/en/", "example.net/en/", "allow")
+    assert found[6] == ("q.org", "", None, "allow") and found[7][:3] == ("b.net", "", None) and found[3] == ("", "", None, "allow")
+    assert found[2] == ("c.org", "/fr/1", "org/fr/", "allow") and urls.allowed_pages(pages).columns == pages.columns
+
+
+def test_propagation_equals_matrix_iteration(spark):
+    links = [("a", "b", 2), ("a", "c", 1), ("b", "c", 1), ("c", "a", 1), ("d", "c", 3)]
+    seeds = [("a", 0.5, 0.0), ("b", 0.0, 0.0), ("c", 0.0, 0.9), ("d", 0.0, 0.0)]
+    found = {r.host: (r.trust, r.distrust) for r in urls.propagate(spark.createDataFrame(seeds, "host string, allowed double, blocked double"), spark.createDataFrame(links, "src string, dst string, n long")).collect()}
+    names = "abcd"
+    w = np.zeros((4, 4))
+    for s, d, n in links:
+        w[names.index(s), names.index(d)] = n
+    out, back = w / np.maximum(w.sum(1, keepdims=True), 1), w / np.maximum(w.sum(0, keepdims=True), 1)
+    t, b = np.array([s[1] for s in seeds]), np.array([s[2] for s in seeds])
+    trust, distrust = np.zeros(4), np.zeros(4)
+    for _ in range(300):
+        trust, distrust = 0.15 * t + 0.85 * out.T @ trust, 0.15 * b + 0.85 * back @ distrust
+    assert np.allclose([found[n] for n in names], np.array([trust, distrust]).T, atol=1e-4)
+
+
+def test_toxicity(spark, odd):
+    sf = "/root/testdata/sf0.01"
+    docs, labels = table(spark, sf, "documents"), table(spark, sf, "labels")
+    network = toxicity.learned(docs, labels)
+    rows = toxicity.toxicity(docs, labels, network).join(labels.select("doc_id", "toxic"), "doc_id").collect()
+    assert sum(r.predicted == r.toxic for r in rows if r.held_out) >= 0.85 * sum(r.held_out for r in rows)
+    assert all(r.predicted == (r.score >= 0.5) and r.held_out == (zlib.crc32(str(r.doc_id).encode()) % 5 == 0) for r in rows)
+    assert toxicity.toxicity(odd, labels, network).count() == len(ODD)
+    assert toxicity.harmless(odd, labels, network).columns == odd.columns
+    assert {r.score for r in toxicity.toxicity(odd, labels.limit(0)).collect()} == {0.0}
+
+
+def test_packing_round_trip(odd, docs):
+    library = Tokenizer.from_file(public_tokenizers.path(packing.VOCABULARY))
+    for frame in (docs, odd.filter("doc_id IS NOT NULL").dropDuplicates(["doc_id"])):
+        ids = {r.doc_id: [*library.encode(r.text or "", add_special_tokens=False).ids, 1] for r in frame.collect()}
+        rows, at, fill = packing.pack(frame).collect(), Counter(), Counter()
+        for r in sorted(rows, key=lambda r: (r.doc_id, r.start)):
+            assert r.start == at[r.doc_id] and r.doc_tokens == len(ids[r.doc_id])
+            assert r.ids_crc32 == zlib.crc32(np.array(ids[r.doc_id][r.start : r.start + r.length], "<u4").tobytes())
+            at[r.doc_id] += r.length
+        assert at == Counter({i: len(x) for i, x in ids.items()})
+        for r in sorted(rows, key=lambda r: (r.sequence_id, r.offset)):
+            assert r.offset == fill[r.sequence_id]
+            fill[r.sequence_id] += r.length
+        assert all(n <= 2048 and n & (n - 1) == 0 for n in fill.values())
+    assert packing.pack(odd).agg(F.sum("length")).first()[0] and packing.pack(odd.limit(0)).count() == 0
+
+
+def test_closest_filling_equals_brute_force():
+    chance = random.Random(5)
+    for _ in range(60):
+        counts, room = {chance.randrange(1, 12): chance.randrange(1, 4) for _ in range(4)}, chance.randrange(1, 30)
+        sums = {0}
+        for n, c in counts.items():
+            sums = {s + n * k for s in sums for k in range(c + 1)}
+        found = packing._closest(counts, room)
+        assert sum(n * k for n, k in found.items()) == max(s for s in sums if s <= room)
+        assert all(k <= counts[n] for n, k in found.items())
+
+
+def _quality_base(text):
+    words = SPLIT.findall(text or "")
+    lines = [x for x in (text or "").split("\n") if SPLIT.search(x)]
+    runs, covered = Counter(tuple(words[i : i + 5]) for i in range(len(words) - 4)), set()
+    for i in range(len(words) - 4):
+        if runs[tuple(words[i : i + 5])] > 1:
+            covered.update(range(i, i + 5))
+    return len(words), sum(map(len, words)), len(re.findall(r"[#*$%&|<>]", text or "")), len(lines) - len(set(lines)), len(covered)
+
+
+def test_quality(spark, odd):
+    docs, labels = table(spark, "/root/testdata/sf0.01", "documents"), table(spark, "/root/testdata/sf0.01", "labels")
+    rows = quality.judged(docs).join(docs.select("doc_id", "text"), "doc_id").collect()
+    for r in rows:
+        n, *rest = _quality_base(r.text)
+        assert (r.n_words, r.word_chars, r.n_symbols, r.n_dup_lines, r.n_repeat_words) == (n, *rest)
+        assert r.base_failed == (n < 10 or 100 * rest[3] > 20 * n) and not (r.base_failed and r.kept)
+    marks = {r.doc_id: r.quality for r in labels.collect()}
+    judged = [(r.kept, marks[r.doc_id]) for r in rows if r.doc_id in marks and not r.base_failed]
+    assert sum(k == bool(q) for k, q in judged) >= 0.95 * len(judged)
+    assert quality.judged(odd).count() == len(ODD) and quality.judged(odd.limit(0)).count() == 0
+
+
+def test_pipeline_stages(spark, odd, docs):
+    assert [n for n, _ in corpus_pipeline.STAGES] == ["language", "near_duplicates", "decontamination", "personal_data", "packing"]
+    frame, counts = docs, []
+    for _, stage in corpus_pipeline.STAGES[:-1]:
+        frame = stage(spark, frame, SF)
+        assert frame.columns == docs.columns
+        counts.append(frame.count())
+    assert counts[0] >= counts[1] >= counts[2] == counts[3] > 0
+    # Near-duplicates: one of each component, the smallest id.
+    prints = {r.doc_id: r.component_id for r in simhash.near_duplicates(corpus_pipeline.keep_languages(spark, docs, SF)).collect()}
+    assert counts[1] == len(set(prints.values()))
+
+
+def test_every_operator_has_its_query():
+    assert sorted(int(re.match(r"op(\d+)_", n)[1]) for n in llm_queries()) == list(range(1, 11))
