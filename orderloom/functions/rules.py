@@ -24,6 +24,10 @@ def computed_once(df: DataFrame, keep: list[str], columns: dict[str, Column]) ->
     return df.select(*keep, F.inline(F.array(row)))
 
 
+# What the mart's decimal(18,2) and the stream's whole number can hold; no cast of a good line can fail.
+QUANTITY_LIMIT = 1e16
+
+
 def strip(text) -> Column:
     """Drop surrounding blanks of every kind, not only spaces."""
     return F.btrim(text, F.lit(BLANKS))
@@ -32,12 +36,13 @@ def strip(text) -> Column:
 def normal_order_id(text) -> Column:
     """Letters, dash, number padded to three digits and never cut; null if malformed.
 
-    Prefixing the number with zeros first lets one regex strip, pad and drop
-    surplus leading zeros: it keeps at least three digits, so a match always
-    shortens the text and an unchanged text means there was no match.
+    Blanks around it are dropped first, and a digit is demanded before any zero
+    is added: `A-` has no number to pad.
     """
-    widened = F.replace(text, F.lit("-"), F.lit("-000"))
-    return F.nullif(F.regexp_replace(widened, r"^\s*([A-Za-z]+)-0*(\d{3,})\s*$", "$1-$2"), widened)
+    bare = strip(text)
+    widened = F.replace(bare, F.lit("-"), F.lit("-000"))
+    padded = F.regexp_replace(widened, r"^([A-Za-z]+)-0*([0-9]{3,})$", "$1-$2")
+    return F.when(bare.rlike(r"^[A-Za-z]+-[0-9]+$"), padded)
 
 
 def order_timestamp(text: str) -> Column:
@@ -65,7 +70,7 @@ def dq_reason() -> Column:
     q = F.col("quantity_num")
     return (
         F.when(F.col("cust_id").isNull() | (F.col("cust_id") == ""), "orphan_customer")
-        .when(q.isNull() | (F.abs(q) == F.lit(float("inf"))), "bad_quantity")
+        .when(q.isNull() | (F.abs(q) >= QUANTITY_LIMIT), "bad_quantity")
         .when(q <= 0, "non_positive_quantity")
         .when(q != F.rint(q), "fractional_quantity")
         .when(F.col("order_ts").isNull(), "bad_timestamp")

@@ -8,8 +8,8 @@ from orderloom.schemas import DIM_CUSTOMER, LINE_KEY, VERSION_KEY
 
 
 def conform(df: DataFrame, schema: T.StructType) -> DataFrame:
-    """Columns of `schema` picked by name, whatever the case, and cast to its types."""
-    return df.select(*[F.col(f.name).cast(f.dataType).alias(f.name) for f in schema.fields])
+    """Columns of `schema` picked by name, whatever the case, and cast to its types; null where a type cannot hold a value."""
+    return df.select(*[F.col(f.name).try_cast(f.dataType).alias(f.name) for f in schema.fields])
 
 
 def write_table(

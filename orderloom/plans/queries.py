@@ -123,7 +123,7 @@ def events(spark, sf_dir):
     static = bridge.table(spark, sf_dir, "lineitem")
     lines = files.stream_table(spark, f"{sf_dir}/lineitem.parquet", static.schema).select(bridge.LINE_COLUMNS)
     raw = bridge.order_lines(
-        bridge.spread(lines, static),
+        lines,
         bridge.table(spark, sf_dir, "orders"),
         lambda: joins.hot_keys(static, "l_orderkey"),
     )

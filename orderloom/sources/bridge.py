@@ -8,7 +8,7 @@ from functools import cached_property, lru_cache
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F, types as T
 
-from orderloom.operators.joins import estimated_bytes, hot_keys, lookup_join
+from orderloom.operators.joins import hot_keys, lookup_join
 
 
 @lru_cache
@@ -30,17 +30,6 @@ def _slashed(day: str) -> Column:
     return F.concat_ws("/", F.month(day), F.dayofmonth(day), F.year(day))
 
 
-def spread(df: DataFrame, source: DataFrame) -> DataFrame:
-    """Rows over all cores when `source` is too small for the reader to split that far.
-
-    A table with enough splits for every core is passed through unchanged.
-    """
-    spark = df.sparkSession
-    cores = spark.sparkContext.defaultParallelism
-    split = spark._jsparkSession.sessionState().conf().filesMaxPartitionBytes()
-    return df.repartition(cores, *df.columns) if estimated_bytes(source) < cores * split else df
-
-
 LINE_COLUMNS = ["l_orderkey", "l_partkey", "l_linenumber", "l_quantity"]
 
 
@@ -71,7 +60,7 @@ def order_lines(lineitem: DataFrame, orders: DataFrame, hot: Callable[[], list[i
 def raw_orders(spark: SparkSession, sf_dir: str) -> DataFrame:
     lineitem = table(spark, sf_dir, "lineitem").select(LINE_COLUMNS)
     orders = table(spark, sf_dir, "orders")
-    return order_lines(spread(lineitem, lineitem), orders, lambda: hot_keys(lineitem, "l_orderkey"))
+    return order_lines(lineitem, orders, lambda: hot_keys(lineitem, "l_orderkey"))
 
 
 def raw_products(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -67,7 +67,8 @@ def list_landed(spark: SparkSession, root: str) -> DataFrame:
     for depth in range(5):
         level = level.mapInPandas(_list_step(recursive=depth == 4), _ENTRY)
         if depth in (2, 3):
-            level = level.repartition("path")
+            # A number keeps adaptive execution from merging the folders into one task.
+            level = level.repartition(int(spark.conf.get("spark.sql.shuffle.partitions")), "path")
     files = level.filter(~F.col("is_dir"))
     return files.select("path", F.substr("path", F.lit(len(root) + 2)).alias("key"), "size")
 

@@ -40,6 +40,8 @@ def test_split_loses_nothing(spark):
         ("\tA-1\n", "A-001"),
         ("A-1-2", None),
         ("A--1", None),
+        (" A-", None),
+        ("A- ", None),
         ("A 1", None),
         ("", None),
     ],
@@ -95,3 +97,9 @@ def test_gate(spark):
     with pytest.raises(quality.GateFailed):
         quality.enforce_gate(flagged, 0.01)
     assert quality.dq_gate(flagged.limit(0), 0.0).first().passed
+
+
+def test_quantities_no_mart_type_can_hold(spark):
+    rows = [("A-1", "C1", samples.DAY, "1", q, "paid") for q in ("1e30", "9999999999999999999", "5")]
+    flagged = orders.flagged_orders(spark.createDataFrame(rows, RAW_ORDERS)).select("quantity", "dq_reason").collect()
+    assert {r.quantity: r.dq_reason for r in flagged} == {"1e30": "bad_quantity", "9999999999999999999": "bad_quantity", "5": None}
