@@ -233,14 +233,17 @@ def main_text(pages: DataFrame) -> DataFrame:
     """page_id, url, text and its length for every page."""
     parsed = pages.select("page_id", "url", F.monotonically_increasing_id().alias("row"), F.explode(F.array(_parse("html"))).alias("_p"))
     parsed = parsed.select("page_id", "url", "row", host_of(F.col("url")).alias("host"), path_of(F.col("url")).alias("path"), "_p.article", "_p.outside")
-    parsed = written(parsed, "parsed_pages")
-    # A page with an article needs no neighbour, but is one.
-    asks = parsed.filter((F.size("article") == 0) & (F.size("outside") > 0)).select("row")
-    pairs = neighbours(parsed.select("row", "host", "path")).join(asks, "row", "left_semi")
+    parsed = written(parsed, "parsed_pages", compression="zstd")
+    # A page with an article needs no neighbour, but is one. Only the lines of pages
+    # that ask, and of their neighbours, are shuffled.
+    asking = (F.size("article") == 0) & (F.size("outside") > 0)
+    pairs = neighbours(parsed.select("row", "host", "path")).join(parsed.filter(asking).select("row"), "row", "left_semi")
+    pairs = written(pairs, "page_pairs")
     given = parsed.select(F.col("row").alias("other"), F.concat("outside", "article").alias("lines"))
     # At most two neighbours each.
     others = pairs.join(given, "other").groupBy("row").agg(F.collect_list("lines").alias("others"))
-    full = parsed.select("page_id", "url", "row", "article", "outside").join(others, "row", "left")
-    kept = F.when(F.size("article") > 0, F.col("article")).when(F.col("others").isNull(), F.col("outside")).otherwise(_own_lines("outside", "others"))
-    text = full.select("page_id", "url", F.array_join(kept, "\n\n").alias("text"))
+    asked = parsed.filter(asking).select("page_id", "url", "row", "outside").join(others, "row", "left")
+    asked = asked.select("page_id", "url", F.when(F.col("others").isNull(), F.col("outside")).otherwise(_own_lines("outside", "others")).alias("kept"))
+    text = parsed.filter(~asking).select("page_id", "url", F.col("article").alias("kept")).unionByName(asked)
+    text = text.select("page_id", "url", F.array_join("kept", "\n\n").alias("text"))
     return text.select("*", F.char_length("text").cast("long").alias("n_chars"))
