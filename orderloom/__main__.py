@@ -37,8 +37,8 @@ def check_landing(spark, args):
 def validate_stream(spark, args):
     """Events are Parquet files with one base64 payload per row in `data`."""
     data = T.StructType([T.StructField("data", T.StringType())])
-    events = files.stream_table(spark, args.events, data, args.files_per_trigger)
-    stream_validate(events, args.good, args.bad, args.checkpoint, EVERY_MINUTE).awaitTermination()
+    events = files.stream_table(spark, args.events, data, args.files_per_trigger, ("source", "source_day"))
+    stream_validate(events, args.good, args.bad, args.deliveries, args.checkpoint, EVERY_MINUTE).awaitTermination()
 
 
 def load_facts(spark, args):
@@ -47,12 +47,12 @@ def load_facts(spark, args):
 
 
 def load_customers(spark, args):
-    landed = files.stream_table(spark, args.landed, DIM_CUSTOMER, args.files_per_trigger)
+    landed = files.stream_table(spark, args.landed, DIM_CUSTOMER, args.files_per_trigger, ("sent_at",))
     stream_customer_merge(landed, args.table, args.checkpoint, EVERY_MINUTE).awaitTermination()
 
 
 def compact(spark, args):
-    compact_table(spark, args.table, args.new_table, args.partition_by, tuple(args.drop))
+    compact_table(spark, args.table, args.new_table, args.partition_by)
 
 
 def main() -> None:
@@ -70,14 +70,13 @@ def main() -> None:
     job(silver_to_gold, "silver", "gold")
     job(check_landing, "root", "manifest")
     for run, names in (
-        (validate_stream, ("events", "good", "bad", "checkpoint")),
+        (validate_stream, ("events", "good", "bad", "deliveries", "checkpoint")),
         (load_facts, ("landed", "mart", "checkpoint")),
         (load_customers, ("landed", "table", "checkpoint")),
     ):
         job(run, *names).add_argument("--files-per-trigger", type=int)
     sub = job(compact, "table", "new_table")
     sub.add_argument("--partition-by", default="order_day")
-    sub.add_argument("--drop", nargs="*", default=["load_id"])
     args = parser.parse_args()
     args.run(session(f"orderloom-{args.job}"), args)
 

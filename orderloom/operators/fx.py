@@ -61,11 +61,17 @@ def filled_days(rates: DataFrame) -> int:
     return spans.agg(F.coalesce(F.sum("days"), F.lit(0))).first()[0]
 
 
-def _with_latest(joined: DataFrame, spans: DataFrame, size: int, limit: int) -> DataFrame:
-    """Give lines after the last known day their currency's latest rate."""
+def _with_latest(joined: DataFrame, spans: DataFrame, size: int) -> DataFrame:
+    """Give lines after the last known day their currency's latest rate.
+
+    Currencies are no more than filled days; only where those are too many to
+    broadcast are the currencies counted for themselves.
+    """
+    if size > BROADCAST_LIMIT:
+        size = latest_rates(spans).count() * ROW_BYTES
     late = F.when(F.col("order_day") > F.col("last_day"), F.col("last_conversion"))
     return (
-        lookup_join(joined, latest_rates(spans), ["currency"], size=size, limit=limit)
+        lookup_join(joined, latest_rates(spans), ["currency"], size=size)
         .withColumn("conversion", F.coalesce("conversion", late))
         .drop("last_day", "last_conversion")
     )
@@ -85,7 +91,7 @@ def fx_forward_fill(
     filled = lookup_join(
         lines, forward_filled(spans), ["currency", "order_day"], size=size, limit=limit, **salting
     )
-    return _with_latest(filled, spans, size, limit).select(*lines.columns, "conversion")
+    return _with_latest(filled, spans, size).select(*lines.columns, "conversion")
 
 
 def fx_asof(
@@ -120,6 +126,6 @@ def fx_asof(
         within=within,
         **salting,
     )
-    return _with_latest(joined.drop("month", "since", "until"), spans, size, limit).select(
+    return _with_latest(joined.drop("month", "since", "until"), spans, size).select(
         *lines.columns, "conversion"
     )

@@ -2,32 +2,40 @@
 
 from collections.abc import Callable
 
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, functions as F, types as T
 
-# A lookup is broadcast only up to this size as estimated by the optimizer.
+# A lookup is broadcast only up to this size in memory.
 BROADCAST_LIMIT = 32 * 1024 * 1024
 
-# A key with more rows than HOT_ROWS is hot. Only the HOT_PARTS largest are
-# looked at: any other key holds less than 1/HOT_PARTS of the rows.
+# Files hold a table compressed; in memory it is taken to be this much larger.
+EXPANSION = 8
+
+# A key with more rows than this is split into parts of about as many.
 HOT_ROWS = 1_000_000
-HOT_PARTS = 1000
-SALTS = 64
 
 
 def estimated_bytes(df: DataFrame) -> int:
-    """Size of a frame as the optimizer estimates it, without running anything."""
-    return int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
+    """Size in memory of a frame by the optimizer's estimate, without running anything.
+
+    Fair for a plain scan; over joins the estimate multiplies and only errs upwards.
+    """
+    return EXPANSION * int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
+
 
+def measured_bytes(df: DataFrame) -> int:
+    """Size of a written table in memory, from one pass: its texts, and 32 bytes a row and 8 a cell besides."""
+    texts = [F.coalesce(F.sum(F.octet_length(f.name)), F.lit(0)) for f in df.schema.fields if f.dataType == T.StringType()]
+    return sum(df.agg(F.count(F.lit(1)) * (32 + 8 * len(df.columns)), *texts).first())
 
-def hot_keys(df: DataFrame, *keys: str, rows: int = HOT_ROWS, parts: int = HOT_PARTS) -> list[int]:
-    """Hashes of the keys behind more than `rows` rows, at most `parts` of them.
 
-    One job over the key columns alone; counts combine before the shuffle and
-    each task passes on only its largest keys.
+def hot_keys(df: DataFrame, *keys: str, rows: int = HOT_ROWS) -> DataFrame:
+    """Hash and number of parts of every key behind more than `rows` rows.
+
+    Counts over the key columns alone, combined before the shuffle. There are
+    at most total/`rows` such keys: a million, or 16 MB, for 10^12 rows.
     """
-    counts = df.groupBy(F.xxhash64(*keys).alias("key")).agg(F.count(F.lit(1)).alias("n"))
-    top = counts.filter(F.col("n") > rows).orderBy(F.desc("n")).limit(parts)
-    return [row["key"] for row in top.collect()]
+    counts = df.groupBy(F.xxhash64(*keys).alias("_key")).agg(F.count(F.lit(1)).alias("n"))
+    return counts.filter(F.col("n") > rows).select("_key", F.ceil(F.col("n") / rows).cast("int").alias("_parts"))
 
 
 def salted_join(
@@ -35,31 +43,31 @@ def salted_join(
     right: DataFrame,
     on: list[str],
     how: str = "left",
-    hot: list[int] | None = None,
+    hot: DataFrame | None = None,
     within: Column | None = None,
     spread: list[str] | None = None,
-    salts: int = SALTS,
 ) -> DataFrame:
     """Equi join that splits hot keys of `left` over several tasks; the result is exact.
 
     Rows of a hot key get a salt from a hash of their `spread` columns (all
-    others by default), and only the `right` rows of hot keys are repeated per
-    salt. A hash rather than a random number keeps retried tasks in step.
-    `hot` holds key hashes and only steers the balance: any list gives the
-    same rows. Without hot keys this is a plain join. `within` is an extra
-    join condition.
+    others by default), and only the `right` rows of hot keys are repeated, once
+    per part. A hash rather than a random number keeps retried tasks in step.
+    `hot` holds key hashes and parts as `hot_keys` gives them and only steers
+    the balance: any such frame gives the same rows. Nothing runs before the
+    join itself does. `within` is an extra join condition.
     """
     if how not in ("inner", "left"):
         raise ValueError(f"only inner and left joins can be salted, not {how!r}")
-    hot = hot_keys(left, *on) if hot is None else hot
-    if not hot:
-        return _equi(left, right, on, how, within)
-    is_hot = F.xxhash64(*on).isin(hot)
-    spread = spread or [c for c in left.columns if c not in on]
-    salt = F.when(is_hot, F.pmod(F.xxhash64(*spread), F.lit(salts)).cast("int")).otherwise(F.lit(0))
-    every = F.when(is_hot, F.sequence(F.lit(0), F.lit(salts - 1))).otherwise(F.array(F.lit(0)))
-    left = left.withColumn("_salt", salt)
-    right = right.withColumn("_salt", F.explode(every))
+    hot = F.broadcast(hot_keys(left, *on) if hot is None else hot)
+    spread = spread or [c for c in left.columns if c not in on] or on
+    parts = F.coalesce("_parts", F.lit(1))
+
+    def marked(df, salt):
+        keyed = df.withColumn("_key", F.xxhash64(*on)).join(hot, "_key", "left")
+        return keyed.withColumn("_salt", salt).drop("_key", "_parts")
+
+    left = marked(left, F.pmod(F.xxhash64(*spread), parts).cast("int"))
+    right = marked(right, F.explode(F.sequence(F.lit(0), parts - 1)))
     return _equi(left, right, [*on, "_salt"], how, within).drop("_salt")
 
 
@@ -72,12 +80,12 @@ def lookup_join(
     limit: int = BROADCAST_LIMIT,
     within: Column | None = None,
     reduced: bool = False,
-    hot: Callable[[], list[int]] | None = None,
+    hot: Callable[[], DataFrame] | None = None,
     **salting,
 ) -> DataFrame:
     """Join a large frame to a lookup: broadcast up to `limit` bytes, salted beyond it.
 
-    `size` is the proven size of the lookup where the caller has one; the
+    `size` is the measured size of the lookup where the caller has one; the
     optimizer's estimate of the lookup is used otherwise. A left side already
     `reduced` to few rows per key has no hot keys and is joined without salt.
     `hot` finds the hot keys more cheaply than from `left`, for instance in the

@@ -6,6 +6,9 @@ from orderloom.operators.dims import with_validity
 from orderloom.operators.joins import one_per_key
 from orderloom.schemas import DIM_CUSTOMER, LINE_KEY, VERSION_KEY
 
+# The folder level that tells the loads of a table apart.
+LOAD = "load_id"
+
 
 def conform(df: DataFrame, schema: T.StructType) -> DataFrame:
     """Columns of `schema` picked by name, whatever the case, and cast to its types; null where a type cannot hold a value."""
@@ -15,7 +18,7 @@ def conform(df: DataFrame, schema: T.StructType) -> DataFrame:
 def write_table(
     df: DataFrame,
     path: str,
-    partition_by: str | None = None,
+    partition_by: str | list[str] | None = None,
     sort_by: tuple[str, ...] = (),
     only_touched: bool = False,
 ) -> str:
@@ -26,24 +29,29 @@ def write_table(
     task tightens the row-group statistics. With `only_touched`, folders
     absent from `df` keep their content, which makes day-wise reruns safe.
     """
-    if partition_by:
-        df = df.hint("rebalance", partition_by).sortWithinPartitions(partition_by, *sort_by)
+    folders = [partition_by] if isinstance(partition_by, str) else partition_by or []
+    if folders:
+        df = df.hint("rebalance", *folders).sortWithinPartitions(*folders, *sort_by)
     writer = df.write.mode("overwrite")
-    if partition_by:
-        writer = writer.partitionBy(partition_by)
+    if folders:
+        writer = writer.partitionBy(*folders)
         writer = writer.option("partitionOverwriteMode", "dynamic" if only_touched else "static")
     writer.parquet(path)
     return path
 
 
 def compact_table(
-    spark: SparkSession, path: str, new_path: str, partition_by: str = "order_day", drop: tuple[str, ...] = ()
+    spark: SparkSession, path: str, new_path: str, partition_by: str = "order_day"
 ) -> str:
     """Rewrite a table of many small files to a new path; the caller then switches over.
 
-    `drop` names folder levels to fold away, such as the load folders of a stream.
+    The loads of a streamed table become one load, in the same folder levels,
+    so the stream goes on at the new path and still finds what it has landed.
     """
-    return write_table(spark.read.parquet(path).drop(*drop), new_path, partition_by)
+    rows = spark.read.parquet(path)
+    if LOAD not in rows.columns:
+        return write_table(rows, new_path, partition_by)
+    return write_table(rows.withColumn(LOAD, F.lit("compacted")), new_path, [partition_by, LOAD])
 
 
 def not_in(delta: DataFrame, target: DataFrame, keys: list[str]) -> DataFrame:

@@ -61,7 +61,7 @@ def top_products_by_region(
     top: int = 3,
     product_size: int | None = None,
     customer_size: int | None = None,
-    hot_customers: Callable[[], list[int]] | None = None,
+    hot_customers: Callable[[], DataFrame] | None = None,
 ) -> DataFrame:
     """Products ranked by realised revenue within each region, ties kept.
 

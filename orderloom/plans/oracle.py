@@ -31,10 +31,10 @@ b_edges AS (
   SELECT CAST(100 + r_regionkey AS INTEGER), r_name, 'all' FROM region WHERE r_name <> 'MIDDLE EAST'
 ),
 b_rates AS (
-  SELECT CAST(o_orderdate AS DATE) AS fx_date,
+  SELECT CAST(date_trunc('week', o_orderdate) AS DATE) AS fx_date,
          CASE o_orderkey % 3 WHEN 0 THEN 'USD' WHEN 1 THEN 'YEN' ELSE 'EUR' END AS currency,
          COUNT(*) * 0.5e0 + 1.0e0 AS conversion
-  FROM orders WHERE o_orderkey % 7 = 0 GROUP BY 1, 2
+  FROM orders GROUP BY 1, 2
 ),
 b_customer AS (
   SELECT CASE WHEN o_custkey % 103 = 0 THEN ' ' ELSE o_custkey || ' ' END AS cust_id,
@@ -176,12 +176,28 @@ _EVENTS = """
 arrived AS (SELECT *, CASE WHEN prod_id LIKE '%99' THEN 'decode' ELSE dq_reason END AS verdict FROM flagged)"""
 
 _GOOD_EVENTS = """
-SELECT DISTINCT prefix || '-' || CASE WHEN length(significant) >= 3 THEN significant
+SELECT prefix || '-' || CASE WHEN length(significant) >= 3 THEN significant
                                      ELSE lpad(significant, 3, '0') END AS order_id,
        cust AS cust_id, strftime(ts, '%-m/%-d/%Y %H:%M') AS order_date, pid AS prod_id,
        CAST(q AS BIGINT) AS quantity, st AS status
 FROM arrived WHERE verdict IS NULL"""
 
+_MANIFEST = """
+notified AS (
+  SELECT *, 'bronze/raw/' || dataset || '/day 1/' || CASE WHEN p_partkey % 13 = 0 THEN '_' ELSE '' END
+            || p_name || '-' || p_partkey || CASE WHEN p_partkey % 5 = 0 THEN '.json' ELSE '.csv' END AS key,
+         CASE WHEN p_partkey % 11 = 0 THEN 0 ELSE p_partkey * 10 END AS size
+  FROM (SELECT *, ['customer', 'orders', 'product', 'prod_cat_tree', 'currency_conversion', 'surprise']
+                  [p_partkey % 6 + 1] AS dataset FROM part) placed
+),
+manifest AS (
+  SELECT key, dataset, size, CASE WHEN reason IS NULL THEN 'accepted' ELSE 'rejected' END AS status, reason
+  FROM (SELECT *, CASE WHEN dataset = 'surprise' THEN 'unexpected_dataset:surprise'
+                       WHEN p_partkey % 13 = 0 THEN 'hidden_name' WHEN p_partkey % 11 = 0 THEN 'empty_file'
+                       WHEN p_partkey % 7 = 0 AND p_partkey % 5 <> 0 THEN 'missing_or_malformed_header' END AS reason
+        FROM notified) judged
+)"""
+
 _CONVERSION = f"""
 SELECT ROUND(SUM(earned) FILTER (realised), 4) AS revenue_usd,
        COUNT(*) FILTER (realised) AS realized_orders,
@@ -315,8 +331,23 @@ FROM priced""",
 FROM (SELECT verdict, order_id, cust_id, order_date, prod_id, quantity, status, COUNT(*) AS copies
       FROM arrived WHERE verdict IS NOT NULL GROUP BY 1, 2, 3, 4, 5, 6, 7) distinct_events GROUP BY 1""",
         ),
-        "unified_orders": lines,
+        "stream_counts": _with(
+            *_ORDERS, _EVENTS, select="SELECT COUNT(*) - COUNT(verdict) AS good, COUNT(verdict) AS bad FROM arrived"
+        ),
+        # Late lines come as events only, so broken events leave no line.
+        "unified_orders": _with(
+            *_ORDERS,
+            select=f"""SELECT order_id, MIN(cust_id) AS cust_id, prod_id, order_ts, order_day, quantity, status FROM clean
+WHERE order_day < DATE '{FIRST_LATE_DAY}' OR NOT suffix(CAST(prod_id AS VARCHAR), '99')
+GROUP BY order_id, prod_id, order_ts, order_day, quantity, status""",
+        ),
+        "landing_manifest": _with(_MANIFEST, select="SELECT * FROM manifest"),
+        "landing_summary": _with(
+            _MANIFEST,
+            select="""SELECT dataset, status, COUNT(*) AS files, CAST(SUM(size) AS BIGINT) AS bytes
+FROM manifest GROUP BY dataset, status""",
+        ),
         "stream_incremental_load": _with(*_FACT, select=_mart()),
-        "stream_customer_merge": dim_customer,
+        "stream_customer_merge": _merged(),
         "stream_dedup": "SELECT * FROM events",
     }

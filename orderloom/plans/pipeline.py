@@ -83,10 +83,14 @@ def bronze_to_silver(
 
     clean = orders.good_lines(checked.filter("not rejected"))
     priced = fact.priced_orders(
-        orders.dedup_orders(clean), read("dim_product"), hot=lambda: joins.hot_keys(clean, "prod_id")
+        orders.dedup_orders(clean),
+        read("dim_product"),
+        size=joins.measured_bytes(read("dim_product")),
+        hot=lambda: joins.hot_keys(clean, "prod_id"),
     )
+    write_table(fx.daily_rates(raw.rates), at("fx_rates"))
     write_table(
-        fact.fact_orders(priced, fx.daily_rates(raw.rates)), at("fact_orders"), "order_day", ("cust_id",)
+        fact.fact_orders(priced, read("fx_rates")), at("fact_orders"), "order_day", ("cust_id",)
     )
     names = ["fact_orders", "orders_quarantine", "dim_customer", "customer_quarantine", "dim_category", "dim_product"]
     return quality.stage_counts({name: read(name) for name in names})

@@ -10,6 +10,7 @@ from orderloom.plans import pipeline
 from orderloom.plans.star import Star
 from orderloom.schemas import (
     CHECKED_ORDERS,
+    DELIVERY,
     DIM_CUSTOMER,
     MART_FACT,
     RAW_ORDERS,
@@ -18,7 +19,7 @@ from orderloom.schemas import (
 from orderloom.sources import bridge, files, landing
 from orderloom.sources.storage import work_folder
 from orderloom.streaming import dedup, validate
-from orderloom.streaming.load import newest_version, stream_customer_merge, stream_incremental_load
+from orderloom.streaming.load import newest_version, stream_customer_merge, stream_incremental_load as start_load
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -53,7 +54,7 @@ def scan_table(spark, sf_dir):
     return files.scan_table(spark, path)
 
 
-def landed_files(spark, sf_dir):
+def landing_scan(spark, sf_dir):
     """Raw files of every dataset and a few faulty ones, written from the tables, then listed."""
     root = work_folder(spark, "landing")
     s = star(spark, sf_dir)
@@ -64,35 +65,31 @@ def landed_files(spark, sf_dir):
     return landing.landing_manifest(landing.with_heads(landing.list_landed(spark, root)))
 
 
-def landing_summary(spark, sf_dir):
-    return landing.landing_summary(landed_files(spark, sf_dir))
+def landing_manifest(spark, sf_dir):
+    """Notified files, one per part, with encoded keys and faults of every kind."""
+    return landing.landing_manifest(landing.landed_keys(bridge.notifications(spark, sf_dir)))
 
 
-# Tables and loads
+def landing_summary(spark, sf_dir):
+    return landing.landing_summary(landing_manifest(spark, sf_dir))
 
 
-def _by_month(df):
-    return df.withColumn("order_month", F.date_format("order_day", "yyyy-MM"))
+# Tables and loads
 
 
 def write_table(spark, sf_dir):
-    """The fact as one folder per month, sorted by day within, and read back.
-
-    The file-to-gold run keeps one folder per day; by month the many small
-    folders of these tables do not drown the work itself.
-    """
+    """The fact as one folder per day, sorted by customer within, and read back."""
     path = f"{work_folder(spark, 'write_table')}/fact_orders"
-    load.write_table(_by_month(star(spark, sf_dir).fact), path, "order_month", ("order_day", "cust_id"))
-    return files.scan_table(spark, path).drop("order_month")
+    load.write_table(star(spark, sf_dir).fact, path, "order_day", ("cust_id",))
+    return files.scan_table(spark, path)
 
 
 def compact_table(spark, sf_dir):
-    """Many small files per order month rewritten as well-sized ones."""
+    """Many small files per order day rewritten as well-sized ones."""
     root = work_folder(spark, "compact_table")
-    lines = _by_month(star(spark, sf_dir).lines)
-    lines.write.partitionBy("order_month").parquet(f"{root}/small")
-    load.compact_table(spark, f"{root}/small", f"{root}/compact", "order_month")
-    return files.scan_table(spark, f"{root}/compact").drop("order_month")
+    star(spark, sf_dir).lines.write.partitionBy("order_day").parquet(f"{root}/small")
+    load.compact_table(spark, f"{root}/small", f"{root}/compact")
+    return files.scan_table(spark, f"{root}/compact")
 
 
 def _late():
@@ -105,50 +102,57 @@ def idempotent_append(spark, sf_dir):
     return load.idempotent_append(s.clean, s.lines.filter(~_late()))
 
 
-def scd2_merge(spark, sf_dir):
-    """Later versions, and earlier ones of some customers again, merged into the early dimension."""
-    versions = star(spark, sf_dir).dim_customer
+def _version_deliveries(versions):
+    """Early versions, then later ones together with corrections of early ones."""
     early = F.col("valid_from") < FIRST_LATE_DAY
-    target = load.with_validity(versions.filter(early))
     resent = (F.length("zip") == 5) & F.col("zip").endswith("7")
     delta = versions.filter(~early | resent).withColumn("zip", F.concat("zip", F.lit("-0")))
-    return load.scd2_merge(target, delta)
+    return versions.filter(early), delta
+
+
+def scd2_merge(spark, sf_dir):
+    """Later versions, and earlier ones of some customers again, merged into the early dimension."""
+    early, delta = _version_deliveries(star(spark, sf_dir).dim_customer)
+    return load.scd2_merge(load.with_validity(early), delta)
 
 
 # Streams
 
 
-def events(spark, sf_dir):
-    """Order lines as a stream of base64 JSON events, some of them broken."""
+def events(spark, sf_dir, where="true"):
+    """Order lines as a stream of base64 JSON events, some of them broken; only orders for which `where` holds."""
     static = bridge.table(spark, sf_dir, "lineitem")
-    lines = files.stream_table(spark, f"{sf_dir}/lineitem.parquet", static.schema).select(bridge.LINE_COLUMNS)
+    lines = files.stream_table(spark, f"{sf_dir}/lineitem.parquet", static.schema, origin=tuple(validate.SOURCE))
     raw = bridge.order_lines(
-        lines,
-        bridge.table(spark, sf_dir, "orders"),
+        lines.select(*bridge.LINE_COLUMNS, *validate.SOURCE),
+        bridge.table(spark, sf_dir, "orders").filter(where),
         lambda: joins.hot_keys(static, "l_orderkey"),
+        keep=tuple(validate.SOURCE),
     )
     text = F.to_json(F.struct(*RAW_ORDERS.names))
     broken = F.coalesce(F.col("prod_id").endswith("99"), F.lit(False))
-    return raw.select(F.base64(F.when(broken, F.concat(text, F.lit(" x"))).otherwise(text)).alias("data"))
+    data = F.base64(F.when(broken, F.concat(text, F.lit(" x"))).otherwise(text))
+    return raw.select(data.alias("data"), *validate.SOURCE)
 
 
-def _validated(spark, sf_dir):
+def _validated(spark, sf_dir, where="true"):
+    """Good events, dead letters and delivery counters after the whole stream was delivered twice."""
     root = work_folder(spark, "stream_validate")
-    good, bad = f"{root}/good", f"{root}/bad"
+    out = [f"{root}/{name}" for name in ("good", "bad", "deliveries")]
     for attempt in ("first", "replay"):
-        validate.stream_validate(events(spark, sf_dir), good, bad, f"{root}/{attempt}").awaitTermination()
-    return good, bad
+        validate.stream_validate(events(spark, sf_dir, where), *out, f"{root}/{attempt}").awaitTermination()
+    return out
 
 
 def stream_validate(spark, sf_dir):
-    """Good events after the whole stream was delivered twice."""
-    good, _ = _validated(spark, sf_dir)
+    """Every good event once, equal ones included."""
+    good, _, _ = _validated(spark, sf_dir)
     return spark.read.schema(STREAM_ORDERS).json(good).select(*STREAM_ORDERS.names)
 
 
 def stream_dead_letters(spark, sf_dir):
-    """Dead letters by reason after the whole stream was delivered twice."""
-    _, bad = _validated(spark, sf_dir)
+    """Dead letters and rejected events by reason."""
+    _, bad, _ = _validated(spark, sf_dir)
     schema = T.StructType.fromDDL("data string, raw string, copies bigint, dq_reason string")
     letters = spark.read.schema(schema).json(bad)
     return letters.groupBy("dq_reason").agg(
@@ -156,49 +160,52 @@ def stream_dead_letters(spark, sf_dir):
     )
 
 
+def stream_counts(spark, sf_dir):
+    """Good and bad events of all deliveries."""
+    _, _, deliveries = _validated(spark, sf_dir)
+    return spark.read.schema(DELIVERY).parquet(deliveries).agg(F.sum("good").alias("good"), F.sum("bad").alias("bad"))
+
+
 def unified_orders(spark, sf_dir):
     """Early lines from batch files and late ones from the stream, cleaned together."""
     root = work_folder(spark, "unified_orders")
-    raw = bridge.raw_orders(spark, sf_dir)
-    pipeline.write_csv(raw, f"{root}/csv")
+    late = f"o_orderdate >= '{FIRST_LATE_DAY}'"
+    pipeline.write_csv(bridge.raw_orders(spark, sf_dir, f"not ({late})"), f"{root}/csv")
     batch = files.scan_csv(spark, f"{root}/csv", RAW_ORDERS)
-    validate.stream_validate(
-        events(spark, sf_dir), f"{root}/good", f"{root}/bad", f"{root}/checkpoint"
-    ).awaitTermination()
-    stream = spark.read.schema(STREAM_ORDERS).json(f"{root}/good")
+    good, _, _ = _validated(spark, sf_dir, late)
+    stream = spark.read.schema(STREAM_ORDERS).json(good)
     return orders.dedup_orders(orders.clean_orders(pipeline.unified_orders(batch, stream)))
 
 
 def stream_incremental_load(spark, sf_dir):
-    """Fact files streamed into the mart, delivered a second time under a new checkpoint."""
+    """Fact files streamed into the mart by day, delivered a second time under a new checkpoint."""
     root = work_folder(spark, "incremental_load")
     landed = star(spark, sf_dir).fact
     load.write_table(landed, f"{root}/landed")
     for attempt in ("first", "replay"):
         source = files.stream_table(spark, f"{root}/landed", landed.schema)
-        _incremental(source, f"{root}/mart", f"{root}/{attempt}").awaitTermination()
+        start_load(source, f"{root}/mart", f"{root}/{attempt}").awaitTermination()
     mart = spark.read.parquet(f"{root}/mart")
     money = ["quantity", "conversion", "price", "revenue_usd"]
     return mart.select(*MART_FACT.names).withColumns({c: F.col(c).cast("double") for c in money})
 
 
-def _incremental(source, target, checkpoint):
-    from orderloom.streaming.load import stream_incremental_load as start
-
-    return start(source, target, checkpoint, partition_by="order_month")
-
-
 def stream_merge(spark, sf_dir):
-    """Customer versions streamed into the dimension in two deliveries."""
+    """Early versions streamed into the dimension, then later ones and corrections, then all of them again."""
     root = work_folder(spark, "customer_merge")
-    versions = star(spark, sf_dir).dim_customer
-    load.write_table(versions, f"{root}/landed")
-    for attempt in ("first", "replay"):
-        source = files.stream_table(spark, f"{root}/landed", DIM_CUSTOMER)
-        stream_customer_merge(source, f"{root}/dim", f"{root}/{attempt}").awaitTermination()
+    landed = f"{root}/landed"
+    for delivery in _version_deliveries(star(spark, sf_dir).customers):
+        delivery.write.mode("append").parquet(landed)
+        _merge_landed(spark, root, "first")
+    _merge_landed(spark, root, "replay")
     return spark.read.parquet(newest_version(spark, f"{root}/dim"))
 
 
+def _merge_landed(spark, root, checkpoint):
+    source = files.stream_table(spark, f"{root}/landed", DIM_CUSTOMER, origin=("sent_at",))
+    stream_customer_merge(source, f"{root}/dim", f"{root}/{checkpoint}").awaitTermination()
+
+
 def stream_dedup(spark, sf_dir):
     """Events delivered in duplicate, dropped by id within the watermark."""
     root = work_folder(spark, "stream_dedup")
@@ -244,17 +251,22 @@ def stage_counts(spark, sf_dir):
 
 
 def salted_join(spark, sf_dir):
-    """Lines priced through the salted path, the fifty busiest products taken as hot."""
+    """Lines priced through the salted path, products of more than ten lines taken as hot."""
     s = star(spark, sf_dir)
-    hot = joins.hot_keys(s.lines, "prod_id", rows=1, parts=50)
-    prices = s.dim_product.select("prod_id", "price", "currency")
-    return joins.salted_join(s.lines, prices, ["prod_id"], hot=hot, salts=4)
+    hot = joins.hot_keys(s.lines, "prod_id", rows=10)
+    prices = s.products.select("prod_id", "price", "currency")
+    return joins.salted_join(s.lines, prices, ["prod_id"], hot=hot)
 
 
 def top_products_by_region(spark, sf_dir):
     s = star(spark, sf_dir)
     return metrics.top_products_by_region(
-        s.fact, s.dim_product, s.dim_customer, product_size=s.product_size, hot_customers=s.hot_customers
+        s.fact,
+        s.products,
+        s.customers,
+        product_size=s.product_size,
+        customer_size=s.customer_size,
+        hot_customers=s.hot_customers,
     )
 
 
@@ -263,10 +275,10 @@ def all_queries() -> dict[str, Query]:
         return lambda spark, sf_dir: build(star(spark, sf_dir))
 
     return {
-        "dau_by_region": on_star(lambda s: metrics.dau_by_region(s.lines, s.dim_customer)),
+        "dau_by_region": on_star(lambda s: metrics.dau_by_region(s.lines, s.customers, s.customer_size)),
         "category_conversion": on_star(lambda s: metrics.category_conversion(s.fact, BRIDGE_CATEGORY)),
         "top_products_by_region": top_products_by_region,
-        "customer_lifetime_value": on_star(lambda s: metrics.customer_lifetime_value(s.fact, s.dim_customer)),
+        "customer_lifetime_value": on_star(lambda s: metrics.customer_lifetime_value(s.fact, s.customers, s.customer_size)),
         "duplicate_orders": on_star(lambda s: orders.duplicate_orders(s.clean)),
         "dq_reason_counts": on_star(lambda s: orders.dq_reason_counts(s.quarantine)),
         "clean_orders": on_star(lambda s: s.clean),
@@ -277,9 +289,9 @@ def all_queries() -> dict[str, Query]:
         "category_rollup": on_star(lambda s: s.dim_category),
         "dim_product": on_star(lambda s: s.dim_product),
         "dim_date": on_star(lambda s: s.dim_date),
-        "fx_exact": on_star(lambda s: fx.fx_exact(s.priced, s.raw.rates)),
-        "fx_asof": on_star(lambda s: fx.fx_asof(s.priced, s.raw.rates)),
-        "fx_forward_fill": on_star(lambda s: fx.fx_forward_fill(s.priced, s.raw.rates)),
+        "fx_exact": on_star(lambda s: fx.fx_exact(s.priced, s.rates, joins.measured_bytes(s.rates))),
+        "fx_asof": on_star(lambda s: fx.fx_asof(s.priced, s.rates)),
+        "fx_forward_fill": on_star(lambda s: fx.fx_forward_fill(s.priced, s.rates)),
         "fact_orders": on_star(lambda s: s.fact),
         "salted_join": salted_join,
         "idempotent_append": idempotent_append,
@@ -291,10 +303,12 @@ def all_queries() -> dict[str, Query]:
         "scan_table": scan_table,
         "write_table": write_table,
         "compact_table": compact_table,
-        "landing_manifest": landed_files,
+        "landing_scan": landing_scan,
+        "landing_manifest": landing_manifest,
         "landing_summary": landing_summary,
         "stream_validate": stream_validate,
         "stream_dead_letters": stream_dead_letters,
+        "stream_counts": stream_counts,
         "unified_orders": unified_orders,
         "stream_incremental_load": stream_incremental_load,
         "stream_customer_merge": stream_merge,

@@ -6,7 +6,9 @@ from functools import cached_property
 from pyspark.sql import DataFrame, functions as F
 
 from orderloom.functions import rules
-from orderloom.operators import dims, fact, joins, orders
+from orderloom.operators import dims, fact, fx, joins, orders
+from orderloom.operators.load import write_table
+from orderloom.sources.storage import work_folder
 
 
 @dataclass(frozen=True)
@@ -23,9 +25,9 @@ class Raw:
 class Star:
     """Frames of the star schema over one set of raw inputs.
 
-    Nothing is computed until a frame is written or collected, and a consumer
-    of a few columns makes Spark skip the rest of the chain. A dimension's size
-    is judged by its raw input, which bounds its row count.
+    Lines are computed when they are written or collected, and a consumer of a
+    few columns makes Spark skip the rest of the chain. The lookups that lines
+    are joined to (`categories`, `customers`, `products`, `rates`) are written on first use.
     """
 
     def __init__(self, raw: Raw, flagged: DataFrame | None = None):
@@ -59,30 +61,51 @@ class Star:
 
     @cached_property
     def dim_product(self) -> DataFrame:
-        return dims.dim_product(self.raw.products, self.dim_category, self.category_size)
+        return dims.dim_product(self.raw.products, self.categories, joins.measured_bytes(self.categories))
+
+    def _kept(self, df: DataFrame, name: str) -> DataFrame:
+        """A lookup written once and read back: its size can then be measured, and plans on it are short."""
+        path = f"{work_folder(df.sparkSession, 'star')}/{name}"
+        return df.sparkSession.read.schema(df.schema).parquet(write_table(df, path))
+
+    @cached_property
+    def categories(self) -> DataFrame:
+        return self._kept(self.dim_category, "dim_category")
+
+    @cached_property
+    def customers(self) -> DataFrame:
+        return self._kept(self.dim_customer, "dim_customer")
+
+    @cached_property
+    def products(self) -> DataFrame:
+        return self._kept(self.dim_product, "dim_product")
+
+    @cached_property
+    def rates(self) -> DataFrame:
+        return self._kept(fx.daily_rates(self.raw.rates), "fx_rates")
 
     @cached_property
-    def category_size(self) -> int:
-        return joins.estimated_bytes(self.raw.categories)
+    def customer_size(self) -> int:
+        return joins.measured_bytes(self.customers)
 
     @cached_property
     def product_size(self) -> int:
-        return joins.estimated_bytes(self.raw.products)
+        return joins.measured_bytes(self.products)
 
-    def hot_products(self) -> list[int]:
+    def hot_products(self) -> DataFrame:
         return joins.hot_keys(self.raw.orders.select(F.col("prod_id").try_cast("int").alias("prod_id")), "prod_id")
 
-    def hot_customers(self) -> list[int]:
+    def hot_customers(self) -> DataFrame:
         ids = self.raw.orders.select(rules.strip("cust_id").alias("cust_id"))
         return joins.hot_keys(ids, "cust_id")
 
     @cached_property
     def priced(self) -> DataFrame:
-        return fact.priced_orders(self.lines, self.dim_product, size=self.product_size, hot=self.hot_products)
+        return fact.priced_orders(self.lines, self.products, size=self.product_size, hot=self.hot_products)
 
     @cached_property
     def fact(self) -> DataFrame:
-        return fact.fact_orders(self.priced, self.raw.rates)
+        return fact.fact_orders(self.priced, self.rates)
 
     @cached_property
     def dim_date(self) -> DataFrame:

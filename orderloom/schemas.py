@@ -53,6 +53,9 @@ STREAM_ORDERS = _struct(
     "order_id string, cust_id string, order_date string, prod_id int, quantity bigint, status string"
 )
 
+# What was delivered of a stream: each source file with its good and bad events.
+DELIVERY = _struct("source string, good bigint, bad bigint, source_day date")
+
 DIM_CUSTOMER = _struct(
     "customer_sk string, cust_id string, country string, region string, type string, "
     "zip string, is_active boolean, valid_from date, valid_to date, is_current boolean"

@@ -9,6 +9,7 @@ from functools import cached_property, lru_cache
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F, types as T
 
 from orderloom.operators.joins import hot_keys, lookup_join
+from orderloom.schemas import DATASETS
 
 
 @lru_cache
@@ -33,8 +34,10 @@ def _slashed(day: str) -> Column:
 LINE_COLUMNS = ["l_orderkey", "l_partkey", "l_linenumber", "l_quantity"]
 
 
-def order_lines(lineitem: DataFrame, orders: DataFrame, hot: Callable[[], list[int]] | None = None) -> DataFrame:
-    """Raw order lines from a join of the two tables; one key in 41 is sent twice."""
+def order_lines(
+    lineitem: DataFrame, orders: DataFrame, hot: Callable[[], DataFrame] | None = None, keep: tuple[str, ...] = ()
+) -> DataFrame:
+    """Raw order lines from a join of the two tables; one key in 41 is sent twice. Columns `keep` of the lines stay."""
     key = "l_orderkey"
     orders = orders.select(F.col("o_orderkey").alias(key), "o_custkey", "o_orderstatus", "o_orderdate")
     status = F.when(F.col("o_orderstatus") == "F", " Paid").when(F.col("o_orderstatus") == "O", "created")
@@ -52,17 +55,34 @@ def order_lines(lineitem: DataFrame, orders: DataFrame, hot: Callable[[], list[i
         .otherwise(F.col("l_quantity").cast("int").cast("string"))
         .alias("quantity"),
         status.otherwise("SHIPPED").alias("status"),
+        *keep,
         F.explode(copies).alias("copy"),
     )
     return lines.drop("copy")
 
 
-def raw_orders(spark: SparkSession, sf_dir: str) -> DataFrame:
+def raw_orders(spark: SparkSession, sf_dir: str, where: str = "true") -> DataFrame:
+    """Raw order lines, of the orders for which `where` holds."""
     lineitem = table(spark, sf_dir, "lineitem").select(LINE_COLUMNS)
-    orders = table(spark, sf_dir, "orders")
+    orders = table(spark, sf_dir, "orders").filter(where)
     return order_lines(lineitem, orders, lambda: hot_keys(lineitem, "l_orderkey"))
 
 
+def notifications(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """One notified file per part: encoded key, size and head, with faults of every kind."""
+    key = "p_partkey"
+    folders = F.array(*[F.lit(name) for name in (*DATASETS, "surprise")])
+    folder = F.element_at(folders, (F.col(key) % 6 + 1).cast("int"))
+    name = F.concat(F.when(_every(key, 13), "_").otherwise(""), F.url_encode("p_name"), F.lit("-"), key)
+    suffix = F.when(_every(key, 5), ".json").otherwise(".csv")
+    head = F.when(_every(key, 7), "no header\n1,2").otherwise("a,b\n1,2")
+    return table(spark, sf_dir, "part").select(
+        F.concat(F.lit("bronze%2Fraw%2F"), folder, F.lit("%2Fday+1%2F"), name, suffix).alias("key"),
+        F.when(_every(key, 11), 0).otherwise(F.col(key) * 10).cast("bigint").alias("size"),
+        head.alias("head"),
+    )
+
+
 def raw_products(spark: SparkSession, sf_dir: str) -> DataFrame:
     key = "p_partkey"
     return table(spark, sf_dir, "part").select(
@@ -90,13 +110,12 @@ def raw_categories(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def raw_rates(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Sparse daily rates in three currencies, counted from one order in seven."""
+    """Sparse rates in three currencies, one per week, counted from all orders."""
     key = "o_orderkey"
     return (
         table(spark, sf_dir, "orders")
-        .filter(_every(key, 7))
         .groupBy(
-            F.to_date("o_orderdate").alias("fx_date"),
+            F.to_date(F.date_trunc("week", "o_orderdate")).alias("fx_date"),
             F.when(_every(key, 3), "USD").when(F.col(key) % 3 == 1, "YEN").otherwise("EUR").alias("currency"),
         )
         .agg((F.count(F.lit(1)) * 0.5 + 1.0).alias("conversion"))

@@ -39,12 +39,25 @@ def scan_table(spark: SparkSession, path: str) -> DataFrame:
     return spark.read.parquet(path)
 
 
+# Where a streamed row came from: its file, the UTC day that file was written on, and when.
+ORIGIN = {
+    "source": "_metadata.file_path",
+    "source_day": "date_from_unix_date(cast(floor(unix_seconds(_metadata.file_modification_time) / 86400) AS int))",
+    "sent_at": "_metadata.file_modification_time",
+}
+
+
 def stream_table(
-    spark: SparkSession, path: str, schema: T.StructType, files_per_trigger: int | None = None
+    spark: SparkSession,
+    path: str,
+    schema: T.StructType,
+    files_per_trigger: int | None = None,
+    origin: tuple[str, ...] = (),
 ) -> DataFrame:
     """Parquet files of a table as a stream, columns matched by name whatever the case.
 
     `path` is a folder or a single file; each file is read once per checkpoint.
+    `origin` names columns of `ORIGIN` to add.
     """
     reader = spark.readStream.schema(schema)
     if files_per_trigger:
@@ -52,4 +65,4 @@ def stream_table(
     if not storage.is_directory(spark, path):
         path, name = path.rsplit("/", 1)
         reader = reader.option("pathGlobFilter", name)
-    return reader.parquet(path)
+    return reader.parquet(path).select("*", *[F.expr(ORIGIN[c]).alias(c) for c in origin])

@@ -4,6 +4,8 @@ Folders are listed and file heads read inside tasks, so neither the number of
 files nor their size passes through the driver.
 """
 
+import codecs
+import re
 import sys
 from collections.abc import Iterator
 
@@ -14,8 +16,11 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from orderloom.schemas import DATASETS
 
-# Bytes of a file looked at for its header, and what ends a line.
-HEAD_BYTES = 2049
+# Bytes read at a time from the head of a file, and rows per frame of a listing.
+CHUNK = 4096
+LISTED = 10_000
+
+# Fixed value: what ends a line.
 LINE_END = r"\r\n|[\n\r\x0b\x0c\x1c-\x1e\x85\u2028\u2029]"
 
 # Ship the task functions themselves, so executors need no copy of this package.
@@ -38,8 +43,6 @@ def _children(uri: str, recursive: bool) -> list[tuple[str, int, bool]]:
     rows = []
     for info in found:
         below = info.path[len(path.rstrip("/")) + 1 :]
-        if any(part.startswith(("_", ".")) for part in below.split("/")):
-            continue
         rows.append((f"{base}/{below}", info.size or 0, info.type == fs.FileType.Directory))
     return rows
 
@@ -49,8 +52,8 @@ def _list_step(recursive: bool):
         for batch in batches:
             for path, size, is_dir in batch.itertuples(index=False):
                 rows = _children(path, recursive) if is_dir else [(path, size, False)]
-                if rows:
-                    yield pd.DataFrame(rows, columns=["path", "size", "is_dir"])
+                for at in range(0, len(rows), LISTED):
+                    yield pd.DataFrame(rows[at : at + LISTED], columns=["path", "size", "is_dir"])
 
     return step
 
@@ -59,8 +62,8 @@ def list_landed(spark: SparkSession, root: str) -> DataFrame:
     """Files below `root` as (path, key, size), key being the path after `root`.
 
     `root` is the bucket level: keys read bronze/raw/<dataset>/<partition>/file.
-    One folder level at a time is fanned out, the last one recursively. Names
-    starting with _ or . are skipped, as Spark's own readers do.
+    One folder level at a time is fanned out, the last one recursively. Hidden
+    names are listed too, so that the manifest can tell of them.
     """
     root = root.rstrip("/")
     level = spark.createDataFrame([(root, 0, True)], _ENTRY)
@@ -78,6 +81,17 @@ def landed_keys(notifications: DataFrame) -> DataFrame:
     return notifications.withColumn("key", F.try_url_decode("key"))
 
 
+def _head(system, name: str) -> str:
+    """Start of a file up to its first comma or line end; a chunk with neither is not kept."""
+    decode = codecs.getincrementaldecoder("utf-8")("ignore").decode
+    with system.open_input_stream(name) as stream:
+        while chunk := stream.read(CHUNK):
+            text = decode(chunk)
+            if "," in text or re.search(LINE_END, text):
+                return text
+    return ""
+
+
 def _read_heads(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
     for batch in batches:
         heads = []
@@ -86,14 +100,14 @@ def _read_heads(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
                 heads.append(None)
                 continue
             system, name = _open(path)
-            with system.open_input_stream(name) as stream:
-                heads.append(stream.read(HEAD_BYTES).decode("utf-8", "ignore"))
+            heads.append(_head(system, name))
         yield batch.assign(head=heads)
 
 
 def with_heads(files: DataFrame) -> DataFrame:
-    """Add the first bytes of every non-empty file that is not JSON, read in tasks."""
-    return files.mapInPandas(_read_heads, "path string, key string, size bigint, head string")
+    """Add the head of every non-empty file that is not JSON, read in tasks."""
+    tasks = int(files.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    return files.repartition(tasks, "path").mapInPandas(_read_heads, "path string, key string, size bigint, head string")
 
 
 def landing_manifest(files: DataFrame, datasets: list[str] = DATASETS) -> DataFrame:
@@ -106,6 +120,7 @@ def landing_manifest(files: DataFrame, datasets: list[str] = DATASETS) -> DataFr
     headless = ~F.col("key").endswith(".json") & ~first_line.contains(",")
     reason = (
         F.when(~F.col("dataset").isin(datasets), F.concat(F.lit("unexpected_dataset:"), "dataset"))
+        .when(F.exists(F.split("key", "/"), lambda part: part.rlike("^[_.]")), "hidden_name")
         .when(F.col("size") == 0, "empty_file")
         .when(headless, "missing_or_malformed_header")
     )

@@ -22,6 +22,11 @@ def is_directory(spark: SparkSession, path: str) -> bool:
     return _filesystem(spark, path).getFileStatus(_path(spark, path)).isDirectory()
 
 
+def names(spark: SparkSession, path: str) -> list[str]:
+    """Names directly below a folder."""
+    return [s.getPath().getName() for s in _filesystem(spark, path).listStatus(_path(spark, path))]
+
+
 def make_directory(spark: SparkSession, path: str) -> None:
     _filesystem(spark, path).mkdirs(_path(spark, path))
 

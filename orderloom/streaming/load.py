@@ -1,9 +1,8 @@
 """Incremental loads: new fact files into the mart, new customer versions into the dimension."""
 
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import DataFrame, types as T
 from pyspark.sql.streaming import StreamingQuery
 
-from orderloom.operators.joins import one_per_key
 from orderloom.operators.load import conform, scd2_merge, write_table
 from orderloom.schemas import DIM_CUSTOMER, LINE_KEY, MART_FACT
 from orderloom.sources import storage
@@ -26,12 +25,9 @@ def stream_incremental_load(
 
     def append(batch: DataFrame, batch_id: int) -> None:
         load = f"{stream_id(batch.sparkSession, checkpoint)}-{batch_id}"
-        rows = conform(batch, MART_FACT)
-        if partition_by not in rows.columns:
-            rows = rows.withColumn(partition_by, F.date_format("order_day", "yyyy-MM"))
-        rows = rows.persist()
+        rows = conform(batch, MART_FACT).persist()
         try:
-            land_once(rows, target, load, LINE_KEY, partition_by, lambda df: one_per_key(df, LINE_KEY))
+            land_once(rows, target, load, LINE_KEY, partition_by)
         finally:
             rows.unpersist()
 
@@ -63,11 +59,13 @@ def stream_customer_merge(
     Parquet cannot be changed in place, so each batch writes the merged
     dimension to a new numbered folder and readers take the newest complete
     one. A batch that runs twice merges the same rows twice, which changes nothing.
+    Where `landed` has `sent_at`, the row sent last wins among several of one version.
     """
 
     def merge(batch: DataFrame, batch_id: int) -> None:
         spark = batch.sparkSession
-        delta = conform(batch, DIM_CUSTOMER)
+        newest = "sent_at" if "sent_at" in batch.columns else None
+        delta = conform(batch, T.StructType([*DIM_CUSTOMER.fields, *[batch.schema[c] for c in [newest] if c]]))
         current = newest_version(spark, table)
         number = int(current.rsplit("=", 1)[1]) + 1 if current else 1
         target = (
@@ -75,7 +73,7 @@ def stream_customer_merge(
             if current
             else spark.createDataFrame([], DIM_CUSTOMER)
         )
-        write_table(scd2_merge(target, delta), f"{table}/snapshot={number:012d}")
+        write_table(scd2_merge(target, delta, newest), f"{table}/snapshot={number:012d}")
 
     return (
         landed.writeStream.foreachBatch(merge)

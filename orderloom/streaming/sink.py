@@ -1,21 +1,16 @@
 """Replay-safe landing of micro-batches as plain files."""
 
 import json
-from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 
-from orderloom.operators.load import not_in
+from orderloom.operators.joins import one_per_key
+from orderloom.operators.load import LOAD, not_in, write_table
+from orderloom.schemas import DELIVERY
 from orderloom.sources import storage
 
-# Up to this many partition values of a batch are named one by one when the
-# target is pruned; beyond it the range between the smallest and largest is used.
-MAX_NAMED_PARTITIONS = 400
-
-# A partition value with more rows than this goes to several files.
-ROWS_PER_FILE = 2_000_000
-
-LOAD = "load_id"
+# Fixed value: the folder name Spark gives to a null.
+NO_VALUE = "__HIVE_DEFAULT_PARTITION__"
 
 
 def stream_id(spark: SparkSession, checkpoint: str) -> str:
@@ -24,54 +19,52 @@ def stream_id(spark: SparkSession, checkpoint: str) -> str:
     return json.loads(text)["id"]
 
 
-def read_loads(spark: SparkSession, path: str, schema: T.StructType, partition_by: str, fmt: str) -> DataFrame:
-    """Everything landed so far, with its load and partition columns; empty if nothing is."""
+def read_folders(spark: SparkSession, path: str, schema: T.StructType, column: str, values: list) -> DataFrame:
+    """Rows of the folders `column`=value of a table, with their load.
+
+    One listing of the top level finds the folders that exist; only those are
+    opened, so the cost follows the values asked for and not the table.
+    """
     storage.make_directory(spark, path)
-    names = {f.name for f in schema.fields}
+    wanted = {f"{column}={NO_VALUE if v is None else v}" for v in values}
+    found = [f"{path}/{name}" for name in storage.names(spark, path) if name in wanted]
     full = T.StructType([*schema.fields, T.StructField(LOAD, T.StringType())])
-    if partition_by not in names:
-        full = full.add(partition_by, T.StringType())
-    return spark.read.schema(full).format(fmt).load(path)
-
-
-def _sized(batch: DataFrame, column: str) -> list:
-    """Partition values of a batch with their rows, largest first, and one more than may be named."""
-    counts = batch.groupBy(column).agg(F.count(F.lit(1)).alias("n"))
-    return counts.orderBy(F.desc("n")).limit(MAX_NAMED_PARTITIONS + 1).collect()
-
-
-def _pruned(target: DataFrame, batch: DataFrame, column: str, sized: list) -> DataFrame:
-    """The part of the target that shares partition values with the batch."""
-    values = [r[0] for r in sized if r[0] is not None]
-    if len(sized) <= MAX_NAMED_PARTITIONS:
-        named = F.col(column).isin(values)
-    else:
-        named = F.col(column).between(*batch.agg(F.min(column), F.max(column)).first())
-    return target.filter(named | F.col(column).isNull())
-
-
-def land_once(
-    batch: DataFrame,
-    path: str,
-    load: str,
-    keys: list[str],
-    partition_by: str,
-    unique: Callable[[DataFrame], DataFrame],
-    fmt: str = "parquet",
-) -> None:
-    """Write the rows of a batch whose keys no other load holds, at `path`/load_id=<load>.
-
-    `unique` reduces the batch to one row per key. A retried batch overwrites
-    its own folder, so a half-written attempt leaves nothing behind; a replay
-    under a new checkpoint has another load id and is caught by the anti join.
-    The join reads only the partitions the batch touches, so its cost follows
-    the batch and not the table. A large partition value is written by several tasks.
+    if not found:
+        return spark.createDataFrame([], full)
+    return spark.read.schema(full).option("basePath", path).parquet(*found)
+
+
+def write_load(rows: DataFrame, path: str, load: str, column: str) -> None:
+    """Rows of one load at `path`/<column>=.../load_id=<load>; a retry replaces its own folders only."""
+    write_table(rows.withColumn(LOAD, F.lit(load)), path, [column, LOAD], only_touched=True)
+
+
+def other_loads(rows: DataFrame, load: str) -> DataFrame:
+    return rows.filter(~F.col(LOAD).eqNullSafe(load))
+
+
+def land_once(batch: DataFrame, path: str, load: str, keys: list[str], partition_by: str) -> None:
+    """Write one row per key of a batch, without the keys that another load holds.
+
+    A retried batch overwrites its own folders; a replay under a new checkpoint
+    has another load id and is caught by the anti join, as are keys that a
+    compaction has moved. The join reads the partition values of the batch
+    alone; their list is bounded by the calendar.
+    """
+    values = [r[0] for r in batch.select(partition_by).distinct().collect()]
+    target = read_folders(batch.sparkSession, path, batch.schema, partition_by, values)
+    fresh = not_in(one_per_key(batch, keys), other_loads(target, load), keys)
+    write_load(fresh, path, load, partition_by)
+
+
+def not_delivered(batch: DataFrame, deliveries: str, load: str) -> DataFrame:
+    """Events of a batch whose source file no other load has delivered.
+
+    A file source hands a file over whole in one batch, so the file is the
+    identity of its events: equal events stay, a replayed file goes. Only the
+    records of the days these files were written on are read.
     """
-    spark = batch.sparkSession
-    sized = _sized(batch, partition_by)
-    rows = unique(batch)
-    target = read_loads(spark, path, rows.schema, partition_by, fmt).filter(F.col(LOAD) != load)
-    fresh = not_in(rows, _pruned(target, batch, partition_by, sized), keys)
-    slices = 1 + (sized[0]["n"] if sized else 0) // ROWS_PER_FILE
-    fresh = fresh.repartition(F.col(partition_by), F.pmod(F.xxhash64(*keys), F.lit(slices)))
-    fresh.write.mode("overwrite").partitionBy(partition_by).format(fmt).save(f"{path}/{LOAD}={load}")
+    days = [r[0] for r in batch.select("source_day").distinct().collect()]
+    known = other_loads(read_folders(batch.sparkSession, deliveries, DELIVERY, "source_day", days), load)
+    replayed = known.select("source").join(batch.select("source").distinct(), "source", "left_semi").distinct()
+    return batch if replayed.isEmpty() else batch.join(replayed, "source", "left_anti")

@@ -6,9 +6,12 @@ from pyspark.sql.streaming import StreamingQuery
 from orderloom.functions import rules
 from orderloom.operators.orders import flagged_orders
 from orderloom.schemas import EVENT, STREAM_ORDERS
-from orderloom.streaming.sink import land_once, stream_id
+from orderloom.streaming.sink import LOAD, not_delivered, stream_id, write_load
 
-DEAD_LETTER_COLUMNS = ["data", "raw", *EVENT.names, "dq_reason"]
+
+
+# What tells the deliveries of events apart.
+SOURCE = ["source", "source_day"]
 
 
 def decode_events(events: DataFrame, keep: list[str] | None = None) -> DataFrame:
@@ -27,9 +30,10 @@ def decode_events(events: DataFrame, keep: list[str] | None = None) -> DataFrame
 
 
 def validate_events(events: DataFrame) -> DataFrame:
-    """Decoded events flagged by the same rules as batch lines, `decode` coming first."""
-    fields = decode_events(events).select(
-        "data", "raw", *[F.col(f"event.{c}").alias(c) for c in EVENT.names], F.col("event").isNull().alias("_broken")
+    """Decoded events flagged by the same rules as batch lines, `decode` coming first; other columns stay."""
+    other = [c for c in events.columns if c != "data"]
+    fields = decode_events(events, other).select(
+        "data", *other, "raw", *[F.col(f"event.{c}").alias(c) for c in EVENT.names], F.col("event").isNull().alias("_broken")
     )
     reason = F.when(F.col("_broken"), "decode").otherwise(F.col("dq_reason"))
     return flagged_orders(fields).withColumn("dq_reason", reason).drop("_broken")
@@ -53,11 +57,6 @@ def good_events(flagged: DataFrame) -> DataFrame:
     return flagged.filter(F.col("dq_reason").isNull()).select(*fields)
 
 
-def dead_letters(flagged: DataFrame) -> DataFrame:
-    """Rejected events with what arrived, what was read from it and the reason."""
-    return flagged.filter(F.col("dq_reason").isNotNull()).select(*DEAD_LETTER_COLUMNS)
-
-
 def routed_events(flagged: DataFrame) -> DataFrame:
     """What both sinks need of a batch and no more: good fields, or the event as it arrived.
 
@@ -68,23 +67,24 @@ def routed_events(flagged: DataFrame) -> DataFrame:
     fields = good_columns()
     return flagged.select(
         "dq_reason",
+        *[c for c in SOURCE if c in flagged.columns],
         F.when(~good, F.col("data")).alias("data"),
         *[F.when(good, column).alias(name) for name, column in fields.items()],
     )
 
 
-def _reread(letters: DataFrame) -> DataFrame:
-    """Distinct rejects with their fields and the number of equal ones."""
+def dead_letters(letters: DataFrame) -> DataFrame:
+    """Distinct rejects of a batch with their fields and the number of equal ones."""
     counted = letters.groupBy("data", "dq_reason").agg(F.count(F.lit(1)).alias("copies"))
     events = decode_events(counted, ["dq_reason", "copies"])
     fields = [F.col(f"event.{c}").alias(c) for c in EVENT.names]
     return events.select("data", "raw", *fields, "dq_reason", "copies")
 
 
-def event_counts(flagged: DataFrame) -> DataFrame:
-    """Good and bad events, one row."""
+def event_counts(flagged: DataFrame, *by: str) -> DataFrame:
+    """Good and bad events, one row for each value of `by`."""
     good = F.col("dq_reason").isNull()
-    return flagged.agg(F.count_if(good).alias("good"), F.count_if(~good).alias("bad"))
+    return flagged.groupBy(*by).agg(F.count_if(good).alias("good"), F.count_if(~good).alias("bad"))
 
 
 def order_month(order_date: str):
@@ -92,30 +92,37 @@ def order_month(order_date: str):
     return F.date_format(F.try_to_date(order_date, rules.ORDER_TS_FORMAT), "yyyy-MM")
 
 
+def _land(rows: DataFrame, path: str, load: str, column: str) -> None:
+    sized = rows.hint("rebalance", column)
+    sized.write.mode("overwrite").partitionBy(column).json(f"{path}/{LOAD}={load}")
+
+
 def stream_validate(
     events: DataFrame,
     good_path: str,
     bad_path: str,
+    deliveries: str,
     checkpoint: str,
     trigger: dict | None = None,
 ) -> StreamingQuery:
-    """Start routing a stream of events (column `data`) to two sinks.
-
-    Good rows land as JSON lines by month, dead letters as JSON lines by
-    reason with the number of equal events in their batch. Both are safe
-    against retries and replays. Equal good events land once: an exact copy is
-    a duplicate by the batch rules anyway.
+    """Start routing a stream of events (columns `data`, `source`, `source_day`) to two sinks.
+
+    Every good event lands as a JSON line by month, equal ones included; dead
+    letters land by reason with the number of equal events in their batch. Then
+    `deliveries` gets the good and bad events of each source file: the counters
+    of the batch, and the record that keeps a replayed file out. A batch that
+    fails before that record runs again under its checkpoint and overwrites
+    its own folders.
     """
 
     def route(batch: DataFrame, batch_id: int) -> None:
         load = f"{stream_id(batch.sparkSession, checkpoint)}-{batch_id}"
-        routed = routed_events(validate_events(batch)).persist()
+        routed = routed_events(validate_events(not_delivered(batch, deliveries, load))).persist()
         try:
             good = routed.filter(F.col("dq_reason").isNull()).select(*STREAM_ORDERS.names)
-            good = good.withColumn("order_month", order_month("order_date"))
-            land_once(good, good_path, load, STREAM_ORDERS.names, "order_month", DataFrame.distinct, "json")
-            bad = routed.filter(F.col("dq_reason").isNotNull()).select("data", "dq_reason")
-            land_once(bad, bad_path, load, ["data"], "dq_reason", _reread, "json")
+            _land(good.withColumn("order_month", order_month("order_date")), good_path, load, "order_month")
+            _land(dead_letters(routed.filter(F.col("dq_reason").isNotNull())), bad_path, load, "dq_reason")
+            write_load(event_counts(routed, *SOURCE), deliveries, load, "source_day")
         finally:
             routed.unpersist()
 

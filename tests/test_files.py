@@ -46,8 +46,8 @@ def test_landing_rules(spark, tmp_path):
     put("orders/d1/_SUCCESS", b"")
     put("orders/d1/empty.csv", b"")
     put("orders/d1/plain.csv", b"no header\n1,2\n")
-    put("orders/d1/late.csv", b"x" * 2049 + b",")
-    put("orders/d1/edge.csv", b"x" * 2048 + b",")
+    put("orders/d1/late.csv", b"x" * 20_000 + b",")
+    put("orders/d1/edge.csv", b"x" * 20_000 + b"\n1,2")
     put("currency_conversion/d1/rates.json", b"[]")
     put("currency_conversion/d1/empty.json", b"")
     put("other/d1/a.csv", b"a,b\n")
@@ -61,8 +61,9 @@ def test_landing_rules(spark, tmp_path):
         "orders/d1/deep/er/good.csv": (*ok, "orders"),
         "orders/d1/empty.csv": (bad, "empty_file", "orders"),
         "orders/d1/plain.csv": (bad, header, "orders"),
-        "orders/d1/late.csv": (bad, header, "orders"),
-        "orders/d1/edge.csv": (*ok, "orders"),
+        "orders/d1/_SUCCESS": (bad, "hidden_name", "orders"),
+        "orders/d1/late.csv": (*ok, "orders"),
+        "orders/d1/edge.csv": (bad, header, "orders"),
         "currency_conversion/d1/rates.json": (*ok, "currency_conversion"),
         "currency_conversion/d1/empty.json": (bad, "empty_file", "currency_conversion"),
         "other/d1/a.csv": (bad, "unexpected_dataset:other", "other"),

@@ -22,8 +22,8 @@ def _right(spark):
 def test_salted_equals_plain(spark, how):
     left, right = _left(spark), _right(spark)
     plain = Counter(left.join(right, "k", how).select("k", "v", "w").collect())
-    for hot in ([], None, joins.hot_keys(left, "k", rows=0)):
-        salted = joins.salted_join(left, right, ["k"], how, hot=hot, salts=5)
+    for hot in (None, joins.hot_keys(left, "k", rows=1), joins.hot_keys(left, "k", rows=200)):
+        salted = joins.salted_join(left, right, ["k"], how, hot=hot)
         assert Counter(salted.select("k", "v", "w").collect()) == plain
     by_lookup = joins.lookup_join(left, right, ["k"], how, limit=0, hot=lambda: joins.hot_keys(left, "k", rows=99))
     assert Counter(by_lookup.select("k", "v", "w").collect()) == plain
@@ -33,26 +33,30 @@ def test_salted_with_range(spark):
     left, right = _left(spark), _right(spark)
     spans = right.unionAll(right.withColumn("w", F.col("w") + 10)).withColumn("hi", F.col("w") + 5)
     within = F.col("v").between(F.col("w"), F.col("hi"))
-    hot = joins.hot_keys(left, "k", rows=0)
-    got = joins.salted_join(left, spans, ["k"], "inner", hot, within, salts=3)
+    hot = joins.hot_keys(left, "k", rows=100)
+    got = joins.salted_join(left, spans, ["k"], "inner", hot, within)
     l, r = left.alias("l"), spans.alias("r")
     expected = l.join(r, (F.col("l.k") == F.col("r.k")) & F.col("v").between(F.col("w"), F.col("hi")))
     assert Counter(got.select("k", "v", "w").collect()) == Counter(expected.select("l.k", "v", "w").collect())
 
 
 def test_hot_rows_spread(spark):
-    """A hot key ends up under many different salts."""
+    """Parts follow the count of each key: the key 7 and the null key hold 1,000 rows or a few more."""
     left = _left(spark)
-    hot = joins.hot_keys(left, "k", rows=900)
-    assert len(hot) == 2  # the key 7 and the null key
-    plan = joins.salted_join(left, _right(spark), ["k"], hot=hot, salts=8)
-    salts = left.filter("k = 7").select(F.pmod(F.xxhash64("v"), F.lit(8))).distinct().count()
-    assert salts == 8 and plan.count() == 3000
+    hot = joins.hot_keys(left, "k", rows=125)
+    parts = {r["_key"]: r["_parts"] for r in hot.collect()}
+    assert sorted(parts.values()) == [8, 9]
+    assert joins.salted_join(left, _right(spark), ["k"], hot=hot).count() == 3000
 
 
-def test_hot_keys_bounded(spark):
-    assert len(joins.hot_keys(_left(spark), "k", rows=0, parts=5)) == 5
-    assert joins.hot_keys(_left(spark), "k") == []
+def test_every_large_key_is_hot(spark):
+    assert joins.hot_keys(_left(spark).union(_left(spark)), "k", rows=1).count() == 1001
+    assert joins.hot_keys(_left(spark), "k").isEmpty()
+
+
+def test_measured_size_covers_texts(spark):
+    assert joins.measured_bytes(spark.sql("select 'abc' t, 1 n union all select null, 2")) == 2 * 48 + 3
+    assert joins.measured_bytes(spark.sql("select 1 n where false")) == 0
 
 
 def test_broadcast_only_below_limit(spark):
@@ -63,7 +67,7 @@ def test_broadcast_only_below_limit(spark):
         large = joins.lookup_join(left, right, ["k"], limit=10)
         plan = lambda df: df._jdf.queryExecution().executedPlan().toString()
         assert "BroadcastHashJoin" in plan(small)
-        assert "Broadcast" not in plan(large)
+        assert "SortMergeJoin" in plan(large) and "SortMergeJoin" not in plan(small)
     finally:
         spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
 

@@ -6,9 +6,10 @@ from compare import connect, mismatch
 import __spark_entry__ as driver
 from orderloom.plans.oracle import all_oracles
 from orderloom.plans.queries import all_queries
+from orderloom.sources.landing import landing_summary
 
 SF = "/root/testdata/sf0.001"
-NO_SQL = {"landing_manifest", "landing_summary"}
+NO_SQL = {"landing_scan"}
 
 
 @pytest.fixture(scope="module")
@@ -27,7 +28,7 @@ def test_query(spark, con, name):
 
 
 def test_landing_over_tables(spark):
-    summary = {(r.dataset, r.status): r.files for r in driver.queries()["landing_summary"](spark, SF).collect()}
+    summary = {(r.dataset, r.status): r.files for r in landing_summary(driver.queries()["landing_scan"](spark, SF)).collect()}
     assert ("surprise", "rejected") in summary and ("customer", "rejected") in summary
     for dataset in ("orders", "customer", "product", "prod_cat_tree", "currency_conversion"):
         assert summary[dataset, "accepted"] > 0

@@ -5,17 +5,17 @@ from collections import Counter
 
 import pytest
 import samples
-from pyspark.sql import DataFrame, functions as F, types as T
+from pyspark.sql import functions as F, types as T
 
 from orderloom.operators import dims, fact, orders
-from orderloom.operators.joins import one_per_key
-from orderloom.operators.load import conform
+from orderloom.operators.load import compact_table, conform
 from orderloom.plans.pipeline import unified_orders
 from orderloom.schemas import DIM_CUSTOMER, LINE_KEY, MART_FACT, RAW_ORDERS, STREAM_ORDERS
 from orderloom.sources.files import stream_table
 from orderloom.sources.storage import work_folder
 from orderloom.streaming import validate
 from orderloom.streaming.dedup import stream_dedup
+from orderloom.streaming.sink import land_once
 from orderloom.streaming.load import newest_version, stream_customer_merge, stream_incremental_load
 
 DATA = T.StructType([T.StructField("data", T.StringType())])
@@ -44,8 +44,9 @@ BROKEN = [
 
 def test_decode_failures(spark):
     frame = spark.createDataFrame([(d,) for d in BROKEN], DATA)
-    assert [r.dq_reason for r in validate.validate_events(frame).collect()] == ["decode"] * len(BROKEN)
-    assert validate.dead_letters(validate.validate_events(frame)).filter("data = '%%%'").count() == 1
+    flagged = validate.validate_events(frame)
+    assert [r.dq_reason for r in flagged.collect()] == ["decode"] * len(BROKEN)
+    assert validate.dead_letters(flagged).filter("data = '%%%'").first().copies == 1
 
 
 def test_json_numbers_and_extra_fields(spark):
@@ -76,30 +77,52 @@ def event_folder(spark):
 
 
 def _route(spark, root, checkpoint):
-    events = stream_table(spark, f"{root}/in", DATA, files_per_trigger=1)
-    query = validate.stream_validate(events, f"{root}/good", f"{root}/bad", f"{root}/{checkpoint}")
+    events = stream_table(spark, f"{root}/in", DATA, files_per_trigger=1, origin=tuple(validate.SOURCE))
+    out = [f"{root}/{name}" for name in ("good", "bad", "deliveries", checkpoint)]
+    query = validate.stream_validate(events, *out)
     query.awaitTermination()
     return query
 
 
+def _routed(spark, root):
+    good = spark.read.schema(STREAM_ORDERS).json(f"{root}/good")
+    bad = spark.read.json(f"{root}/bad").agg(F.sum("copies")).first()[0]
+    counts = spark.read.parquet(f"{root}/deliveries").agg(F.sum("good"), F.sum("bad")).first()
+    assert tuple(counts) == (good.count(), bad)
+    return good, bad
+
+
 def test_stream_equals_batch_and_replay_adds_nothing(spark, event_folder):
     root = event_folder
     query = _route(spark, root, "first")
     assert len([p for p in query.recentProgress if p.numInputRows]) == 3
-    good = spark.read.schema(STREAM_ORDERS).json(f"{root}/good")
-    bad = spark.read.json(f"{root}/bad")
+    good, bad = _routed(spark, root)
     lines = lambda raw: Counter(orders.dedup_orders(orders.clean_orders(raw)).collect())
     batch = samples.raw_orders(spark)
     empty = batch.limit(0)
     assert lines(unified_orders(empty, good)) == lines(batch)
     assert lines(unified_orders(batch, good)) == lines(batch)
     rejected = sum(reason is not None for _, reason in samples.ORDERS) + len(BROKEN)
-    # The null event equals no other, so copies add up to all rejects.
-    assert bad.agg(F.sum("copies")).first()[0] == rejected
-    before = good.count(), bad.count()
+    assert (good.count(), bad) == (len(samples.ORDERS) + len(BROKEN) - rejected, rejected)
+    before = good.count(), bad
     _route(spark, root, "replay")
-    good = spark.read.schema(STREAM_ORDERS).json(f"{root}/good")
-    assert (good.count(), spark.read.json(f"{root}/bad").count()) == before
+    good, bad = _routed(spark, root)
+    assert (good.count(), bad) == before
+
+
+def test_equal_events_of_later_batches_stay(spark):
+    """One good and one bad event, each sent in two files, are four events."""
+    root = work_folder(spark, "test")
+    good = next(row for row, reason in samples.ORDERS if reason is None)
+    for _ in range(2):
+        rows = spark.createDataFrame([(_event(good),), ("%%%",)], DATA).coalesce(1)
+        rows.write.mode("append").parquet(f"{root}/in")
+        _route(spark, root, "first")
+    kept, bad = _routed(spark, root)
+    assert (kept.count(), bad) == (2, 2)
+    _route(spark, root, "replay")
+    kept, bad = _routed(spark, root)
+    assert (kept.count(), bad) == (2, 2)
 
 
 def _fact(spark):
@@ -126,32 +149,24 @@ def test_incremental_load(spark):
 
 
 def test_retried_batch_replaces_its_own_files(spark):
-    from orderloom.streaming.sink import land_once
-
     root = work_folder(spark, "test")
     rows = conform(_fact(spark), MART_FACT)
-    one = lambda df: one_per_key(df, LINE_KEY)
-    land_once(rows.limit(1), f"{root}/t", "q-0", LINE_KEY, "order_day", one)
-    land_once(rows, f"{root}/t", "q-0", LINE_KEY, "order_day", one)
-    land_once(rows, f"{root}/t", "q-1", LINE_KEY, "order_day", one)
+    land_once(rows.limit(1), f"{root}/t", "q-0", LINE_KEY, "order_day")
+    land_once(rows, f"{root}/t", "q-0", LINE_KEY, "order_day")
+    land_once(rows, f"{root}/t", "q-1", LINE_KEY, "order_day")
     assert spark.read.parquet(f"{root}/t").count() == rows.count()
 
 
-def test_large_partition_is_split_over_files(spark, monkeypatch):
-    from orderloom.streaming import sink
-
-    monkeypatch.setattr(sink, "ROWS_PER_FILE", 100)
-    monkeypatch.setattr(sink, "MAX_NAMED_PARTITIONS", 1)
-    rows = spark.range(1000).select("id", F.when(F.col("id") < 900, "a").otherwise("b").alias("p"))
+def test_load_goes_on_after_compaction(spark):
     root = work_folder(spark, "test")
-    spark.conf.set("spark.sql.adaptive.enabled", "false")  # it would merge these tiny slices again
-    try:
-        sink.land_once(rows, f"{root}/t", "q-0", ["id"], "p", DataFrame.distinct)
-    finally:
-        spark.conf.unset("spark.sql.adaptive.enabled")
-    assert len([f for f in os.listdir(f"{root}/t/load_id=q-0/p=a") if f.endswith(".parquet")]) > 1
-    sink.land_once(rows, f"{root}/t", "q-1", ["id"], "p", DataFrame.distinct)
-    assert spark.read.parquet(f"{root}/t").count() == 1000
+    rows = conform(_fact(spark), MART_FACT)
+    first = rows.filter(F.col("order_id") == rows.first().order_id)
+    land_once(first, f"{root}/t", "q-0", LINE_KEY, "order_day")
+    compact_table(spark, f"{root}/t", f"{root}/new")
+    land_once(first, f"{root}/new", "r-0", LINE_KEY, "order_day")
+    assert spark.read.parquet(f"{root}/new").count() == first.count()
+    land_once(rows, f"{root}/new", "r-1", LINE_KEY, "order_day")
+    assert Counter(spark.read.parquet(f"{root}/new").select(*MART_FACT.names).collect()) == Counter(rows.collect())
 
 
 def test_customer_merge(spark):
