@@ -28,6 +28,10 @@ def silver_to_gold(spark, args):
     pipeline.silver_to_gold(spark, args.silver, args.gold)
 
 
+def metrics(spark, args):
+    pipeline.gold_metrics(spark, args.gold, args.out, args.category)
+
+
 def check_landing(spark, args):
     manifest = landing.landing_manifest(landing.with_heads(landing.list_landed(spark, args.root)))
     manifest.write.mode("overwrite").partitionBy("status").parquet(args.manifest)
@@ -68,6 +72,7 @@ def main() -> None:
 
     job(bronze_to_silver, "bronze", "silver").add_argument("--reject-limit", type=float)
     job(silver_to_gold, "silver", "gold")
+    job(metrics, "gold", "out").add_argument("--category", default="Sweet")
     job(check_landing, "root", "manifest")
     for run, names in (
         (validate_stream, ("events", "good", "bad", "deliveries", "checkpoint")),

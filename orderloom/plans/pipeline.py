@@ -7,7 +7,7 @@ and means a lost executor never costs more than the table in work.
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from orderloom.operators import dims, fact, fx, joins, orders, quality
+from orderloom.operators import dims, fact, fx, joins, metrics, orders, quality
 from orderloom.operators.load import write_table
 from orderloom.plans.star import Raw
 from orderloom.schemas import CHECKED_ORDERS, RAW_CATEGORY, RAW_CUSTOMER, RAW_ORDERS, RAW_PRODUCT
@@ -104,3 +104,30 @@ def silver_to_gold(spark: SparkSession, silver: str, gold: str) -> None:
     for name in ("dim_customer", "dim_product", "dim_category", "orders_quarantine"):
         write_table(read(name), f"{gold}/{name}")
     write_table(dims.dim_date(fact_orders), f"{gold}/dim_date")
+
+
+def gold_metrics(spark: SparkSession, gold: str, out: str, category: str = "Sweet") -> None:
+    """Write the business metrics of the serving tables, one table each.
+
+    `duplicate_orders` is a control: the fact holds a line once, so it has no row.
+    """
+    read = lambda name: files.scan_table(spark, f"{gold}/{name}")
+    sold, customers, products = read("fact_orders"), read("dim_customer"), read("dim_product")
+    customer_size = joins.measured_bytes(customers)
+    found = {
+        "dau_by_region": metrics.dau_by_region(sold, customers, customer_size),
+        "category_conversion": metrics.category_conversion(sold, category),
+        "top_products_by_region": metrics.top_products_by_region(
+            sold,
+            products,
+            customers,
+            product_size=joins.measured_bytes(products),
+            customer_size=customer_size,
+            hot_customers=lambda: joins.hot_keys(sold, "cust_id"),
+        ),
+        "customer_lifetime_value": metrics.customer_lifetime_value(sold, customers, customer_size),
+        "duplicate_orders": orders.duplicate_orders(sold),
+        "dq_reason_counts": orders.dq_reason_counts(read("orders_quarantine")),
+    }
+    for name, metric in found.items():
+        write_table(metric, f"{out}/{name}")

@@ -258,6 +258,15 @@ def salted_join(spark, sf_dir):
     return joins.salted_join(s.lines, prices, ["prod_id"], hot=hot)
 
 
+def metrics_from_gold(spark, sf_dir):
+    """Customer value as the metrics job finds it in the written serving tables."""
+    root = work_folder(spark, "metrics_from_gold")
+    pipeline.bronze_to_silver(spark, bridge.BridgedRaw(spark, sf_dir), f"{root}/silver")
+    pipeline.silver_to_gold(spark, f"{root}/silver", f"{root}/gold")
+    pipeline.gold_metrics(spark, f"{root}/gold", f"{root}/metrics", BRIDGE_CATEGORY)
+    return files.scan_table(spark, f"{root}/metrics/customer_lifetime_value")
+
+
 def top_products_by_region(spark, sf_dir):
     s = star(spark, sf_dir)
     return metrics.top_products_by_region(
@@ -279,6 +288,7 @@ def all_queries() -> dict[str, Query]:
         "category_conversion": on_star(lambda s: metrics.category_conversion(s.fact, BRIDGE_CATEGORY)),
         "top_products_by_region": top_products_by_region,
         "customer_lifetime_value": on_star(lambda s: metrics.customer_lifetime_value(s.fact, s.customers, s.customer_size)),
+        "metrics_from_gold": metrics_from_gold,
         "duplicate_orders": on_star(lambda s: orders.duplicate_orders(s.clean)),
         "dq_reason_counts": on_star(lambda s: orders.dq_reason_counts(s.quarantine)),
         "clean_orders": on_star(lambda s: s.clean),

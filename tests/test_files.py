@@ -101,3 +101,10 @@ def test_pipeline_from_files_to_gold(spark):
     assert gold.count() == len(good)
     assert files.scan_table(spark, f"{root}/gold/dim_date").count() == 6
     assert files.scan_table(spark, f"{root}/gold/orders_quarantine").count() == found["orders_quarantine"]
+    pipeline.gold_metrics(spark, f"{root}/gold", f"{root}/metrics")
+    metric = lambda name: files.scan_table(spark, f"{root}/metrics/{name}")
+    assert metric("category_conversion").count() == 1
+    assert metric("duplicate_orders").count() == 0
+    assert metric("customer_lifetime_value").count() == gold.select("cust_id").distinct().count()
+    rejected = Counter({r.dq_reason: r.faulty_count for r in metric("dq_reason_counts").collect()})
+    assert rejected == Counter(reason for _, reason in samples.ORDERS if reason is not None)
