@@ -2,22 +2,25 @@
 
 A page is cut into text lines at block tags. Lines inside elements that never
 hold the article (menus, footers, forms, scripts, adverts and the like, told by
-tag, role, class or id) are dropped. On a page with an article or main element,
-lines within it are the article. Lines elsewhere are checked against the page
-before and after by URL path on the same host: the longest common subsequence
-of the two pages' lines is template and deleted. Where an article element was
-found, what stays outside it is dropped as well.
-
-Neighbours come from a range partitioning by host, path and page, and within
-each range from a window, so a host with a third of all pages spreads over many
-tasks; first and last pages of ranges meet through a table of range borders.
-Only lines that may be template travel to the neighbour.
-
-Null html is empty text. Null urls share the empty host. Repeated pages are
-neighbours of each other and therefore keep only what their article element
-holds. Every row gives one row.
+tag, role, class or id) are dropped. All other lines, those of article elements
+too, are compared with the two pages before and the two after by URL path on
+the same host: lines of a longest common subsequence with a neighbour may be
+template. An article element is evidence for keeping its lines: they go only if
+two neighbours share them, and neighbours that hold more than half of the
+article, by characters, or are held by it as much, are copies and do not count.
+
+Pages of a host with the same lines are one page to the comparison, placed at
+the first of their paths. Neighbours come from a range partitioning by host,
+path and page, and within each range from a window, so a host with a third of
+all pages spreads over many tasks; pages at the ends of ranges meet through a
+table of range borders. Hashes of 64 bits stand for the lines that travel to
+neighbours; the texts travel once, to the list of lines their page loses.
+
+Null html is empty text. Null urls share the empty host. A page without
+neighbours keeps all its lines. Every row gives one row.
 """
 
+import hashlib
 import html as entities
 import re
 from collections.abc import Iterator
@@ -176,39 +179,77 @@ def _last(a: list, b: list) -> list[int]:
     return out
 
 
-_PARSED = T.StructType(
+_PRINT = T.StructType(
     [
-        T.StructField("article", T.ArrayType(T.StringType())),
-        T.StructField("outside", T.ArrayType(T.StringType())),
+        T.StructField("row", T.BinaryType()),
+        T.StructField("lines", T.ArrayType(T.LongType())),
+        T.StructField("sizes", T.ArrayType(T.IntegerType())),
     ]
 )
+_PARSED = T.StructType([T.StructField("row", T.BinaryType()), T.StructField("lines", T.ArrayType(T.StringType()))])
+
+
+def _known_by(host: str, lines: list[tuple[str, int]]) -> bytes:
+    """The same for pages of a host with the same lines, and only for them."""
+    return hashlib.blake2b("\n".join([host, *[f"{k}{t}" for t, k in lines]]).encode(errors="surrogatepass"), digest_size=16).digest()
+
+
+def _hash(line: str) -> int:
+    return int.from_bytes(hashlib.blake2b(line.encode(errors="surrogatepass"), digest_size=8).digest(), "little", signed=True)
+
+
+@F.pandas_udf(_PRINT)
+def _prints(batches: Iterator[tuple[pd.Series, pd.Series]]) -> Iterator[pd.DataFrame]:
+    """Hashes of the lines, and their lengths, negative outside of article elements."""
+    for pages, hosts in batches:
+        rows = []
+        for page, host in zip(pages.tolist(), hosts.tolist()):
+            lines = lines_of(page)
+            rows.append((_known_by(host, lines), [_hash(t) for t, _ in lines], [len(t) if k == ARTICLE else -len(t) for t, k in lines]))
+        yield pd.DataFrame(rows, columns=_PRINT.names)
 
 
 @F.pandas_udf(_PARSED)
-def _parse(pages: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
-    for batch in pages:
+def _parse(batches: Iterator[tuple[pd.Series, pd.Series]]) -> Iterator[pd.DataFrame]:
+    for pages, hosts in batches:
         rows = []
-        for page in batch.tolist():
+        for page, host in zip(pages.tolist(), hosts.tolist()):
             lines = lines_of(page)
-            rows.append(([t for t, k in lines if k == ARTICLE], [t for t, k in lines if k == OUTSIDE]))
+            rows.append((_known_by(host, lines), [t for t, _ in lines]))
         yield pd.DataFrame(rows, columns=_PARSED.names)
 
 
-@F.pandas_udf(T.ArrayType(T.StringType()))
-def _own_lines(outside: pd.Series, neighbours: pd.Series) -> pd.Series:
-    """The lines of a page that no neighbour shares."""
+def _copied(sizes: list[int], shared: list[bool]) -> bool:
+    """Whether more than half of the article is among the shared lines."""
+    return 2 * sum(n for n, x in zip(sizes, shared) if x and n > 0) > sum(n for n in sizes if n > 0)
+
+
+def template_lines(page: tuple[list, list[int]], others: list[tuple[list, list[int]]]) -> list[int]:
+    """Positions of the lines of `page` that its neighbours show to be template; each is (lines, sizes)."""
+    lines, sizes = page
+    votes = [0] * len(lines)
+    for other, other_sizes in others:
+        shared = common_lines(lines, other)
+        copied = _copied(sizes, shared) or _copied(other_sizes, common_lines(other, lines))
+        for k, x in enumerate(shared):
+            votes[k] += x and not (copied and sizes[k] > 0)
+    return [k for k, n in enumerate(votes) if n >= (2 if sizes[k] > 0 else 1)]
+
+
+@F.pandas_udf(T.ArrayType(T.IntegerType()))
+def _lost(lines: pd.Series, sizes: pd.Series, neighbours: pd.Series) -> pd.Series:
+    """Positions of the lines that a page loses."""
     out = []
-    for lines, others in zip(outside, neighbours):
-        lines = list(lines)
-        shared = [False] * len(lines)
-        for other in others if others is not None else []:
-            shared = [x or y for x, y in zip(shared, common_lines(lines, list(other)))]
-        out.append([line for line, s in zip(lines, shared) if not s])
+    for own, n, others in zip(lines, sizes, neighbours):
+        out.append(template_lines((own.tolist(), n.tolist()), [(o["lines"].tolist(), o["sizes"].tolist()) for o in others]))
     return pd.Series(out, dtype=object)
 
 
+NEAR = 2
+
+
 def neighbours(rows: DataFrame) -> DataFrame:
-    """(row, other): the page before and after each one in order of host, path and row, on its host.
+    """(row, other): the NEAR pages before and after each one in order of host, path and row, on its host.
 
     `rows` (row, host, path) should be narrow. A range holds about as many rows
     as any other, whatever its hosts.
@@ -218,32 +259,34 @@ def neighbours(rows: DataFrame) -> DataFrame:
     ranged = rows.repartitionByRange(int(parts), *order).withColumn("range", F.spark_partition_id())
     ranged = written(ranged, "ranged_pages")
     near = Window.partitionBy("range").orderBy(*order)
-    side = lambda f: F.when(f("host").over(near) == F.col("host"), f("row").over(near))
-    sides = ranged.select("row", F.array_compact(F.array(side(F.lag), side(F.lead))).alias("others"))
-    inner = sides.select("row", F.explode("others").alias("other"))
-    page = F.struct(*order)
-    borders = ranged.groupBy("range").agg(F.min(page).alias("first"), F.max(page).alias("last"))
-    # One row per range: small enough for one task.
-    met = borders.select(F.col("last").alias("a"), F.lead("first").over(Window.partitionBy(F.lit(0)).orderBy("range")).alias("b"))
-    met = met.filter("a.host = b.host").select(F.col("a.row").alias("a"), F.col("b.row").alias("b"))
-    return inner.unionByName(met.select(F.col("a").alias("row"), F.col("b").alias("other"))).unionByName(met.select(F.col("b").alias("row"), F.col("a").alias("other")))
+    side = lambda f, k, over: F.struct(f("host", k).over(over).alias("host"), f("row", k).over(over).alias("row"), f("range", k).over(over).alias("range"))
+    sides = lambda over: F.array(*[side(f, k, over) for f in (F.lag, F.lead) for k in range(1, NEAR + 1)])
+    pairs = lambda df, fits: df.select("row", F.explode(F.filter("sides", lambda s: (s["host"] == F.col("host")) & fits(s))).alias("_s")).select("row", F.col("_s.row").alias("other"))
+    placed = ranged.select(*order, "range", sides(near).alias("sides"))
+    inner = pairs(placed, lambda s: F.lit(True))
+    # 2 * NEAR rows per range: small enough for one task. What lies within NEAR of a page of another range is among them.
+    ends = ranged.select(*order, "range", F.lag("range", NEAR).over(near).isNull().alias("first"), F.lead("range", NEAR).over(near).isNull().alias("last"))
+    ends = ends.filter("first or last")
+    met = ends.select(*order, "range", sides(Window.partitionBy(F.lit(0)).orderBy(*order)).alias("sides"))
+    return inner.unionByName(pairs(met, lambda s: s["range"] != F.col("range")))
 
 
 def main_text(pages: DataFrame) -> DataFrame:
     """page_id, url, text and its length for every page."""
-    parsed = pages.select("page_id", "url", F.monotonically_increasing_id().alias("row"), F.explode(F.array(_parse("html"))).alias("_p"))
-    parsed = parsed.select("page_id", "url", "row", host_of(F.col("url")).alias("host"), path_of(F.col("url")).alias("path"), "_p.article", "_p.outside")
-    parsed = written(parsed, "parsed_pages", compression="zstd")
-    # A page with an article needs no neighbour, but is one. Only the lines of pages
-    # that ask, and of their neighbours, are shuffled.
-    asking = (F.size("article") == 0) & (F.size("outside") > 0)
-    pairs = neighbours(parsed.select("row", "host", "path")).join(parsed.filter(asking).select("row"), "row", "left_semi")
-    pairs = written(pairs, "page_pairs")
-    given = parsed.select(F.col("row").alias("other"), F.concat("outside", "article").alias("lines"))
-    # At most two neighbours each.
-    others = pairs.join(given, "other").groupBy("row").agg(F.collect_list("lines").alias("others"))
-    asked = parsed.filter(asking).select("page_id", "url", "row", "outside").join(others, "row", "left")
-    asked = asked.select("page_id", "url", F.when(F.col("others").isNull(), F.col("outside")).otherwise(_own_lines("outside", "others")).alias("kept"))
-    text = parsed.filter(~asking).select("page_id", "url", F.col("article").alias("kept")).unionByName(asked)
-    text = text.select("page_id", "url", F.array_join("kept", "\n\n").alias("text"))
+    host, path = host_of(F.col("url")), path_of(F.col("url"))
+    prints = pages.select(host.alias("host"), path.alias("path"), F.explode(F.array(_prints(F.col("html"), host))).alias("_p"))
+    prints = prints.select("host", "path", "_p.*").filter(F.size("lines") > 0)
+    # Rows known by the same bytes have the same host, lines and sizes.
+    prints = prints.groupBy("row").agg(*[F.min(c).alias(c) for c in ("host", "path", "lines", "sizes")])
+    prints = written(prints, "page_prints", compression="zstd")
+    given = prints.select(F.col("row").alias("other"), F.struct("lines", "sizes").alias("given"))
+    # At most 2 * NEAR neighbours each.
+    others = neighbours(prints.select("row", "host", "path")).join(given, "other").groupBy("row").agg(F.collect_list("given").alias("others"))
+    lost = prints.select("row", "lines", "sizes").join(others, "row").select("row", _lost("lines", "sizes", "others").alias("lost"))
+    lost = written(lost.filter(F.size("lost") > 0), "lost_lines", compression="zstd")
+    # Parsing again is cheaper than a written copy of all texts. The join is shuffled at any size; the lists are its small side.
+    parsed = pages.select("page_id", "url", F.explode(F.array(_parse(F.col("html"), host))).alias("_p")).select("page_id", "url", "_p.*")
+    parsed = parsed.join(lost.hint("shuffle_hash"), "row", "left")
+    kept = F.when(F.col("lost").isNull(), F.col("lines")).otherwise(F.filter("lines", lambda line, k: ~F.array_contains("lost", k)))
+    text = parsed.select("page_id", "url", F.array_join(kept, "\n\n").alias("text"))
     return text.select("*", F.char_length("text").cast("long").alias("n_chars"))

@@ -228,6 +228,40 @@ def test_main_text(spark):
     assert html.main_text(pages).count() == pages.count()
 
 
+def _main_texts(spark, pages):
+    rows = [(k, url, page) for k, (url, page) in enumerate(pages)]
+    found = html.main_text(spark.createDataFrame(rows, "page_id long, url string, html string")).collect()
+    assert len(found) == len(rows)
+    return {r.page_id: r.text for r in found}
+
+
+def test_main_text_differences_article_lines(spark):
+    page = "<body><article><h1>Title {0}</h1><p>Follow us everywhere</p><p>{1}</p></article>"
+    pages = [(f"http://h.com/a/{i}", page.format(i, f"Story {i} is told here at some length. " * 3)) for i in range(9)]
+    # A copied article keeps its paragraphs though its neighbours share them.
+    copied = "<article><h1>Copy {0}</h1><p>One long paragraph that several pages hold.</p><p>And another one, just as long as it.</p></article>"
+    pages += [(f"http://c.com/{i}", copied.format(i)) for i in range(4)]
+    texts = _main_texts(spark, pages)
+    for i in range(9):
+        assert texts[i] == f"Title {i}\n\n" + (f"Story {i} is told here at some length. " * 3).strip()
+    for i in range(4):
+        assert texts[9 + i] == f"Copy {i}\n\nOne long paragraph that several pages hold.\n\nAnd another one, just as long as it."
+
+
+def test_neighbours_equal_brute_force(spark):
+    chance = random.Random(5)
+    rows = sorted({(f"h{chance.randrange(4)}", f"/{chance.randrange(9)}", n) for n in range(40)})
+    wanted = {(rows[a][2], rows[b][2]) for a in range(len(rows)) for b in range(len(rows)) if 0 < abs(a - b) <= html.NEAR and rows[a][0] == rows[b][0]}
+    partitions = spark.conf.get("spark.sql.shuffle.partitions")
+    try:
+        for parts in ("3", "25"):
+            spark.conf.set("spark.sql.shuffle.partitions", parts)
+            found = html.neighbours(spark.createDataFrame(rows, "host string, path string, row long")).collect()
+            assert sorted((r.row, r.other) for r in found) == sorted(wanted)
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", partitions)
+
+
 def test_url_verdicts(spark):
     rows = [
         (1, "http://a.x/p", "<a href='http://b.net/'>"), (2, "http://c.org/fr/1", '<a class=q href="//d.com/x">'), (3, None, None),
