@@ -4,10 +4,13 @@ A page is cut into text lines at block tags. Lines inside elements that never
 hold the article (menus, footers, forms, scripts, adverts and the like, told by
 tag, role, class or id) are dropped. All other lines, those of article elements
 too, are compared with the two pages before and the two after by URL path on
-the same host: lines of a longest common subsequence with a neighbour may be
-template. An article element is evidence for keeping its lines: they go only if
-two neighbours share them, and neighbours that hold more than half of the
-article, by characters, or are held by it as much, are copies and do not count.
+the same host: lines of a longest common subsequence with two of them are
+template. A neighbour counts only if both pages have lines that the other one
+lacks. If just one counts, it decides alone about lines outside of article
+elements. Article elements are evidence for keeping their lines: a neighbour
+that holds more than half of the article, by characters, or is held by it as
+much, is a copy and does not count for them. Near copies without an article
+element, three or more in a row, still lose what they share.
 
 Pages of a host with the same lines are one page to the comparison, placed at
 the first of their paths. Neighbours come from a range partitioning by host,
@@ -227,13 +230,18 @@ def _copied(sizes: list[int], shared: list[bool]) -> bool:
 def template_lines(page: tuple[list, list[int]], others: list[tuple[list, list[int]]]) -> list[int]:
     """Positions of the lines of `page` that its neighbours show to be template; each is (lines, sizes)."""
     lines, sizes = page
-    votes = [0] * len(lines)
+    votes, different = [0] * len(lines), 0
     for other, other_sizes in others:
-        shared = common_lines(lines, other)
-        copied = _copied(sizes, shared) or _copied(other_sizes, common_lines(other, lines))
+        shared, back = common_lines(lines, other), common_lines(other, lines)
+        if all(shared) or all(back):
+            # One page holds the other, so neither shows what is its own.
+            continue
+        different += 1
+        copied = _copied(sizes, shared) or _copied(other_sizes, back)
         for k, x in enumerate(shared):
             votes[k] += x and not (copied and sizes[k] > 0)
-    return [k for k, n in enumerate(votes) if n >= (2 if sizes[k] > 0 else 1)]
+    # With a single other page there is no second one to ask.
+    return [k for k, n in enumerate(votes) if n >= (2 if sizes[k] > 0 else max(1, min(2, different)))]
 
 
 @F.pandas_udf(T.ArrayType(T.IntegerType()))

@@ -248,6 +248,21 @@ def test_main_text_differences_article_lines(spark):
         assert texts[9 + i] == f"Copy {i}\n\nOne long paragraph that several pages hold.\n\nAnd another one, just as long as it."
 
 
+def test_main_text_keeps_copies_and_repeated_passages(spark):
+    page = "<body><div>Top line</div><div>{0}</div><div>{1}</div><p>Last line</body>"
+    pages = [(f"http://h.com/a?x={i}", page.format("Copied story", "and its end")) for i in range(5)]
+    pages += [("http://h.com/copy", pages[0][1]), ("http://h.com/b", page.format("Own story", "A real passage"))]
+    pages += [("http://h.com/c", page.format("Other story", "A real passage")), ("http://h.com/d", page.format("Fourth", "and last"))]
+    # Nothing is known of pages that are all alike, or of one that another holds.
+    pages += [(f"http://q.com/{i}", "<div>Alone</div><div>with copies</div>") for i in range(3)]
+    pages += [("http://r.com/1", "<div>A</div><div>B</div>"), ("http://r.com/2", "<div>A</div><div>B</div><div>C</div>")]
+    texts = _main_texts(spark, pages)
+    assert [texts[k] for k in range(6)] == ["Copied story\n\nand its end"] * 6
+    assert [texts[k] for k in (6, 7, 8)] == ["Own story\n\nA real passage", "Other story\n\nA real passage", "Fourth\n\nand last"]
+    assert [texts[k] for k in (9, 10, 11)] == ["Alone\n\nwith copies"] * 3
+    assert [texts[k] for k in (12, 13)] == ["A\n\nB", "A\n\nB\n\nC"]
+
+
 def test_neighbours_equal_brute_force(spark):
     chance = random.Random(5)
     rows = sorted({(f"h{chance.randrange(4)}", f"/{chance.randrange(9)}", n) for n in range(40)})
