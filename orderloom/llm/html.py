@@ -58,7 +58,7 @@ def _is_chrome(name: str, attributes: str, in_article: bool) -> bool:
         key, value = key.lower(), "".join(values)
         if key == "hidden" or key == "role" and value.lower() in _NEVER_ROLE:
             return True
-        if key in ("class", "id") and name not in ("body", "html", "article", "main") and _NEVER_NAME.search(value):
+        if key in ("class", "id") and name not in ("body", "html") and _NEVER_NAME.search(value):
             return True
     return False
 

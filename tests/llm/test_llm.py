@@ -263,6 +263,16 @@ def test_main_text_keeps_copies_and_repeated_passages(spark):
     assert [texts[k] for k in (12, 13)] == ["A\n\nB", "A\n\nB\n\nC"]
 
 
+def test_main_text_beside_articles_that_are_none(spark):
+    page = "<div>Site</div><div>Story {0}</div><div>goes on {0}</div><article class='{1}'>Nice {0}</article><div>Foot</div>"
+    pages = [(f"http://h.com/{i}", page.format(i, name)) for i, name in enumerate(["comment", "related", "comment"])]
+    # Text beside an article that is one competes by differencing.
+    pages += [(f"http://q.com/{i}", f"<div>Site</div><div>Story {i}</div><article>Teaser {i}</article><div>Foot</div>") for i in range(3)]
+    texts = _main_texts(spark, pages)
+    assert [texts[k] for k in range(3)] == [f"Story {i}\n\ngoes on {i}" for i in range(3)]
+    assert [texts[3 + k] for k in range(3)] == [f"Story {i}\n\nTeaser {i}" for i in range(3)]
+
+
 def test_neighbours_equal_brute_force(spark):
     chance = random.Random(5)
     rows = sorted({(f"h{chance.randrange(4)}", f"/{chance.randrange(9)}", n) for n in range(40)})
