@@ -2,7 +2,9 @@
 
 A page is cut into text lines at block tags. Lines inside elements that never
 hold the article (menus, footers, forms, scripts, adverts and the like, told by
-tag, role, class or id) are dropped. All other lines, those of article elements
+tag, role, class or id) are dropped. What role, class or id tell is not believed
+of an element with more than half of the page's text, or with its only articles.
+All other lines, those of article elements
 too, are compared with the two pages before and the two after by URL path on
 the same host: lines of a longest common subsequence with two of them are
 template. A neighbour counts only if both pages have lines that the other one
@@ -26,6 +28,7 @@ neighbours keeps all its lines. Every row gives one row.
 import hashlib
 import html as entities
 import re
+from collections import Counter
 from collections.abc import Iterator
 
 import pandas as pd
@@ -40,10 +43,9 @@ _BLOCK = {"address", "article", "aside", "blockquote", "body", "center", "dd", "
 _RAW = {"script", "style", "noscript", "template", "textarea", "title", "iframe", "xmp"}
 _NEVER = {"nav", "footer", "aside", "form", "menu", "button", "select", "option", "svg", "object", "canvas", "dialog", "head"} | _RAW
 _NEVER_ROLE = {"navigation", "banner", "contentinfo", "complementary", "search", "dialog", "alert", "menu", "form"}
-_NEVER_NAME = re.compile(
-    r"(?:^|[\s_-])(?:ads?|adverts?|advertisements?|sponsored|promo\w*|banners?|cookies?|consent|notices?|alerts?|popups?|modals?|newsletters?|subscribe|sidebars?|side|menus?|nav\w*|breadcrumbs?|footers?|comments?|replies|disqus|share|sharing|social|related|recommended|widgets?|toolbars?|login|signup)(?:$|[\s_-])",
-    re.I,
-)
+# Class names and ids, whole or joined to each other: "cookie-banner", but not "has-sidebar" or "two-side".
+_WORD = r"(?:ads?|adverts?|advertisements?|sponsored|promos?|promotions?|banners?|cookies?|consent|notices?|alerts?|popups?|modals?|newsletters?|subscribe|sidebars?|side|menus?|navs?|navbars?|navigation|breadcrumbs?|footers?|comments?|replies|disqus|share|sharing|social|related|recommended|widgets?|toolbars?|login|signup)"
+_NEVER_NAME = re.compile(rf"(?:^|\s){_WORD}(?:[_-]+{_WORD})*(?:$|\s)", re.I)
 _TAG = re.compile(r"<!--.*?(?:-->|\Z)|<!\[CDATA\[.*?(?:\]\]>|\Z)|<[!?][^>]*(?:>|\Z)|<(/?)([A-Za-z][A-Za-z0-9:-]*)((?:[^>\"']|\"[^\"]*\"|'[^']*')*+)>|<(?=/?[A-Za-z!?])[^>]*+(?:>|\Z)", re.S)
 _ATTRIBUTE = re.compile(r"(?:^|\s)(class|id|role|hidden)(?:\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s\"'>]+)))?", re.I)
 _END_RAW = {name: re.compile(rf"</{name}\s*>", re.I) for name in _RAW}
@@ -51,37 +53,67 @@ _END_RAW = {name: re.compile(rf"</{name}\s*>", re.I) for name in _RAW}
 ARTICLE, OUTSIDE = 1, 0
 
 
-def _is_chrome(name: str, attributes: str, in_article: bool) -> bool:
+NO, DOUBTFUL, SURE = 0, 1, 2
+
+
+def _is_chrome(name: str, attributes: str, in_article: bool) -> int:
+    """Whether an element is no content; what its name or role says is doubtful, as a wrapper may have it."""
     if name in _NEVER or name == "header" and not in_article:
-        return True
+        return SURE
+    found = NO
     for key, *values in _ATTRIBUTE.findall(attributes):
         key, value = key.lower(), "".join(values)
-        if key == "hidden" or key == "role" and value.lower() in _NEVER_ROLE:
-            return True
-        if key in ("class", "id") and name not in ("body", "html") and _NEVER_NAME.search(value):
-            return True
-    return False
+        if key == "hidden":
+            return SURE
+        if key == "role" and value.lower() in _NEVER_ROLE or key in ("class", "id") and name not in ("body", "html") and _NEVER_NAME.search(value):
+            found = DOUBTFUL
+    return found
+
+
+def _hidden_elements(sizes: dict[int, int], blocks: Counter, total: int, articles: list[tuple[int, ...]]) -> set[int]:
+    """The doubtful elements that are hidden, from their characters and lines and the doubtful elements around each article.
+
+    Not hidden is one with more than half of the page (beside a visible article,
+    if it has several lines; a single one is an advert longer than the article),
+    or the largest one that holds an article as long as no article is visible.
+    """
+    beside = any(not around for around in articles)
+    hidden = {k for k, n in sizes.items() if 2 * n <= total or beside and blocks[k] < 2}
+    for k in sorted(hidden, key=lambda k: (-sizes[k], k)):
+        if any(k in around for around in articles) and all(hidden.intersection(around) for around in articles):
+            hidden.remove(k)
+    return hidden
 
 
 def lines_of(page: str | None) -> list[tuple[str, int]]:
     """(line, ARTICLE or OUTSIDE) in page order, without what is never content."""
     if not page:
         return []
-    out: list[tuple[str, int]] = []
-    text: list[str] = []
-    open_tags: list[tuple[str, bool, bool]] = []  # name, not content, article
-    hidden = article = 0
+    out: list[tuple[list[tuple[str, tuple[int, ...]]], int]] = []
+    text: list[tuple[str, tuple[int, ...]]] = []  # pieces, and the doubtful elements around each
+    open_tags: list[tuple[str, int, bool]] = []  # name, whether content, article
+    around: tuple[int, ...] = ()
+    articles: list[tuple[int, ...]] = []
+    sizes: dict[int, int] = {}
+    hidden = article = total = 0
 
     def end_line() -> None:
-        line = " ".join(entities.unescape("".join(text)).split())
-        text.clear()
-        if line:
-            out.append((line, ARTICLE if article else OUTSIDE))
+        if text:
+            out.append((text.copy(), ARTICLE if article else OUTSIDE))
+            text.clear()
+
+    def add(piece: str) -> None:
+        nonlocal total
+        text.append((piece, around))
+        n = len("".join(piece.split()))
+        total += n
+        for k in around:
+            sizes[k] += n
 
     at = 0
     while found := _TAG.search(page, at):
         if not hidden and found.start() > at:
-            text.append(page[at : found.start()])
+            add(page[at : found.start()])
         at = found.end()
         closing, name, attributes = found[1], (found[2] or "").lower(), found[3] or ""
         if not name:
@@ -90,12 +122,14 @@ def lines_of(page: str | None) -> list[tuple[str, int]]:
             if not hidden:
                 end_line()
         elif name == "br" and not hidden:
-            text.append(" ")
+            add(" ")
         if closing:
             if any(n == name for n, _, _ in open_tags):
                 while open_tags:
                     n, chrome, main = open_tags.pop()
-                    hidden -= chrome
+                    hidden -= chrome == SURE
+                    if chrome == DOUBTFUL:
+                        around = around[:-1]
                     article -= main
                     if n == name:
                         break
@@ -105,17 +139,29 @@ def lines_of(page: str | None) -> list[tuple[str, int]]:
         elif name not in _VOID and not attributes.rstrip().endswith("/"):
             main = name in ("article", "main") or bool(re.search(r"role\s*=\s*[\"']?main\b", attributes, re.I))
             chrome = _is_chrome(name, attributes, article > 0 or main)
+            if main and not chrome and not hidden:
+                articles.append(around)
             # An inline element left open must not hide or hold what follows its block.
             if name in _BLOCK or chrome:
                 open_tags.append((name, chrome, main))
-                hidden += chrome
+                hidden += chrome == SURE
+                if chrome == DOUBTFUL:
+                    around += (len(sizes),)
+                    sizes[len(sizes)] = 0
                 article += main
                 if name in ("p", "li", "dt", "dd", "tr", "td", "th") and not chrome:
                     open_tags.pop()
-    if not hidden:
-        text.append(page[at:])
+    if not hidden and at < len(page):
+        add(page[at:])
     end_line()
-    return out
+    blocks = Counter(k for pieces, _ in out if sizes for k in {k for t, inside in pieces if t.strip() for k in inside})
+    never = _hidden_elements(sizes, blocks, total, articles)
+    lines = []
+    for pieces, kind in out:
+        line = " ".join(entities.unescape("".join(t for t, inside in pieces if never.isdisjoint(inside))).split())
+        if line:
+            lines.append((line, kind))
+    return lines
 
 
 def common_lines(a: list, b: list) -> list[bool]:

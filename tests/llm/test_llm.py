@@ -273,6 +273,19 @@ def test_main_text_beside_articles_that_are_none(spark):
     assert [texts[3 + k] for k in range(3)] == [f"Story {i}\n\nTeaser {i}" for i in range(3)]
 
 
+def test_lines_within_wrappers():
+    kept = lambda page: [t for t, _ in html.lines_of(page)]
+    for name in ("page has-sidebar", "layout with-sidebar", "content no-comments", "navy theme", "two-side layout"):
+        assert kept(f"<div class='{name}'>Short</div><p>A longer text beside it</p>") == ["Short", "A longer text beside it"], name
+    for name in ("sidebar", "page sidebar", "cookie-banner", "x nav", "social_share"):
+        assert kept(f"<div class='{name}'>Short</div><p>A longer <span class='share'>it</span>text beside it</p>") == ["A longer text beside it"], name
+        assert kept(f"<div class='{name}'>A line longer than the article</div><article>Short</article>") == ["Short"], name
+        assert kept(f"<div class='{name}'><p>A story longer than</p><p>its teaser</p></div><article>Short</article>") == ["A story longer than", "its teaser", "Short"], name
+        # A wrapper may have such a name as well.
+        assert kept(f"<p>Top</p><div class='{name}'><p>All of the text</p><div id='comments'>Not this</div></div>") == ["Top", "All of the text"], name
+        assert kept(f"<p>A long text that stands before the rest</p><div class='{name}'><div class='related'><article>T</article></div><article>Story</article></div>")[1:] == ["Story"], name
+
+
 def test_neighbours_equal_brute_force(spark):
     chance = random.Random(5)
     rows = sorted({(f"h{chance.randrange(4)}", f"/{chance.randrange(9)}", n) for n in range(40)})
