@@ -38,7 +38,7 @@ _PATTERNS = {
     "local_phone": r"(?<![0-9+.)-])(?<!\+[0-9]\x20)\(?[0-9]{3}\)?[\x20.-][0-9]{3}[.-][0-9]{4}(?![0-9-])",
     "ssn": r"(?<![0-9-])[0-9]{3}-[0-9]{2}-[0-9]{4}(?![0-9-])",
     "iban": r"(?<![A-Za-z0-9])[A-Z]{2}[0-9]{2}(?:\x20?[A-Z0-9]{4}){3,7}(?:\x20?[A-Z0-9]{1,3})?(?![A-Za-z0-9])",
-    "secret": r"(?<![A-Za-z0-9])(?:(?:password|passwd|pwd|secret|token|api_?key)[\x20]?[=:][\x20]?[^\s\"',;]{6,128}|AKIA[0-9A-Z]{16}(?![A-Za-z0-9])|[0-9a-f]{32,64}(?![A-Za-z0-9]))",
+    "secret": r"(?<![A-Za-z0-9])(?:(?:password|passwd|pwd|secret|token|api_?key)[\x20]?[=:][\x20]?[^\s\"',;]{6,}+|AKIA[0-9A-Z]{16}(?![A-Za-z0-9])|[0-9a-f]{32,}+(?![A-Za-z0-9]))",
 }
 _STRICT = {
     "email": r"^[A-Za-z0-9][A-Za-z0-9._%+-]*@([A-Za-z0-9][A-Za-z0-9-]*\.)+[A-Za-z]{2,24}$",
@@ -158,7 +158,9 @@ def found_spans(text: Column) -> Column:
     """Array of (kind, at, end, pattern) of base spans and candidates; the pattern starts with the kind."""
     empty = F.array().cast("array<struct<kind:int,at:bigint,end:bigint,pattern:string>>")
     digits = text.rlike("[0-9]")
-    may = {"email": F.contains(text, F.lit("@")), "phone": digits & F.contains(text, F.lit("+"))}
+    # A secret needs no digit: a cue word with its sign, the start of a key, or a run of hex digits.
+    secret = text.rlike(r"(?:password|passwd|pwd|secret|token|api_?key)[\x20]?[=:]|AKIA|[0-9a-f]{32}")
+    may = {"email": F.contains(text, F.lit("@")), "phone": digits & F.contains(text, F.lit("+")), "secret": secret}
     return F.concat(*[F.when(may.get(kind, digits), _spans_of(text, kind)).otherwise(empty) for kind in KINDS])
 
 

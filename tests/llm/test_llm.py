@@ -202,6 +202,15 @@ def test_personal_data(spark, odd, docs):
     assert pii.personal_data(docs.limit(0)).count() == 0
 
 
+def test_secrets_are_whole_and_need_no_digits(spark):
+    long = "token=" + "aB3-" * 500
+    texts = ["password: open-sesame", f"x {long} y", "key " + "ab1" * 40 + " end", "pass word"]
+    frame = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    found = frame.select("doc_id", pii.found_spans(F.col("text")).alias("spans")).collect()
+    secrets = {r.doc_id: [(s["at"], s["end"]) for s in r.spans if s["kind"] == pii.KINDS.index("secret")] for r in found}
+    assert secrets == {0: [(0, 21)], 1: [(2, 2 + len(long))], 2: [(4, 124)], 3: []}
+
+
 def test_common_lines_are_a_longest_common_subsequence():
     chance = random.Random(3)
     for _ in range(200):
