@@ -251,9 +251,9 @@ def stage_counts(spark, sf_dir):
 
 
 def salted_join(spark, sf_dir):
-    """Lines priced through the salted path, products of more than ten lines taken as hot."""
+    """Lines priced through the salted path, hot products by `HOT_ROWS`, so that few are broadcast."""
     s = star(spark, sf_dir)
-    hot = joins.hot_keys(s.lines, "prod_id", rows=10)
+    hot = joins.hot_keys(s.lines, "prod_id")
     prices = s.products.select("prod_id", "price", "currency")
     return joins.salted_join(s.lines, prices, ["prod_id"], hot=hot)
 

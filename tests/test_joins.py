@@ -75,3 +75,12 @@ def test_broadcast_only_below_limit(spark):
 def test_one_per_key(spark):
     df = spark.createDataFrame([(1, "b", None), (1, "a", 2), (2, None, 3)], "k int, a string, b int")
     assert sorted(map(tuple, joins.one_per_key(df, ["k"]).collect())) == [(1, "a", 2), (2, None, 3)]
+
+
+def test_registered_join_broadcasts_few_hot_keys(spark, monkeypatch):
+    from orderloom.plans import queries
+
+    asked, plain = [], joins.hot_keys
+    monkeypatch.setattr(joins, "hot_keys", lambda df, *keys, rows=joins.HOT_ROWS: asked.append(rows) or plain(df, *keys, rows=rows))
+    queries.salted_join(spark, "/root/testdata/sf0.001")
+    assert asked == [joins.HOT_ROWS]
