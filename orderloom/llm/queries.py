@@ -4,7 +4,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from orderloom.llm import decontaminate, html, language, packing, pii, quality, simhash, tokens, toxicity, urls
+from orderloom.llm import conversations, decontaminate, embeddings, html, language, packing, pii, quality, simhash, tokens, toxicity, urls, whitening
 from orderloom.llm.common import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -50,6 +50,18 @@ def op10_quality_rules(spark, sf_dir):
     return quality.judged(table(spark, sf_dir, "documents"))
 
 
+def op11_conversation_repair(spark, sf_dir):
+    return conversations.structure_repair(table(spark, sf_dir, "conversations"))
+
+
+def op12_embedding_whitening(spark, sf_dir):
+    return whitening.whitening(table(spark, sf_dir, "embeddings"))
+
+
+def op13_embedding_near_dedup(spark, sf_dir):
+    return embeddings.near_duplicates(table(spark, sf_dir, "embeddings"))
+
+
 def llm_queries() -> dict[str, Query]:
     every = (
         op1_simhash,
@@ -62,10 +74,13 @@ def llm_queries() -> dict[str, Query]:
         op8_toxicity,
         op9_packing,
         op10_quality_rules,
+        op11_conversation_repair,
+        op12_embedding_whitening,
+        op13_embedding_near_dedup,
     )
     return {f.__name__: f for f in every}
 
 
 def llm_oracles() -> dict[str, str]:
-    """Only decontamination is plain SQL; the others are tested by brute force or held-out accuracy."""
-    return {"op4_decontamination": decontaminate.CONTAMINATION_SQL}
+    """What is plain SQL; the others are tested by brute force, round trips or held-out accuracy."""
+    return {"op4_decontamination": decontaminate.CONTAMINATION_SQL, "op13_embedding_near_dedup": embeddings.NEAR_DUPLICATES_SQL}
