@@ -124,7 +124,7 @@ def events(spark, sf_dir, where="true"):
     static = bridge.table(spark, sf_dir, "lineitem")
     lines = files.stream_table(spark, f"{sf_dir}/lineitem.parquet", static.schema, origin=tuple(validate.SOURCE))
     raw = bridge.order_lines(
-        lines.select(*bridge.LINE_COLUMNS, *validate.SOURCE),
+        bridge.spread(lines.select(*bridge.LINE_COLUMNS, *validate.SOURCE), f"{sf_dir}/lineitem.parquet", "l_orderkey", "l_linenumber"),
         bridge.table(spark, sf_dir, "orders").filter(where),
         lambda: joins.hot_keys(static, "l_orderkey"),
         keep=tuple(validate.SOURCE),

@@ -23,6 +23,22 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.schema(_schema(spark, path)).parquet(path)
 
 
+@lru_cache
+def _filled_parts(spark: SparkSession, path: str) -> int:
+    """Scan partitions of a table that hold rows; a row group, the smallest unit of a scan, is never split."""
+    return spark.read.parquet(path).select(F.spark_partition_id().alias("part")).distinct().count()
+
+
+def spread(lines: DataFrame, path: str, *keys: str) -> DataFrame:
+    """`lines` dealt to all cores if the table behind them has fewer filled scan partitions than there are cores.
+
+    Parsing costs far more than reading, so a file of one row group must not
+    be parsed by one task. Tables of many row groups are not shuffled.
+    """
+    cores = lines.sparkSession.sparkContext.defaultParallelism
+    return lines if _filled_parts(lines.sparkSession, path) >= cores else lines.repartition(cores, *keys)
+
+
 def _every(key: str, n: int) -> Column:
     return F.col(key) % n == 0
 
@@ -65,7 +81,8 @@ def raw_orders(spark: SparkSession, sf_dir: str, where: str = "true") -> DataFra
     """Raw order lines, of the orders for which `where` holds."""
     lineitem = table(spark, sf_dir, "lineitem").select(LINE_COLUMNS)
     orders = table(spark, sf_dir, "orders").filter(where)
-    return order_lines(lineitem, orders, lambda: hot_keys(lineitem, "l_orderkey"))
+    dealt = spread(lineitem, f"{sf_dir}/lineitem.parquet", "l_orderkey", "l_linenumber")
+    return order_lines(dealt, orders, lambda: hot_keys(lineitem, "l_orderkey"))
 
 
 def notifications(spark: SparkSession, sf_dir: str) -> DataFrame:
