@@ -6,9 +6,10 @@ from pyspark.sql import SparkSession, types as T
 
 from orderloom.operators.load import compact_table
 from orderloom.plans import pipeline
-from orderloom.schemas import DIM_CUSTOMER, FACT_ORDERS
+from orderloom.schemas import DIM_CATEGORY, DIM_CUSTOMER, DIM_DATE, DIM_PRODUCT, FACT_ORDERS, MART_QUARANTINE, STREAM_ORDERS
 from orderloom.sources import files, landing
-from orderloom.streaming.load import stream_customer_merge, stream_incremental_load
+from orderloom.streaming import upsert
+from orderloom.streaming.load import stream_incremental_load, stream_rejects_load
 from orderloom.streaming.validate import stream_validate
 
 EVERY_MINUTE = {"processingTime": "1 minute"}
@@ -20,10 +21,17 @@ def session(app: str) -> SparkSession:
 
 
 def bronze_to_silver(spark, args):
-    raw = pipeline.read_bronze(spark, args.bronze)
+    """With --manifest, of check-landing over --bucket, rejected files are left out; --events adds landed good events."""
+    manifest = files.scan_table(spark, args.manifest) if args.manifest else None
+    raw = pipeline.read_bronze(spark, args.bronze, manifest, args.bucket, args.events)
     pipeline.bronze_to_silver(spark, raw, args.silver, args.reject_limit).show(truncate=False)
 
 
+def stream_to_silver(spark, args):
+    landed = files.stream_table(spark, args.events, STREAM_ORDERS, args.files_per_trigger, format="json")
+    pipeline.stream_to_silver(landed, args.silver, args.checkpoint, EVERY_MINUTE).awaitTermination()
+
+
 def silver_to_gold(spark, args):
     pipeline.silver_to_gold(spark, args.silver, args.gold)
 
@@ -52,7 +60,20 @@ def load_facts(spark, args):
 
 def load_customers(spark, args):
     landed = files.stream_table(spark, args.landed, DIM_CUSTOMER, args.files_per_trigger, ("sent_at",))
-    stream_customer_merge(landed, args.table, args.checkpoint, EVERY_MINUTE).awaitTermination()
+    upsert.stream_customer_merge(landed, args.table, args.checkpoint, EVERY_MINUTE, args.buckets).awaitTermination()
+
+
+def _load_type_1(name, schema):
+    def load(spark, args):
+        landed = files.stream_table(spark, args.landed, schema, args.files_per_trigger, ("sent_at",))
+        upsert.stream_upsert(landed, name, args.table, args.checkpoint, EVERY_MINUTE, args.buckets).awaitTermination()
+
+    return load
+
+
+def load_quarantine(spark, args):
+    landed = files.stream_table(spark, args.landed, MART_QUARANTINE, args.files_per_trigger, ("source", "source_day"))
+    stream_rejects_load(landed, args.mart, args.deliveries, args.checkpoint, EVERY_MINUTE).awaitTermination()
 
 
 def compact(spark, args):
@@ -63,23 +84,38 @@ def main() -> None:
     parser = argparse.ArgumentParser(prog="orderloom")
     jobs = parser.add_subparsers(dest="job", required=True)
 
-    def job(run, *names):
-        sub = jobs.add_parser(run.__name__.replace("_", "-"))
-        for name in names:
-            sub.add_argument(name)
+    def job(run, *names, name=None):
+        sub = jobs.add_parser(name or run.__name__.replace("_", "-"))
+        for argument in names:
+            sub.add_argument(argument)
         sub.set_defaults(run=run)
         return sub
 
-    job(bronze_to_silver, "bronze", "silver").add_argument("--reject-limit", type=float)
+    sub = job(bronze_to_silver, "bronze", "silver")
+    sub.add_argument("--reject-limit", type=float)
+    sub.add_argument("--manifest")
+    sub.add_argument("--bucket", default="")
+    sub.add_argument("--events")
     job(silver_to_gold, "silver", "gold")
     job(metrics, "gold", "out").add_argument("--category", default="Sweet")
     job(check_landing, "root", "manifest")
     for run, names in (
         (validate_stream, ("events", "good", "bad", "deliveries", "checkpoint")),
+        (stream_to_silver, ("events", "silver", "checkpoint")),
         (load_facts, ("landed", "mart", "checkpoint")),
-        (load_customers, ("landed", "table", "checkpoint")),
+        (load_quarantine, ("landed", "mart", "deliveries", "checkpoint")),
     ):
         job(run, *names).add_argument("--files-per-trigger", type=int)
+    dimensions = {
+        "load-customers": load_customers,
+        "load-products": _load_type_1("dim_product", DIM_PRODUCT),
+        "load-categories": _load_type_1("dim_category", DIM_CATEGORY),
+        "load-dates": _load_type_1("dim_date", DIM_DATE),
+    }
+    for name, run in dimensions.items():
+        sub = job(run, "landed", "table", "checkpoint", name=name)
+        sub.add_argument("--files-per-trigger", type=int)
+        sub.add_argument("--buckets", type=int, default=upsert.BUCKETS)
     sub = job(compact, "table", "new_table")
     sub.add_argument("--partition-by", default="order_day")
     args = parser.parse_args()

@@ -2,7 +2,7 @@
 
 from collections.abc import Callable
 
-from pyspark.sql import Column, DataFrame, functions as F, types as T
+from pyspark.sql import Column, DataFrame, Window, functions as F, types as T
 
 # A lookup is broadcast only up to this size in memory.
 BROADCAST_LIMIT = 32 * 1024 * 1024
@@ -109,19 +109,33 @@ def _equi(left, right, on, how, within):
     return left.join(renamed, match, how).drop(*[f"_r_{c}" for c in on])
 
 
+def versions_by_day(days: DataFrame, dim_customer: DataFrame, columns: list[str], day: str = "order_day") -> DataFrame:
+    """`columns` of the customer version in force on each (cust_id, day) of `days`, which are distinct.
+
+    Days and version starts are merged in one order per customer and the last
+    start is carried forward, so no day meets a version but its own. A customer
+    has a row per calendar day and version at most, however many lines it has.
+    """
+    version = F.struct("valid_to", *columns)
+    starts = dim_customer.filter(F.col("cust_id").isNotNull()).select("cust_id", F.col("valid_from").alias("_day"), F.lit(0).alias("_asked"), version.alias("_version"))
+    asked = days.filter(F.col("cust_id").isNotNull() & F.col(day).isNotNull()).select("cust_id", F.col(day).alias("_day"), F.lit(1).alias("_asked"))
+    order = Window.partitionBy("cust_id").orderBy("_day", "_asked").rowsBetween(Window.unboundedPreceding, 0)
+    merged = starts.unionByName(asked, allowMissingColumns=True)
+    carried = merged.withColumn("_version", F.last("_version", ignorenulls=True).over(order))
+    found = carried.filter((F.col("_asked") == 1) & (F.col("_day") <= F.col("_version.valid_to")))
+    return found.select("cust_id", F.col("_day").alias(day), *[f"_version.{c}" for c in columns])
+
+
 def version_in_force(
     left: DataFrame, dim_customer: DataFrame, columns: list[str], day: str = "order_day", **options
 ) -> DataFrame:
     """Inner join to the customer version valid on `day`.
 
-    Customer is the hash key and the validity range a residual test, so rows
-    meet only versions of their own customer.
+    Versions are found once per customer and day, then looked up by both, so
+    the rows of a busy customer with many versions are not paired with all of them.
     """
-    versions = dim_customer.select("cust_id", "valid_from", "valid_to", *columns)
-    within = F.col(day).between(F.col("valid_from"), F.col("valid_to"))
-    return lookup_join(left, versions, ["cust_id"], "inner", within=within, **options).drop(
-        "valid_from", "valid_to"
-    )
+    placed = versions_by_day(left.select("cust_id", day).distinct(), dim_customer, columns, day)
+    return lookup_join(left, placed, ["cust_id", day], "inner", **options)
 
 
 def one_per_key(df: DataFrame, keys: list[str]) -> DataFrame:

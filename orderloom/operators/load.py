@@ -5,6 +5,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 from orderloom.operators.dims import with_validity
 from orderloom.operators.joins import one_per_key
 from orderloom.schemas import DIM_CUSTOMER, LINE_KEY, VERSION_KEY
+from orderloom.sources import storage
 
 # The folder level that tells the loads of a table apart.
 LOAD = "load_id"
@@ -46,11 +47,15 @@ def compact_table(
     """Rewrite a table of many small files to a new path; the caller then switches over.
 
     The loads of a streamed table become one load, in the same folder levels,
-    so the stream goes on at the new path and still finds what it has landed.
+    so the stream goes on at the new path and still finds what it has landed,
+    by the key hashes that move along.
     """
     rows = spark.read.parquet(path)
     if LOAD not in rows.columns:
         return write_table(rows, new_path, partition_by)
+    if storage.exists(spark, f"{path}_keys"):
+        hashes = spark.read.parquet(f"{path}_keys").withColumn(LOAD, F.lit("compacted"))
+        write_table(hashes, f"{new_path}_keys", ["month", LOAD])
     return write_table(rows.withColumn(LOAD, F.lit("compacted")), new_path, [partition_by, LOAD])
 
 

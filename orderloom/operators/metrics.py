@@ -5,20 +5,19 @@ reduced rows, so a customer or product behind a third of all lines is already
 collapsed when it meets a join.
 """
 
-from collections.abc import Callable
-
 from pyspark.sql import DataFrame, Window, functions as F
 
-from orderloom.operators.joins import lookup_join, version_in_force
+from orderloom.operators.joins import lookup_join, version_in_force, versions_by_day
+from orderloom.sources.storage import kept
 
 
-def dau_by_region(fact: DataFrame, dim_customer: DataFrame, size: int | None = None) -> DataFrame:
+def dau_by_region(fact: DataFrame, dim_customer: DataFrame) -> DataFrame:
     """Distinct customers per order day and region of the version then in force."""
-    active = fact.select("order_day", "cust_id").distinct()
+    active = fact.select("cust_id", "order_day").distinct()
     return (
-        version_in_force(active, dim_customer, ["region"], size=size, reduced=True)
+        versions_by_day(active, dim_customer, ["region"])
         .groupBy("order_day", "region")
-        .agg(F.count_distinct("cust_id").alias("daily_active_users"))
+        .agg(F.count(F.lit(1)).alias("daily_active_users"))
         .orderBy("order_day", "region")
     )
 
@@ -55,28 +54,17 @@ def category_conversion(fact: DataFrame, category: str = "Sweet") -> DataFrame:
 
 
 def top_products_by_region(
-    fact: DataFrame,
-    dim_product: DataFrame,
-    dim_customer: DataFrame,
-    top: int = 3,
-    product_size: int | None = None,
-    customer_size: int | None = None,
-    hot_customers: Callable[[], DataFrame] | None = None,
+    fact: DataFrame, dim_product: DataFrame, dim_customer: DataFrame, top: int = 3, product_size: int | None = None
 ) -> DataFrame:
     """Products ranked by realised revenue within each region, ties kept.
 
-    Revenue is summed per region and product id before the product name is
-    looked up, then per name, which is the reported grain.
+    Revenue is summed per customer, day and product first, so a customer's lines
+    are few when they meet its region of the day, then per region and
+    product id before the name is looked up, then per name, the reported grain.
     """
-    realised = fact.filter("is_revenue_status").select("cust_id", "order_day", "order_id", "prod_id", "revenue_usd")
-    placed = version_in_force(
-        realised,
-        dim_customer,
-        ["region"],
-        size=customer_size,
-        hot=hot_customers,
-        spread=["order_id", "prod_id"],
-    )
+    sold = fact.filter("is_revenue_status").groupBy("cust_id", "order_day", "prod_id").agg(F.sum("revenue_usd").alias("revenue_usd"))
+    # Read twice below, so the lines are summed before.
+    placed = version_in_force(kept(sold, "sold"), dim_customer, ["region"], reduced=True)
     by_id = placed.groupBy("region", "prod_id").agg(F.sum("revenue_usd").alias("revenue_usd"))
     names = dim_product.select("prod_id", "prod_name")
     by_name = (

@@ -1,6 +1,6 @@
 """The same results as DuckDB SQL over the driver's tables, as an independent check."""
 
-from orderloom.plans.queries import BRIDGE_CATEGORY, FIRST_LATE_DAY, GATE_LIMIT
+from orderloom.plans.queries import BRIDGE_CATEGORY, FIRST_LATE_DAY, GATE_LIMIT, METRICS
 
 RAW = """
 b_orders AS (
@@ -220,11 +220,13 @@ GROUP BY region, prod_name
 QUALIFY rnk <= 3 ORDER BY region, rnk"""
 
 _LIFETIME = """
-SELECT f.cust_id, c.is_active AS currently_active, f.lifetime_value_usd, f.realized_orders
-FROM (SELECT cust_id, ROUND(SUM(CASE WHEN is_revenue_status THEN revenue_usd END), 4) AS lifetime_value_usd,
-             COUNT(DISTINCT CASE WHEN is_revenue_status THEN order_id END) AS realized_orders
-      FROM fact GROUP BY cust_id) f
-LEFT JOIN (SELECT * FROM dim_customer WHERE is_current) c ON f.cust_id = c.cust_id
+SELECT spent.cust_id, c.is_active AS currently_active, lifetime_value_usd, realized_orders
+FROM (SELECT cust_id, ROUND(SUM(earned), 4) AS lifetime_value_usd, COUNT(*) FILTER (realised) AS realized_orders
+      FROM (SELECT cust_id, order_id, bool_or(is_revenue_status) AS realised,
+                   SUM(revenue_usd) FILTER (is_revenue_status) AS earned
+            FROM fact GROUP BY ALL) per_order
+      GROUP BY cust_id) spent
+LEFT JOIN dim_customer c ON c.is_current AND c.cust_id = spent.cust_id
 ORDER BY lifetime_value_usd DESC NULLS LAST"""
 
 _DAU = """
@@ -240,6 +242,10 @@ SELECT d AS date_key, CAST(year(d) AS INTEGER) AS year, CAST(quarter(d) AS INTEG
 FROM (SELECT CAST(unnest(generate_series(MIN(order_day), MAX(order_day), INTERVAL 1 DAY)) AS DATE) AS d
       FROM clean) days"""
 
+_QUARANTINE = """
+SELECT order_id, cust AS cust_id, pid AS prod_id, st AS status, dq_reason, quantity, order_date,
+       prod_id AS prod_id_text FROM flagged WHERE dq_reason IS NOT NULL"""
+
 _STAGES = """
 SELECT 'orders_raw' AS stage, COUNT(*) AS "rows" FROM b_orders
 UNION ALL SELECT 'orders_quarantine', COUNT(*) FROM flagged WHERE dq_reason IS NOT NULL
@@ -254,6 +260,51 @@ UNION ALL SELECT 'unknown_customers', COUNT(DISTINCT cust_id) FROM lines
 UNION ALL SELECT 'unknown_products', COUNT(DISTINCT prod_id) FROM lines
   WHERE prod_id NOT IN (SELECT prod_id FROM dim_product)"""
 
+
+
+def _figures(name: str, sql: str) -> str:
+    """A metric as one row per figure."""
+    keys, numbers = METRICS[name]
+    item = " || '|' || ".join(f"CAST({k} AS VARCHAR)" for k in keys) or "''"
+    return " UNION ALL ".join(
+        f"SELECT '{name}' AS metric, {item} AS item, '{n}' AS figure, CAST({n} AS DOUBLE) AS value FROM ({sql})" for n in numbers
+    )
+
+
+_GOLD = " UNION ALL ".join(
+    _figures(name, sql)
+    for name, sql in {
+        "dau_by_region": _DAU,
+        "category_conversion": _CONVERSION,
+        "top_products_by_region": _TOP,
+        "customer_lifetime_value": _LIFETIME,
+        "dq_reason_counts": "SELECT dq_reason, COUNT(*) AS faulty_count FROM flagged WHERE dq_reason IS NOT NULL GROUP BY 1",
+    }.items()
+)
+
+# Nation and dataset decide together whether a file has a comma.
+_LANDED = """
+SELECT dataset, 'c_nationkey=' || c_nationkey AS folder,
+       CASE WHEN reason IS NULL THEN 'accepted' ELSE 'rejected' END AS status, reason,
+       CAST(1 AS BIGINT) AS files, CAST(bytes AS BIGINT) AS bytes
+FROM (SELECT dataset, c_nationkey,
+             CASE WHEN dataset = 'surprise' THEN 'unexpected_dataset:surprise'
+                  WHEN (c_nationkey + number) % 7 = 0 THEN 'missing_or_malformed_header' END AS reason,
+             SUM(strlen(CAST(c_custkey AS VARCHAR)) + strlen(c_name) + 2) AS bytes
+      FROM customer CROSS JOIN (VALUES ('customer', 0), ('orders', 1), ('product', 2), ('prod_cat_tree', 3),
+                                       ('currency_conversion', 4), ('surprise', 5)) d(dataset, number)
+      GROUP BY dataset, number, c_nationkey) placed"""
+
+_REJECTS = """
+SELECT 'product' AS dataset, 'duplicate_product' AS reason, COUNT(*) AS copies FROM b_product WHERE prod_id % 17 = 0
+UNION ALL SELECT 'product', 'corrupt_record', COUNT(*) FROM b_product WHERE prod_id % 23 = 0
+UNION ALL SELECT 'prod_cat_tree', 'duplicate_category', COUNT(*) FROM b_edges WHERE cat_id % 5 = 0
+UNION ALL SELECT 'customer', 'blank_customer', COUNT(*) FROM b_customer WHERE trim(cust_id) = ''
+UNION ALL SELECT 'customer', 'bad_created_at', COUNT(*) FROM b_customer WHERE trim(cust_id) <> '' AND created_at = 'n/a'
+UNION ALL SELECT 'customer', 'superseded_version', COUNT(*) FROM versions WHERE pick > 1
+UNION ALL SELECT 'currency_conversion', 'unusable_rate', COUNT(*) FROM b_rates WHERE currency = 'USD'
+UNION ALL SELECT 'currency_conversion', 'duplicate_rate', COUNT(*) FROM b_rates WHERE currency = 'EUR'"""
+
 _LINES = "SELECT order_id, cust_id, prod_id, order_ts, order_day, quantity, status FROM lines"
 
 
@@ -267,7 +318,7 @@ def all_oracles() -> dict[str, str]:
         "category_conversion": _with(*_FACT, select=_CONVERSION),
         "top_products_by_region": _with(*_ALL, select=_TOP),
         "customer_lifetime_value": _with(*_ALL, select=_LIFETIME),
-        "metrics_from_gold": _with(*_ALL, select=_LIFETIME),
+        "metrics_from_gold": _with(*_ALL, select=_GOLD),
         "duplicate_orders": _with(
             *_ORDERS,
             select="""SELECT order_id, prod_id, order_ts, quantity, status, COUNT(*) AS dup_count FROM clean
@@ -279,11 +330,7 @@ GROUP BY 1, 2, 3, 4, 5 HAVING COUNT(*) > 1 ORDER BY dup_count DESC""",
 WHERE dq_reason IS NOT NULL GROUP BY 1 ORDER BY 2 DESC""",
         ),
         "clean_orders": _with(*_ORDERS, select="SELECT * FROM clean"),
-        "quarantine_orders": _with(
-            *_ORDERS,
-            select="""SELECT order_id, cust AS cust_id, pid AS prod_id, st AS status, dq_reason, quantity,
-       order_date, prod_id AS prod_id_text FROM flagged WHERE dq_reason IS NOT NULL""",
-        ),
+        "quarantine_orders": _with(*_ORDERS, select=_QUARANTINE),
         "dedup_orders": lines,
         "scd2_customer": dim_customer,
         "quarantine_customers": _with(
@@ -349,6 +396,15 @@ GROUP BY order_id, prod_id, order_ts, order_day, quantity, status""",
 FROM manifest GROUP BY dataset, status""",
         ),
         "stream_incremental_load": _with(*_FACT, select=_mart()),
+        "landing_scan": _LANDED,
+        "bronze_by_manifest": lines,
+        "input_rejects": _with(*_CUSTOMERS, select=_REJECTS),
         "stream_customer_merge": _merged(),
+        "stream_product_upsert": _with(
+            *_PRODUCTS, select="SELECT * REPLACE (CAST(CAST(price AS DECIMAL(18, 2)) AS DOUBLE) AS price) FROM dim_product"
+        ),
+        "stream_category_upsert": _with(*_PRODUCTS, select="SELECT * FROM dim_category"),
+        "stream_date_upsert": _with(*_ORDERS, select=_CALENDAR),
+        "stream_quarantine_load": _with(*_ORDERS, select=_QUARANTINE),
         "stream_dedup": "SELECT * FROM events",
     }

@@ -6,12 +6,15 @@ and means a lost executor never costs more than the table in work.
 """
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql.streaming import StreamingQuery
 
-from orderloom.operators import dims, fact, fx, joins, metrics, orders, quality
-from orderloom.operators.load import write_table
+from orderloom.operators import dims, fact, fx, joins, metrics, orders, quality, rejects
+from orderloom.operators.load import LOAD, write_table
 from orderloom.plans.star import Raw
-from orderloom.schemas import CHECKED_ORDERS, RAW_CATEGORY, RAW_CUSTOMER, RAW_ORDERS, RAW_PRODUCT
-from orderloom.sources import files
+from orderloom.schemas import CHECKED_ORDERS, LINE_KEY, RAW_CATEGORY, RAW_CUSTOMER, RAW_ORDERS, RAW_PRODUCT
+from orderloom.sources import files, landing
+from orderloom.sources.storage import kept, publish, published
+from orderloom.streaming.sink import land_once, stream_id, write_keys, write_load
 
 
 def write_csv(df: DataFrame, path: str) -> None:
@@ -42,21 +45,39 @@ def write_bronze(raw: Raw, root: str) -> None:
     write_rates(raw.rates, f"{root}/currency_conversion/day")
 
 
-def read_bronze(spark: SparkSession, root: str) -> Raw:
-    """Landed files of the five datasets."""
+def read_bronze(spark: SparkSession, root: str, manifest: DataFrame | None = None, bucket: str = "", events: str | None = None) -> Raw:
+    """Landed files of the five datasets, and good events of the stream among the orders.
+
+    With `manifest`, whose keys begin at `bucket`, no row of a rejected file is read on.
+    """
+
+    def taken(rows: DataFrame) -> DataFrame:
+        return rows if manifest is None else landing.accepted_rows(rows, manifest, bucket)
+
+    orders = taken(files.scan_csv(spark, f"{root}/orders", RAW_ORDERS))
     return Raw(
-        orders=files.scan_csv(spark, f"{root}/orders/*", RAW_ORDERS),
-        customers=files.scan_csv(spark, f"{root}/customer/*", RAW_CUSTOMER),
-        products=files.scan_csv(spark, f"{root}/product/*", RAW_PRODUCT),
-        categories=files.scan_csv(spark, f"{root}/prod_cat_tree/*", RAW_CATEGORY),
-        rates=files.scan_rates(spark, f"{root}/currency_conversion/*"),
+        orders=orders if events is None else unified_orders(orders, files.scan_events(spark, events)),
+        customers=taken(files.scan_csv(spark, f"{root}/customer", RAW_CUSTOMER)),
+        products=taken(files.scan_csv(spark, f"{root}/product", RAW_PRODUCT)),
+        categories=taken(files.scan_csv(spark, f"{root}/prod_cat_tree", RAW_CATEGORY)),
+        rates=taken(files.scan_rates(spark, f"{root}/currency_conversion")),
     )
 
 
-def unified_orders(batch: DataFrame, stream: DataFrame) -> DataFrame:
-    """Batch files and landed events as one raw order frame; the shared rules accept both."""
+def event_text(events: DataFrame) -> DataFrame:
+    """Landed events in the raw layout of batch files, which the shared rules take."""
     text = {"prod_id": F.col("prod_id").cast("string"), "quantity": F.col("quantity").cast("string")}
-    return batch.select(*RAW_ORDERS.names).unionByName(stream.withColumns(text).select(*RAW_ORDERS.names))
+    return events.withColumns(text).select(*RAW_ORDERS.names)
+
+
+def unified_orders(batch: DataFrame, stream: DataFrame) -> DataFrame:
+    """Batch files and landed events as one raw order frame; what only files have stays."""
+    origin = [c for c in (files.CORRUPT, "source") if c in batch.columns]
+    return batch.select(*RAW_ORDERS.names, *origin).unionByName(event_text(stream), allowMissingColumns=True)
+
+
+# The load of the silver fact that a batch run writes; streamed slices add loads of their own.
+BATCH = "batch"
 
 
 def bronze_to_silver(
@@ -89,21 +110,62 @@ def bronze_to_silver(
         hot=lambda: joins.hot_keys(clean, "prod_id"),
     )
     write_table(fx.daily_rates(raw.rates), at("fx_rates"))
-    write_table(
-        fact.fact_orders(priced, read("fx_rates")), at("fact_orders"), "order_day", ("cust_id",)
-    )
-    names = ["fact_orders", "orders_quarantine", "dim_customer", "customer_quarantine", "dim_category", "dim_product"]
+    write_table(rejects.input_rejects(raw), at("input_rejects"), "dataset")
+    sold = fact.fact_orders(priced, read("fx_rates")).withColumn(LOAD, F.lit(BATCH))
+    write_table(sold, at("fact_orders"), ["order_day", LOAD], ("cust_id",))
+    write_keys(read("fact_orders"), at("fact_orders"), BATCH, LINE_KEY, "order_day", replace=True)
+    names = ["fact_orders", "orders_quarantine", "dim_customer", "customer_quarantine", "dim_category", "dim_product", "input_rejects"]
     return quality.stage_counts({name: read(name) for name in names})
 
 
+def stream_to_silver(landed: DataFrame, silver: str, checkpoint: str, trigger: dict | None = None) -> StreamingQuery:
+    """Start adding landed good events to the silver fact between two batch runs.
+
+    A slice is cleaned by the batch's rules, priced from the tables of the
+    last run and held against the fact's days it touches alone, so a line that
+    a batch or another slice has brought is not added. Lines that break a rule go to
+    `stream_quarantine`. The next batch run reads the same events from the landing.
+    """
+
+    def add(batch: DataFrame, batch_id: int) -> None:
+        spark = batch.sparkSession
+        load = f"{stream_id(spark, checkpoint)}-{batch_id}"
+        flagged = orders.flagged_orders(event_text(batch)).persist()
+        try:
+            products, rates = files.scan_table(spark, f"{silver}/dim_product"), files.scan_table(spark, f"{silver}/fx_rates")
+            lines = orders.dedup_orders(orders.good_lines(flagged))
+            priced = fact.priced_orders(lines, products, size=joins.measured_bytes(products))
+            write_load(orders.rejected_lines(flagged), f"{silver}/stream_quarantine", load, "dq_reason")
+            land_once(kept(fact.fact_orders(priced, rates), "slice"), f"{silver}/fact_orders", load, LINE_KEY, "order_day")
+        finally:
+            flagged.unpersist()
+
+    return (
+        landed.writeStream.foreachBatch(add)
+        .option("checkpointLocation", checkpoint)
+        .trigger(**(trigger or {"availableNow": True}))
+        .start()
+    )
+
+
+# Serving tables that are those of the silver layer.
+SERVED = ("fact_orders", "dim_customer", "dim_product", "dim_category", "orders_quarantine", "input_rejects")
+
+
 def silver_to_gold(spark: SparkSession, silver: str, gold: str) -> None:
-    """Republish the star schema for serving and add the calendar."""
-    read = lambda name: files.scan_table(spark, f"{silver}/{name}")
-    fact_orders = read("fact_orders")
-    write_table(fact_orders, f"{gold}/fact_orders", "order_day", ("cust_id",))
-    for name in ("dim_customer", "dim_product", "dim_category", "orders_quarantine"):
-        write_table(read(name), f"{gold}/{name}")
-    write_table(dims.dim_date(fact_orders), f"{gold}/dim_date")
+    """Publish the star schema for serving and add the calendar.
+
+    Tables that serving reads as they are are published by reference, so the
+    fact is neither copied nor stale between runs.
+    """
+    for name in SERVED:
+        publish(spark, f"{gold}/{name}", f"{silver}/{name}")
+    write_table(dims.dim_date(served(spark, gold, "fact_orders")), f"{gold}/dim_date")
+
+
+def served(spark: SparkSession, gold: str, name: str) -> DataFrame:
+    """A serving table, wherever it is kept; loads are no column of it."""
+    return files.scan_table(spark, published(spark, f"{gold}/{name}")).drop(LOAD)
 
 
 def gold_metrics(spark: SparkSession, gold: str, out: str, category: str = "Sweet") -> None:
@@ -111,19 +173,14 @@ def gold_metrics(spark: SparkSession, gold: str, out: str, category: str = "Swee
 
     `duplicate_orders` is a control: the fact holds a line once, so it has no row.
     """
-    read = lambda name: files.scan_table(spark, f"{gold}/{name}")
+    read = lambda name: served(spark, gold, name)
     sold, customers, products = read("fact_orders"), read("dim_customer"), read("dim_product")
     customer_size = joins.measured_bytes(customers)
     found = {
-        "dau_by_region": metrics.dau_by_region(sold, customers, customer_size),
+        "dau_by_region": metrics.dau_by_region(sold, customers),
         "category_conversion": metrics.category_conversion(sold, category),
         "top_products_by_region": metrics.top_products_by_region(
-            sold,
-            products,
-            customers,
-            product_size=joins.measured_bytes(products),
-            customer_size=customer_size,
-            hot_customers=lambda: joins.hot_keys(sold, "cust_id"),
+            sold, products, customers, product_size=joins.measured_bytes(products)
         ),
         "customer_lifetime_value": metrics.customer_lifetime_value(sold, customers, customer_size),
         "duplicate_orders": orders.duplicate_orders(sold),

@@ -1,25 +1,29 @@
 """One query per operator, over the driver's tables."""
 
 from collections.abc import Callable
+from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 
-from orderloom.operators import fact, fx, joins, load, metrics, orders, quality
+from orderloom.operators import fx, joins, load, metrics, orders, quality, rejects
 from orderloom.operators.dims import quarantine_customers
 from orderloom.plans import pipeline
-from orderloom.plans.star import Star
+from orderloom.plans.star import Raw, Star
 from orderloom.schemas import (
     CHECKED_ORDERS,
+    DATASETS,
     DELIVERY,
     DIM_CUSTOMER,
     MART_FACT,
+    MART_QUARANTINE,
     RAW_ORDERS,
     STREAM_ORDERS,
 )
 from orderloom.sources import bridge, files, landing
-from orderloom.sources.storage import work_folder
-from orderloom.streaming import dedup, validate
-from orderloom.streaming.load import newest_version, stream_customer_merge, stream_incremental_load as start_load
+from orderloom.sources.storage import kept, work_folder
+from orderloom.streaming import dedup, upsert, validate
+from orderloom.streaming.load import stream_incremental_load as start_load, stream_rejects_load
+from orderloom.streaming.sink import SOURCE
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -45,7 +49,7 @@ def scan_csv(spark, sf_dir):
 def scan_rates(spark, sf_dir):
     path = f"{work_folder(spark, 'scan_rates')}/currency_conversion"
     pipeline.write_rates(bridge.raw_rates(spark, sf_dir), path)
-    return files.scan_rates(spark, path)
+    return files.scan_rates(spark, path).select("fx_date", "currency", "conversion")
 
 
 def scan_table(spark, sf_dir):
@@ -55,14 +59,23 @@ def scan_table(spark, sf_dir):
 
 
 def landing_scan(spark, sf_dir):
-    """Raw files of every dataset and a few faulty ones, written from the tables, then listed."""
+    """Customers of each nation as a file per nation and dataset, some without a header, then listed and judged.
+
+    One row per folder, as names of files differ from run to run; Spark's own hidden files are left out.
+    """
     root = work_folder(spark, "landing")
-    s = star(spark, sf_dir)
-    pipeline.write_bronze(s.raw, f"{root}/bronze/raw")
-    nations = bridge.table(spark, sf_dir, "nation").select("n_name")
-    nations.write.text(f"{root}/bronze/raw/customer/headless")
-    nations.write.text(f"{root}/bronze/raw/surprise/day")
-    return landing.landing_manifest(landing.with_heads(landing.list_landed(spark, root)))
+    for number, name in enumerate([*DATASETS, "surprise"]):
+        # A nation's lines either all have a comma or none has.
+        comma = F.when((F.col("c_nationkey") + number) % 7 == 0, " ").otherwise(",")
+        lines = bridge.table(spark, sf_dir, "customer").select("c_nationkey", F.concat("c_custkey", comma, "c_name").alias("value"))
+        lines.repartition("c_nationkey").write.partitionBy("c_nationkey").text(f"{root}/bronze/raw/{name}")
+    found = landing.landing_manifest(landing.with_heads(landing.list_landed(spark, root)))
+    folder = F.element_at(F.split("key", "/"), 4)
+    return (
+        found.filter(~F.col("key").rlike("/[._][^/]*$"))
+        .groupBy("dataset", folder.alias("folder"), "status", "reason")
+        .agg(F.count(F.lit(1)).alias("files"), F.sum("size").alias("bytes"))
+    )
 
 
 def landing_manifest(spark, sf_dir):
@@ -85,11 +98,12 @@ def write_table(spark, sf_dir):
 
 
 def compact_table(spark, sf_dir):
-    """Many small files per order day rewritten as well-sized ones."""
+    """Four small files for each order month rewritten as one."""
     root = work_folder(spark, "compact_table")
-    star(spark, sf_dir).lines.write.partitionBy("order_day").parquet(f"{root}/small")
-    load.compact_table(spark, f"{root}/small", f"{root}/compact")
-    return files.scan_table(spark, f"{root}/compact")
+    lines = star(spark, sf_dir).lines.withColumn("order_month", F.date_format("order_day", "yyyy-MM"))
+    lines.repartition(4, "order_id").write.partitionBy("order_month").parquet(f"{root}/small")
+    load.compact_table(spark, f"{root}/small", f"{root}/compact", "order_month")
+    return files.scan_table(spark, f"{root}/compact").drop("order_month")
 
 
 def _late():
@@ -122,17 +136,17 @@ def scd2_merge(spark, sf_dir):
 def events(spark, sf_dir, where="true"):
     """Order lines as a stream of base64 JSON events, some of them broken; only orders for which `where` holds."""
     static = bridge.table(spark, sf_dir, "lineitem")
-    lines = files.stream_table(spark, f"{sf_dir}/lineitem.parquet", static.schema, origin=tuple(validate.SOURCE))
+    lines = files.stream_table(spark, f"{sf_dir}/lineitem.parquet", static.schema, origin=tuple(SOURCE))
     raw = bridge.order_lines(
-        bridge.spread(lines.select(*bridge.LINE_COLUMNS, *validate.SOURCE), f"{sf_dir}/lineitem.parquet", "l_orderkey", "l_linenumber"),
+        bridge.spread(lines.select(*bridge.LINE_COLUMNS, *SOURCE), f"{sf_dir}/lineitem.parquet", "l_orderkey", "l_linenumber"),
         bridge.table(spark, sf_dir, "orders").filter(where),
         lambda: joins.hot_keys(static, "l_orderkey"),
-        keep=tuple(validate.SOURCE),
+        keep=tuple(SOURCE),
     )
     text = F.to_json(F.struct(*RAW_ORDERS.names))
     broken = F.coalesce(F.col("prod_id").endswith("99"), F.lit(False))
     data = F.base64(F.when(broken, F.concat(text, F.lit(" x"))).otherwise(text))
-    return raw.select(data.alias("data"), *validate.SOURCE)
+    return raw.select(data.alias("data"), *SOURCE)
 
 
 def _validated(spark, sf_dir, where="true"):
@@ -167,14 +181,47 @@ def stream_counts(spark, sf_dir):
 
 
 def unified_orders(spark, sf_dir):
-    """Early lines from batch files and late ones from the stream, cleaned together."""
+    """Early lines from batch files; late ones as a stream, added twice to the fact that the batch run has written."""
     root = work_folder(spark, "unified_orders")
     late = f"o_orderdate >= '{FIRST_LATE_DAY}'"
+    raw = bridge.BridgedRaw(spark, sf_dir)
     pipeline.write_csv(bridge.raw_orders(spark, sf_dir, f"not ({late})"), f"{root}/csv")
     batch = files.scan_csv(spark, f"{root}/csv", RAW_ORDERS)
+    pipeline.bronze_to_silver(spark, Raw(batch, raw.customers, raw.products, raw.categories, raw.rates), f"{root}/silver")
     good, _, _ = _validated(spark, sf_dir, late)
-    stream = spark.read.schema(STREAM_ORDERS).json(good)
-    return orders.dedup_orders(orders.clean_orders(pipeline.unified_orders(batch, stream)))
+    for attempt in ("first", "replay"):
+        landed = files.stream_table(spark, good, STREAM_ORDERS, format="json")
+        pipeline.stream_to_silver(landed, f"{root}/silver", f"{root}/{attempt}").awaitTermination()
+    return files.scan_table(spark, f"{root}/silver/fact_orders").select("order_id", "cust_id", "prod_id", "order_ts", "order_day", "quantity", "status")
+
+
+def _landed_files(spark, sf_dir):
+    """The five raw inputs as landed files with faulty ones among them, read by their manifest."""
+    bucket = work_folder(spark, "landed_files")
+    root, raw = f"{bucket}/bronze/raw", bridge.BridgedRaw(spark, sf_dir)
+    pipeline.write_bronze(raw, root)
+    # Every second line would be a good one, of an order nobody placed.
+    line = F.concat_ws(",", F.concat("order_id", F.lit("77")), "cust_id", "order_date", "prod_id", "quantity", "status")
+    raw.orders.select(F.concat(F.lit("no header\n"), line).alias("value")).write.text(f"{root}/orders/headless")
+    pipeline.write_csv(raw.products.filter("prod_id % 17 = 0").withColumn("price", F.col("price") + 1), f"{root}/product/again")
+    short = raw.products.filter("prod_id % 23 = 0").select(F.concat("prod_id", F.lit("x")).alias("prod_id"), "cat_id")
+    pipeline.write_csv(short, f"{root}/product/short")
+    pipeline.write_csv(raw.categories.filter("cat_id % 5 = 0"), f"{root}/prod_cat_tree/again")
+    pipeline.write_rates(raw.rates.filter("currency = 'EUR'").withColumn("conversion", F.lit(0.25)), f"{root}/currency_conversion/again")
+    pipeline.write_rates(raw.rates.filter("currency = 'USD'").withColumn("fx_date", F.lit(None).cast("date")), f"{root}/currency_conversion/dayless")
+    manifest = landing.landing_manifest(landing.with_heads(landing.list_landed(spark, bucket)))
+    return pipeline.read_bronze(spark, root, kept(manifest, "manifest"), bucket)
+
+
+def bronze_by_manifest(spark, sf_dir):
+    """Lines of the accepted files; a headless file leaves none."""
+    return orders.dedup_orders(orders.clean_orders(_landed_files(spark, sf_dir).orders))
+
+
+def input_rejects(spark, sf_dir):
+    """What the landed files hold beside the rows that tables take, by dataset and reason."""
+    found = rejects.input_rejects(_landed_files(spark, sf_dir))
+    return found.groupBy("dataset", "reason").agg(F.sum("copies").alias("copies"))
 
 
 def stream_incremental_load(spark, sf_dir):
@@ -190,20 +237,58 @@ def stream_incremental_load(spark, sf_dir):
     return mart.select(*MART_FACT.names).withColumns({c: F.col(c).cast("double") for c in money})
 
 
+def _upserted(spark, name, deliveries, start, schema):
+    """The table after deliveries streamed in one after the other, and all of them once more under a new checkpoint."""
+    root = work_folder(spark, name)
+    for number, delivery in enumerate(deliveries):
+        delivery.write.mode("append").parquet(f"{root}/landed")
+        attempts = ["first"] if number < len(deliveries) - 1 else ["first", "replay"]
+        for attempt in attempts:
+            source = files.stream_table(spark, f"{root}/landed", delivery.schema, origin=("sent_at",))
+            start(source, f"{root}/table", f"{root}/{attempt}").awaitTermination()
+    return upsert.read_buckets(spark, f"{root}/table", schema)
+
+
 def stream_merge(spark, sf_dir):
     """Early versions streamed into the dimension, then later ones and corrections, then all of them again."""
-    root = work_folder(spark, "customer_merge")
-    landed = f"{root}/landed"
-    for delivery in _version_deliveries(star(spark, sf_dir).customers):
-        delivery.write.mode("append").parquet(landed)
-        _merge_landed(spark, root, "first")
-    _merge_landed(spark, root, "replay")
-    return spark.read.parquet(newest_version(spark, f"{root}/dim"))
+    deliveries = _version_deliveries(star(spark, sf_dir).customers)
+    return _upserted(spark, "customer_merge", deliveries, upsert.stream_customer_merge, DIM_CUSTOMER)
+
+
+def _type_1(spark, name, old, new):
+    start = lambda source, table, checkpoint: upsert.stream_upsert(source, name, table, checkpoint)
+    return _upserted(spark, name, [old, new], start, upsert.TYPE_1[name][0]).drop("sent_at")
 
 
-def _merge_landed(spark, root, checkpoint):
-    source = files.stream_table(spark, f"{root}/landed", DIM_CUSTOMER, origin=("sent_at",))
-    stream_customer_merge(source, f"{root}/dim", f"{root}/{checkpoint}").awaitTermination()
+def stream_product_upsert(spark, sf_dir):
+    """Products of the mart: all at another price, then as they are."""
+    new = star(spark, sf_dir).products
+    old = new.withColumns({"price": F.col("price") + 1, "prod_name": F.lit("former")})
+    return _type_1(spark, "dim_product", old, new).withColumn("price", F.col("price").cast("double"))
+
+
+def stream_category_upsert(spark, sf_dir):
+    """Categories of the mart: all under another root, then as they are."""
+    new = star(spark, sf_dir).categories
+    return _type_1(spark, "dim_category", new.withColumn("root_category", F.lit("former")), new)
+
+
+def stream_date_upsert(spark, sf_dir):
+    """The mart's calendar: the first half of the days with a wrong weekday, then all days."""
+    new = kept(star(spark, sf_dir).dim_date, "dim_date")
+    old = new.filter("day <= 15").withColumn("is_weekend", ~F.col("is_weekend"))
+    return _type_1(spark, "dim_date", old, new)
+
+
+def stream_quarantine_load(spark, sf_dir):
+    """Rejected lines streamed into the mart, delivered a second time under a new checkpoint."""
+    root = work_folder(spark, "quarantine_load")
+    landed = star(spark, sf_dir).quarantine
+    landed.write.parquet(f"{root}/landed")
+    for attempt in ("first", "replay"):
+        source = files.stream_table(spark, f"{root}/landed", landed.schema, origin=tuple(SOURCE))
+        stream_rejects_load(source, f"{root}/mart", f"{root}/deliveries", f"{root}/{attempt}").awaitTermination()
+    return spark.read.parquet(f"{root}/mart").select(*MART_QUARANTINE.names)
 
 
 def stream_dedup(spark, sf_dir):
@@ -229,23 +314,24 @@ def stream_dedup(spark, sf_dir):
 
 
 def stage_counts(spark, sf_dir):
-    """Counts over lines flagged and written once, as in the file-to-gold run."""
+    """Counts over lines and fact written once each, as in the file-to-gold run."""
     path = f"{work_folder(spark, 'stage_counts')}/orders_checked"
     raw = bridge.BridgedRaw(spark, sf_dir)
     orders.write_checked(raw.orders, path)
-    s = Star(raw, spark.read.schema(CHECKED_ORDERS).parquet(path))
+    flagged = spark.read.schema(CHECKED_ORDERS).parquet(path)
+    s = Star(raw, flagged, kept(Star(raw, flagged).lines, "lines")).built("product_size", "customers", "rates")
     return quality.stage_counts(
         {
             "orders_raw": s.flagged,
             "orders_quarantine": s.quarantine,
             "orders_deduped": s.lines,
-            "fact_orders": s.fact,
-            "dim_customer": s.dim_customer,
+            "fact_orders": kept(s.fact, "fact_orders"),
+            "dim_customer": s.customers,
             "customer_quarantine": quarantine_customers(s.raw.customers),
-            "dim_category": s.dim_category,
-            "dim_product": s.dim_product,
-            "unknown_customers": quality.unknown_keys(s.lines, s.dim_customer, "cust_id"),
-            "unknown_products": quality.unknown_keys(s.lines, s.dim_product, "prod_id"),
+            "dim_category": s.categories,
+            "dim_product": s.products,
+            "unknown_customers": quality.unknown_keys(s.lines, s.customers, "cust_id"),
+            "unknown_products": quality.unknown_keys(s.lines, s.products, "prod_id"),
         }
     )
 
@@ -258,36 +344,50 @@ def salted_join(spark, sf_dir):
     return joins.salted_join(s.lines, prices, ["prod_id"], hot=hot)
 
 
+# Of each metric what names a row of it, and its figures.
+METRICS = {
+    "dau_by_region": (["order_day", "region"], ["daily_active_users"]),
+    "category_conversion": ([], ["revenue_usd", "realized_orders", "total_orders", "conversion_rate", "quantity_sold"]),
+    "top_products_by_region": (["region", "prod_name"], ["revenue_usd", "rnk"]),
+    "customer_lifetime_value": (["cust_id"], ["currently_active", "lifetime_value_usd", "realized_orders"]),
+    "duplicate_orders": (["order_id"], ["dup_count"]),
+    "dq_reason_counts": (["dq_reason"], ["faulty_count"]),
+}
+
+
 def metrics_from_gold(spark, sf_dir):
-    """Customer value as the metrics job finds it in the written serving tables."""
+    """All six metrics as the metrics job finds them in the published serving tables, a row per figure."""
     root = work_folder(spark, "metrics_from_gold")
     pipeline.bronze_to_silver(spark, bridge.BridgedRaw(spark, sf_dir), f"{root}/silver")
     pipeline.silver_to_gold(spark, f"{root}/silver", f"{root}/gold")
     pipeline.gold_metrics(spark, f"{root}/gold", f"{root}/metrics", BRIDGE_CATEGORY)
-    return files.scan_table(spark, f"{root}/metrics/customer_lifetime_value")
+
+    def figures(name):
+        keys, numbers = METRICS[name]
+        pairs = [F.struct(F.lit(n).alias("figure"), F.col(n).cast("double").alias("value")) for n in numbers]
+        item = F.concat_ws("|", *[F.col(k).cast("string") for k in keys]) if keys else F.lit("")
+        return files.scan_table(spark, f"{root}/metrics/{name}").select(F.lit(name).alias("metric"), item.alias("item"), F.inline(F.array(*pairs)))
+
+    return reduce(DataFrame.unionByName, map(figures, METRICS))
 
 
 def top_products_by_region(spark, sf_dir):
-    s = star(spark, sf_dir)
-    return metrics.top_products_by_region(
-        s.fact,
-        s.products,
-        s.customers,
-        product_size=s.product_size,
-        customer_size=s.customer_size,
-        hot_customers=s.hot_customers,
-    )
+    s = star(spark, sf_dir).built("product_size", "customer_size", "rates")
+    return metrics.top_products_by_region(s.fact, s.products, s.customers, product_size=s.product_size)
 
 
 def all_queries() -> dict[str, Query]:
-    def on_star(build: Callable[[Star], DataFrame]) -> Query:
-        return lambda spark, sf_dir: build(star(spark, sf_dir))
+    def on_star(build: Callable[[Star], DataFrame], *lookups: str) -> Query:
+        return lambda spark, sf_dir: build(star(spark, sf_dir).built(*lookups) if lookups else star(spark, sf_dir))
+
+    all_lookups = ("product_size", "customer_size", "rates")
+    product_lookups = ("product_size", "rates")
 
     return {
-        "dau_by_region": on_star(lambda s: metrics.dau_by_region(s.lines, s.customers, s.customer_size)),
+        "dau_by_region": on_star(lambda s: metrics.dau_by_region(s.lines, s.customers)),
         "category_conversion": on_star(lambda s: metrics.category_conversion(s.fact, BRIDGE_CATEGORY)),
         "top_products_by_region": top_products_by_region,
-        "customer_lifetime_value": on_star(lambda s: metrics.customer_lifetime_value(s.fact, s.customers, s.customer_size)),
+        "customer_lifetime_value": on_star(lambda s: metrics.customer_lifetime_value(s.fact, s.customers, s.customer_size), *all_lookups),
         "metrics_from_gold": metrics_from_gold,
         "duplicate_orders": on_star(lambda s: orders.duplicate_orders(s.clean)),
         "dq_reason_counts": on_star(lambda s: orders.dq_reason_counts(s.quarantine)),
@@ -299,9 +399,9 @@ def all_queries() -> dict[str, Query]:
         "category_rollup": on_star(lambda s: s.dim_category),
         "dim_product": on_star(lambda s: s.dim_product),
         "dim_date": on_star(lambda s: s.dim_date),
-        "fx_exact": on_star(lambda s: fx.fx_exact(s.priced, s.rates, joins.measured_bytes(s.rates))),
-        "fx_asof": on_star(lambda s: fx.fx_asof(s.priced, s.rates)),
-        "fx_forward_fill": on_star(lambda s: fx.fx_forward_fill(s.priced, s.rates)),
+        "fx_exact": on_star(lambda s: fx.fx_exact(s.priced, s.rates, joins.measured_bytes(s.rates)), *product_lookups),
+        "fx_asof": on_star(lambda s: fx.fx_asof(s.priced, s.rates), *product_lookups),
+        "fx_forward_fill": on_star(lambda s: fx.fx_forward_fill(s.priced, s.rates), *product_lookups),
         "fact_orders": on_star(lambda s: s.fact),
         "salted_join": salted_join,
         "idempotent_append": idempotent_append,
@@ -321,6 +421,12 @@ def all_queries() -> dict[str, Query]:
         "stream_counts": stream_counts,
         "unified_orders": unified_orders,
         "stream_incremental_load": stream_incremental_load,
+        "bronze_by_manifest": bronze_by_manifest,
+        "input_rejects": input_rejects,
         "stream_customer_merge": stream_merge,
+        "stream_product_upsert": stream_product_upsert,
+        "stream_category_upsert": stream_category_upsert,
+        "stream_date_upsert": stream_date_upsert,
+        "stream_quarantine_load": stream_quarantine_load,
         "stream_dedup": stream_dedup,
     }

@@ -1,11 +1,11 @@
 """The star schema as lazy frames: raw inputs in, dimensions and fact out."""
 
+from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass
 from functools import cached_property
 
 from pyspark.sql import DataFrame, functions as F
 
-from orderloom.functions import rules
 from orderloom.operators import dims, fact, fx, joins, orders
 from orderloom.operators.load import write_table
 from orderloom.sources.storage import work_folder
@@ -30,10 +30,11 @@ class Star:
     are joined to (`categories`, `customers`, `products`, `rates`) are written on first use.
     """
 
-    def __init__(self, raw: Raw, flagged: DataFrame | None = None):
-        """`flagged` is the written form of the flagged lines, where there is one."""
+    def __init__(self, raw: Raw, flagged: DataFrame | None = None, lines: DataFrame | None = None):
+        """`flagged` and `lines` are the written forms of the flagged and the deduplicated lines, where there are such."""
         self.raw = raw
         self.written = flagged
+        self.written_lines = lines
 
     @cached_property
     def flagged(self) -> DataFrame:
@@ -49,7 +50,7 @@ class Star:
 
     @cached_property
     def lines(self) -> DataFrame:
-        return orders.dedup_orders(self.clean)
+        return orders.dedup_orders(self.clean) if self.written_lines is None else self.written_lines
 
     @cached_property
     def dim_customer(self) -> DataFrame:
@@ -92,19 +93,25 @@ class Star:
     def product_size(self) -> int:
         return joins.measured_bytes(self.products)
 
+    def built(self, *names: str) -> "Star":
+        """Lookups written and measured at the same time: each is a chain of small jobs that leaves most cores idle.
+
+        Name no two that need the same lookup.
+        """
+        with ThreadPoolExecutor(len(names)) as pool:
+            list(pool.map(lambda name: getattr(self, name), names))
+        return self
+
     def hot_products(self) -> DataFrame:
         return joins.hot_keys(self.raw.orders.select(F.col("prod_id").try_cast("int").alias("prod_id")), "prod_id")
 
-    def hot_customers(self) -> DataFrame:
-        ids = self.raw.orders.select(rules.strip("cust_id").alias("cust_id"))
-        return joins.hot_keys(ids, "cust_id")
-
     @cached_property
     def priced(self) -> DataFrame:
         return fact.priced_orders(self.lines, self.products, size=self.product_size, hot=self.hot_products)
 
     @cached_property
     def fact(self) -> DataFrame:
+        self.built("product_size", "rates")
         return fact.fact_orders(self.priced, self.rates)
 
     @cached_property

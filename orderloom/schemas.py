@@ -86,6 +86,14 @@ MART_PRODUCT = _struct(
     "category_name string, root_category string"
 )
 
+MART_QUARANTINE = _struct(
+    "order_id string, cust_id string, prod_id int, status string, dq_reason string, "
+    "quantity string, order_date string, prod_id_text string"
+)
+
+# Rows of raw inputs that no table takes, or takes with nulls: where they came from and why.
+INPUT_REJECTS = _struct("dataset string, source string, reason string, record string, copies bigint")
+
 # Natural grain of an order line, used by dedup, the append and the duplicate report.
 LINE_KEY = ["order_id", "prod_id", "order_ts", "quantity", "status"]
 VERSION_KEY = ["cust_id", "valid_from"]

@@ -5,6 +5,7 @@ files nor their size passes through the driver.
 """
 
 import codecs
+import itertools
 import re
 import sys
 from collections.abc import Iterator
@@ -14,7 +15,9 @@ from pyarrow import fs
 from pyspark import cloudpickle
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
+from orderloom.operators.joins import lookup_join, measured_bytes
 from orderloom.schemas import DATASETS
+from orderloom.sources import storage
 
 # Bytes read at a time from the head of a file, and rows per frame of a listing.
 CHUNK = 4096
@@ -23,6 +26,9 @@ LISTED = 10_000
 # Fixed value: what ends a line.
 LINE_END = r"\r\n|[\n\r\x0b\x0c\x1c-\x1e\x85\u2028\u2029]"
 
+# What a URI has before the path or authority.
+SCHEME = r"^([A-Za-z][A-Za-z0-9+.-]*:)?/*"
+
 # Ship the task functions themselves, so executors need no copy of this package.
 cloudpickle.register_pickle_by_value(sys.modules[__name__])
 
@@ -36,24 +42,32 @@ def _open(uri: str):
     return fs.FileSystem.from_uri(uri)
 
 
-def _children(uri: str, recursive: bool) -> list[tuple[str, int, bool]]:
+def _entries(uri: str) -> Iterator[tuple[str, int, bool]]:
+    """Entries directly below a folder."""
     system, path = _open(uri)
-    base = uri.rstrip("/")
-    found = system.get_file_info(fs.FileSelector(path, recursive=recursive))
-    rows = []
-    for info in found:
-        below = info.path[len(path.rstrip("/")) + 1 :]
-        rows.append((f"{base}/{below}", info.size or 0, info.type == fs.FileType.Directory))
-    return rows
+    base, cut = uri.rstrip("/"), len(path.rstrip("/")) + 1
+    for info in system.get_file_info(fs.FileSelector(path)):
+        yield f"{base}/{info.path[cut:]}", info.size or 0, info.type == fs.FileType.Directory
+
 
+def _below(uri: str) -> Iterator[tuple[str, int, bool]]:
+    """All files below a folder; no more than one folder's entries and the names of folders to come are held."""
+    waiting = [uri]
+    while waiting:
+        for path, size, is_dir in _entries(waiting.pop()):
+            if is_dir:
+                waiting.append(path)
+            else:
+                yield path, size, False
 
-def _list_step(recursive: bool):
+
+def _list_step(to_the_end: bool):
     def step(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
             for path, size, is_dir in batch.itertuples(index=False):
-                rows = _children(path, recursive) if is_dir else [(path, size, False)]
-                for at in range(0, len(rows), LISTED):
-                    yield pd.DataFrame(rows[at : at + LISTED], columns=["path", "size", "is_dir"])
+                rows = [(path, size, False)] if not is_dir else _below(path) if to_the_end else _entries(path)
+                for some in itertools.batched(rows, LISTED):
+                    yield pd.DataFrame(some, columns=["path", "size", "is_dir"])
 
     return step
 
@@ -62,13 +76,13 @@ def list_landed(spark: SparkSession, root: str) -> DataFrame:
     """Files below `root` as (path, key, size), key being the path after `root`.
 
     `root` is the bucket level: keys read bronze/raw/<dataset>/<partition>/file.
-    One folder level at a time is fanned out, the last one recursively. Hidden
-    names are listed too, so that the manifest can tell of them.
+    One folder level at a time is fanned out; a task then walks each folder of
+    the last one. Hidden names are listed too, so that the manifest can tell of them.
     """
     root = root.rstrip("/")
     level = spark.createDataFrame([(root, 0, True)], _ENTRY)
     for depth in range(5):
-        level = level.mapInPandas(_list_step(recursive=depth == 4), _ENTRY)
+        level = level.mapInPandas(_list_step(to_the_end=depth == 4), _ENTRY)
         if depth in (2, 3):
             # A number keeps adaptive execution from merging the folders into one task.
             level = level.repartition(int(spark.conf.get("spark.sql.shuffle.partitions")), "path")
@@ -137,6 +151,22 @@ def landing_manifest(files: DataFrame, datasets: list[str] = DATASETS) -> DataFr
     )
 
 
+def accepted_rows(rows: DataFrame, manifest: DataFrame, root: str) -> DataFrame:
+    """Rows of files that `manifest` does not reject; `source` is the URI of their file, `root` the folder its keys begin at.
+
+    The manifest's rejected keys are looked up by file, so a list of files never
+    passes through the driver. All rows of a file share its key, hence the checked
+    broadcast, and salt beyond it.
+    """
+    rejected = manifest.filter(F.col("status") == "rejected").select(F.col("key").alias("_key"), F.lit(True).alias("_rejected")).distinct()
+    # A URI has blanks and the like encoded, a key does not; a plus sign stands for itself in both.
+    path = F.try_url_decode(F.replace("source", F.lit("+"), F.lit("%2B")))
+    above = re.sub(SCHEME, "", storage.qualified(rows.sparkSession, root)).rstrip("/")
+    key = F.substr(F.regexp_replace(path, SCHEME, ""), F.lit(len(above) + 2))
+    joined = lookup_join(rows.withColumn("_key", key), rejected, ["_key"], size=measured_bytes(rejected))
+    return joined.filter(F.col("_rejected").isNull()).drop("_key", "_rejected")
+
+
 def landing_summary(manifest: DataFrame) -> DataFrame:
     """Accepted and rejected files and bytes per dataset."""
     return manifest.groupBy(

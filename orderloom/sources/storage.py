@@ -3,7 +3,7 @@
 import tempfile
 import uuid
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 
 def _path(spark: SparkSession, path: str):
@@ -14,6 +14,11 @@ def _filesystem(spark: SparkSession, path: str):
     return _path(spark, path).getFileSystem(spark._jsc.hadoopConfiguration())
 
 
+def qualified(spark: SparkSession, path: str) -> str:
+    """`path` with the scheme and authority of its filesystem."""
+    return _filesystem(spark, path).makeQualified(_path(spark, path)).toString()
+
+
 def exists(spark: SparkSession, path: str) -> bool:
     return _filesystem(spark, path).exists(_path(spark, path))
 
@@ -31,6 +36,10 @@ def make_directory(spark: SparkSession, path: str) -> None:
     _filesystem(spark, path).mkdirs(_path(spark, path))
 
 
+def delete(spark: SparkSession, path: str) -> None:
+    _filesystem(spark, path).delete(_path(spark, path), True)
+
+
 def shared_root(spark: SparkSession) -> str:
     """The shared folder the cluster names in `spark.checkpoint.dir`.
 
@@ -48,3 +57,29 @@ def shared_root(spark: SparkSession) -> str:
 def work_folder(spark: SparkSession, name: str) -> str:
     """A new folder of its own for one run, below the shared folder."""
     return f"{shared_root(spark)}/orderloom/{name}-{uuid.uuid4().hex}"
+
+
+def kept(df: DataFrame, name: str) -> DataFrame:
+    """`df` written below the shared folder and read back, so that its lineage ends at files every executor sees."""
+    path = work_folder(df.sparkSession, name)
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
+# The file of a published table that names the folder it is kept in.
+POINTER = "LOCATION"
+
+
+def publish(spark: SparkSession, at: str, folder: str) -> None:
+    """Make the table kept in `folder` readable at `at`; nothing is copied."""
+    make_directory(spark, at)
+    stream = _filesystem(spark, at).create(_path(spark, f"{at}/{POINTER}"), True)
+    stream.write(bytearray(qualified(spark, folder).encode()))
+    stream.close()
+
+
+def published(spark: SparkSession, at: str) -> str:
+    """The folder behind a published table, `at` itself if it is kept there."""
+    if not exists(spark, f"{at}/{POINTER}"):
+        return at
+    return spark.read.text(f"{at}/{POINTER}").first()[0]

@@ -1,12 +1,11 @@
-"""Incremental loads: new fact files into the mart, new customer versions into the dimension."""
+"""Incremental appends: new fact files and new rejects into the mart."""
 
-from pyspark.sql import DataFrame, types as T
+from pyspark.sql import DataFrame, functions as F
 from pyspark.sql.streaming import StreamingQuery
 
-from orderloom.operators.load import conform, scd2_merge, write_table
-from orderloom.schemas import DIM_CUSTOMER, LINE_KEY, MART_FACT
-from orderloom.sources import storage
-from orderloom.streaming.sink import land_once, stream_id
+from orderloom.operators.load import conform
+from orderloom.schemas import LINE_KEY, MART_FACT, MART_QUARANTINE
+from orderloom.streaming.sink import SOURCE, land_once, not_delivered, stream_id, write_load
 
 
 def stream_incremental_load(
@@ -39,44 +38,24 @@ def stream_incremental_load(
     )
 
 
-def newest_version(spark, table: str) -> str | None:
-    """Folder of the latest complete snapshot of a dimension, or None before the first."""
-    storage.make_directory(spark, table)
-    folder = spark._jvm.org.apache.hadoop.fs.Path(table)
-    done = [
-        s.getPath().toString()
-        for s in folder.getFileSystem(spark._jsc.hadoopConfiguration()).listStatus(folder)
-        if storage.exists(spark, f"{s.getPath().toString()}/_SUCCESS")
-    ]
-    return max(done, default=None)
+def stream_rejects_load(landed: DataFrame, target: str, deliveries: str, checkpoint: str, trigger: dict | None = None) -> StreamingQuery:
+    """Start appending landed reject rows (with `source` and `source_day`) to the mart's quarantine, each file once.
 
-
-def stream_customer_merge(
-    landed: DataFrame, table: str, checkpoint: str, trigger: dict | None = None
-) -> StreamingQuery:
-    """Start merging landed customer versions into a dimension kept as snapshots.
-
-    Parquet cannot be changed in place, so each batch writes the merged
-    dimension to a new numbered folder and readers take the newest complete
-    one. A batch that runs twice merges the same rows twice, which changes nothing.
-    Where `landed` has `sent_at`, the row sent last wins among several of one version.
+    Rejects have no key and equal ones count, so the file is what tells a second delivery.
     """
 
-    def merge(batch: DataFrame, batch_id: int) -> None:
-        spark = batch.sparkSession
-        newest = "sent_at" if "sent_at" in batch.columns else None
-        delta = conform(batch, T.StructType([*DIM_CUSTOMER.fields, *[batch.schema[c] for c in [newest] if c]]))
-        current = newest_version(spark, table)
-        number = int(current.rsplit("=", 1)[1]) + 1 if current else 1
-        target = (
-            spark.read.schema(DIM_CUSTOMER).parquet(current)
-            if current
-            else spark.createDataFrame([], DIM_CUSTOMER)
-        )
-        write_table(scd2_merge(target, delta, newest), f"{table}/snapshot={number:012d}")
+    def append(batch: DataFrame, batch_id: int) -> None:
+        load = f"{stream_id(batch.sparkSession, checkpoint)}-{batch_id}"
+        rows = not_delivered(batch, deliveries, load).persist()
+        try:
+            write_load(conform(rows, MART_QUARANTINE), target, load, "dq_reason")
+            counts = rows.groupBy(*SOURCE).agg(F.lit(0).cast("bigint").alias("good"), F.count(F.lit(1)).alias("bad"))
+            write_load(counts, deliveries, load, "source_day")
+        finally:
+            rows.unpersist()
 
     return (
-        landed.writeStream.foreachBatch(merge)
+        landed.writeStream.foreachBatch(append)
         .option("checkpointLocation", checkpoint)
         .trigger(**(trigger or {"availableNow": True}))
         .start()

@@ -9,6 +9,9 @@ from orderloom.operators.load import LOAD, not_in, write_table
 from orderloom.schemas import DELIVERY
 from orderloom.sources import storage
 
+# What tells the deliveries of events apart.
+SOURCE = ["source", "source_day"]
+
 # Fixed value: the folder name Spark gives to a null.
 NO_VALUE = "__HIVE_DEFAULT_PARTITION__"
 
@@ -43,17 +46,49 @@ def other_loads(rows: DataFrame, load: str) -> DataFrame:
     return rows.filter(~F.col(LOAD).eqNullSafe(load))
 
 
+def key_hashes(rows: DataFrame, keys: list[str], day: str, *also: str) -> DataFrame:
+    """Month and 64-bit hash of every natural key, and columns `also`."""
+    return rows.select(*also, F.date_format(day, "yyyy-MM").alias("month"), F.xxhash64(*keys).alias("key_hash"))
+
+
+def write_keys(rows: DataFrame, path: str, load: str, keys: list[str], day: str, replace: bool = False) -> None:
+    """Key hashes of one load beside the table at `path`, by month; `replace` drops those of other loads."""
+    hashes = key_hashes(rows, keys, day).withColumn(LOAD, F.lit(load))
+    write_table(hashes, f"{path}_keys", ["month", LOAD], only_touched=not replace)
+
+
+def _known_days(batch: DataFrame, path: str, load: str, keys: list[str], day: str) -> list:
+    """Days of the batch on which another load may hold one of its keys.
+
+    All days where the table has no key hashes. Equal hashes only ask for a
+    closer look at the day; the list is bounded by the calendar.
+    """
+    spark = batch.sparkSession
+    if not storage.exists(spark, f"{path}_keys"):
+        return [r[0] for r in batch.select(day).distinct().collect()]
+    own = key_hashes(batch, keys, day, day)
+    months = [r[0] for r in own.select("month").distinct().collect()]
+    schema = T.StructType([T.StructField("month", T.StringType()), T.StructField("key_hash", T.LongType())])
+    held = other_loads(read_folders(spark, f"{path}_keys", schema, "month", months), load).select("key_hash").distinct()
+    return [r[0] for r in own.join(held, "key_hash", "left_semi").select(day).distinct().collect()]
+
+
 def land_once(batch: DataFrame, path: str, load: str, keys: list[str], partition_by: str) -> None:
     """Write one row per key of a batch, without the keys that another load holds.
 
     A retried batch overwrites its own folders; a replay under a new checkpoint
     has another load id and is caught by the anti join, as are keys that a
-    compaction has moved. The join reads the partition values of the batch
-    alone; their list is bounded by the calendar.
+    compaction has moved. Hashes of the keys landed so far, kept by month
+    beside the table, tell which of the batch's days may hold one of its keys;
+    only those days are read for the join. The hashes of a load are written before
+    its rows, so rows without a hash do not exist.
     """
-    values = [r[0] for r in batch.select(partition_by).distinct().collect()]
-    target = read_folders(batch.sparkSession, path, batch.schema, partition_by, values)
-    fresh = not_in(one_per_key(batch, keys), other_loads(target, load), keys)
+    known = _known_days(batch, path, load, keys, partition_by)
+    fresh = one_per_key(batch, keys)
+    if known:
+        target = read_folders(batch.sparkSession, path, batch.schema, partition_by, known)
+        fresh = not_in(fresh, other_loads(target, load), keys)
+    write_keys(batch, path, load, keys, partition_by)
     write_load(fresh, path, load, partition_by)
 
 

@@ -6,12 +6,7 @@ from pyspark.sql.streaming import StreamingQuery
 from orderloom.functions import rules
 from orderloom.operators.orders import flagged_orders
 from orderloom.schemas import EVENT, STREAM_ORDERS
-from orderloom.streaming.sink import LOAD, not_delivered, stream_id, write_load
-
-
-
-# What tells the deliveries of events apart.
-SOURCE = ["source", "source_day"]
+from orderloom.streaming.sink import LOAD, SOURCE, not_delivered, stream_id, write_load
 
 
 def decode_events(events: DataFrame, keep: list[str] | None = None) -> DataFrame:
@@ -51,12 +46,6 @@ def good_columns() -> dict[str, Column]:
     }
 
 
-def good_events(flagged: DataFrame) -> DataFrame:
-    """Accepted events in the raw order layout."""
-    fields = [column.alias(name) for name, column in good_columns().items()]
-    return flagged.filter(F.col("dq_reason").isNull()).select(*fields)
-
-
 def routed_events(flagged: DataFrame) -> DataFrame:
     """What both sinks need of a batch and no more: good fields, or the event as it arrived.
 

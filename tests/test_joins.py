@@ -84,3 +84,17 @@ def test_registered_join_broadcasts_few_hot_keys(spark, monkeypatch):
     monkeypatch.setattr(joins, "hot_keys", lambda df, *keys, rows=joins.HOT_ROWS: asked.append(rows) or plain(df, *keys, rows=rows))
     queries.salted_join(spark, "/root/testdata/sf0.001")
     assert asked == [joins.HOT_ROWS]
+
+
+def test_versions_are_met_once_per_customer_and_day(spark):
+    """2,000 versions of one customer and 20,000 of its lines: no join pairs lines with versions."""
+    versions = spark.range(2000).selectExpr(
+        "'C' cust_id", "date_add(date'2010-01-01', cast(id as int)) valid_from",
+        "if(id = 1999, date'9999-12-31', date_add(date'2010-01-01', cast(id as int))) valid_to", "cast(id as string) region")
+    lines = spark.range(20_000).selectExpr("'C' cust_id", "date_add(date'2009-12-30', cast(id % 2500 as int)) order_day", "id line")
+    placed = joins.version_in_force(lines, versions, ["region"])
+    got = {r.line: r.region for r in placed.collect()}
+    assert got == {n: str(min(n % 2500 - 2, 1999)) for n in range(20_000) if n % 2500 >= 2}
+    # The only customer becomes a constant; the join is on the day alone, without a range.
+    joined = [line for line in placed._jdf.queryExecution().executedPlan().toString().splitlines() if "Join" in line]
+    assert joined and all("order_day" in line and "<=" not in line and "valid_to" not in line for line in joined)
