@@ -1,6 +1,6 @@
 """Small helpers that several operators of this package share."""
 
-from pyspark.sql import Column, DataFrame, SparkSession, functions as F
+from pyspark.sql import Column, DataFrame, SparkSession, Window, functions as F
 
 from orderloom.sources.storage import work_folder
 
@@ -23,13 +23,21 @@ def crc_fold(doc_id: Column, folds: int) -> Column:
 
 
 def hashed_sample(rows: DataFrame, label: str, per_label: int) -> list:
-    """At most about `per_label` rows of each label, picked by a hash of doc_id; the only rows that reach the driver."""
+    """About `per_label` rows of each label by a hash of doc_id, the only rows that reach the driver.
+
+    Equal rows count once, and a label gives 1.5 * per_label rows at most, so a
+    doc_id that repeats in many rows does not bring them all.
+    """
     counts = {r[label]: r["count"] for r in rows.groupBy(label).count().collect()}
     share = F.pmod(F.xxhash64(F.col("doc_id").cast("string")), F.lit(1 << 20)) / (1 << 20)
     keep = F.lit(False)
     for value, n in counts.items():
         keep = F.when(F.col(label) == value, share < 1.2 * per_label / n).otherwise(keep)
-    return rows.filter(keep).withColumn("_at", share).orderBy("_at", "doc_id", label).collect()
+    picked = rows.filter(keep).distinct().withColumn("_at", share)
+    # A limit of ranks is applied by every task before the shuffle.
+    place = F.row_number().over(Window.partitionBy(label).orderBy("_at", "doc_id", F.xxhash64(*rows.columns)))
+    bounded = picked.withColumn("_place", place).filter(F.col("_place") <= per_label * 3 // 2).drop("_place")
+    return bounded.orderBy("_at", "doc_id", label).collect()
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -52,10 +60,5 @@ def ascii_lower(text: Column) -> Column:
     return F.translate(text, ASCII_UPPER, ASCII_UPPER.lower())
 
 
-def wrapped(df: DataFrame, **columns: Column) -> DataFrame:
-    """All of `df` in the one column `_doc`, so that no added name can clash with its own."""
-    return df.select(F.struct(*[df[f"`{c}`"] for c in df.columns]).alias("_doc"), *[c.alias(n) for n, c in columns.items()])
-
-
 def unwrapped(df: DataFrame) -> DataFrame:
     return df.select("_doc.*")

@@ -9,17 +9,21 @@ too, are compared with the two pages before and the two after by URL path on
 the same host: lines of a longest common subsequence with two of them are
 template. A neighbour counts only if both pages have lines that the other one
 lacks. If just one counts, it decides alone about lines outside of article
-elements. Article elements are evidence for keeping their lines: a neighbour
-that holds more than half of the article, by characters, or is held by it as
-much, is a copy and does not count for them. Near copies without an article
-element, three or more in a row, still lose what they share.
+elements. A line inside an article needs proof that it is text of the site and
+no passage that pages share: it stands at the head or the tail of the article
+on both pages, at least half of the host's different pages, three or more,
+have it, and no page of another host has. A neighbour that holds more than
+half of the article, by characters, or is held by it as much, is a copy and does
+not count for it. Near copies without an article element, three or more in a
+row, still lose what they share.
 
 Pages of a host with the same lines are one page to the comparison, placed at
 the first of their paths. Neighbours come from a range partitioning by host,
 path and page, and within each range from a window, so a host with a third of
 all pages spreads over many tasks; pages at the ends of ranges meet through a
 table of range borders. Hashes of 64 bits stand for the lines that travel to
-neighbours; the texts travel once, to the list of lines their page loses.
+neighbours; the texts travel once, to the list of lines their page loses. Lines
+asked about are counted over all pages; they are broadcast only while few.
 
 Null html is empty text. Null urls share the empty host. A page without
 neighbours keeps all its lines. Every row gives one row.
@@ -27,6 +31,7 @@ neighbours keeps all its lines. Every row gives one row.
 
 import hashlib
 import html as entities
+import itertools
 import re
 from collections import Counter
 from collections.abc import Iterator
@@ -36,6 +41,7 @@ from pyspark.sql import DataFrame, Window, functions as F, types as T
 
 from orderloom.llm.common import written
 from orderloom.llm.urls import host_of, path_of
+from orderloom.operators.joins import lookup_join, measured_bytes
 
 # HTML elements by their role.
 _VOID = {"area", "base", "br", "col", "embed", "hr", "img", "input", "link", "meta", "param", "source", "track", "wbr"}
@@ -43,11 +49,13 @@ _BLOCK = {"address", "article", "aside", "blockquote", "body", "center", "dd", "
 _RAW = {"script", "style", "noscript", "template", "textarea", "title", "iframe", "xmp"}
 _NEVER = {"nav", "footer", "aside", "form", "menu", "button", "select", "option", "svg", "object", "canvas", "dialog", "head"} | _RAW
 _NEVER_ROLE = {"navigation", "banner", "contentinfo", "complementary", "search", "dialog", "alert", "menu", "form"}
-# Class names and ids, whole or joined to each other: "cookie-banner", but not "has-sidebar" or "two-side".
-_WORD = r"(?:ads?|adverts?|advertisements?|sponsored|promos?|promotions?|banners?|cookies?|consent|notices?|alerts?|popups?|modals?|newsletters?|subscribe|sidebars?|side|menus?|navs?|navbars?|navigation|breadcrumbs?|footers?|comments?|replies|disqus|share|sharing|social|related|recommended|widgets?|toolbars?|login|signup)"
-_NEVER_NAME = re.compile(rf"(?:^|\s){_WORD}(?:[_-]+{_WORD})*(?:$|\s)", re.I)
+# Words of class names and ids of elements that are no content, and of the boxes such words are put before.
+_NEVER_WORD = set("ad ads advert adverts advertisement advertisements sponsored promo promos promotion promotions banner banners cookie cookies consent notice notices alert alerts popup popups modal modals newsletter newsletters subscribe sidebar sidebars side menu menus nav navs navbar navbars navigation breadcrumb breadcrumbs footer footers comment comments reply replies disqus share sharing social related recommended widget widgets toolbar toolbars login signup".split())
+_BOX_WORD = set("area bar block body bottom box buttons container count form header holder icons inner item items left link links list outer panel right row section slot space thread top unit wrap wrapper".split())
+# "has-sidebar" or "no-comments" is the name of what is beside, or not there.
+_BESIDE_WORD = set("has with no non not without hide hidden show under in is two three multi above below before after".split())
 _TAG = re.compile(r"<!--.*?(?:-->|\Z)|<!\[CDATA\[.*?(?:\]\]>|\Z)|<[!?][^>]*(?:>|\Z)|<(/?)([A-Za-z][A-Za-z0-9:-]*)((?:[^>\"']|\"[^\"]*\"|'[^']*')*+)>|<(?=/?[A-Za-z!?])[^>]*+(?:>|\Z)", re.S)
-_ATTRIBUTE = re.compile(r"(?:^|\s)(class|id|role|hidden)(?:\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s\"'>]+)))?", re.I)
+_ATTRIBUTE = re.compile(r"([^\s\"'>/=]+)(?:\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s\"'>]+)))?|\"[^\"]*\"|'[^']*'")
 _END_RAW = {name: re.compile(rf"</{name}\s*>", re.I) for name in _RAW}
 
 ARTICLE, OUTSIDE = 1, 0
@@ -56,18 +64,34 @@ ARTICLE, OUTSIDE = 1, 0
 NO, DOUBTFUL, SURE = 0, 1, 2
 
 
-def _is_chrome(name: str, attributes: str, in_article: bool) -> int:
+def _attributes(text: str) -> dict[str, str]:
+    """Attributes of a tag by lower-cased name, the first of each; names inside values are none."""
+    found: dict[str, str] = {}
+    for name, *values in _ATTRIBUTE.findall(text):
+        if name:
+            found.setdefault(name.lower(), "".join(values))
+    return found
+
+
+def _names_chrome(names: str) -> bool:
+    """Whether a class or id says that an element is no content: all its words do, its last one, or the first before a box."""
+    for name in names.lower().split():
+        words = [w for w in re.split("[_-]+", name) if w]
+        if not words or len(words) > 1 and _BESIDE_WORD.intersection(words[:-1]):
+            continue
+        if words[-1] in _NEVER_WORD or words[0] in _NEVER_WORD and words[-1] in _BOX_WORD:
+            return True
+    return False
+
+
+def _is_chrome(name: str, attributes: dict[str, str], in_article: bool) -> int:
     """Whether an element is no content; what its name or role says is doubtful, as a wrapper may have it."""
-    if name in _NEVER or name == "header" and not in_article:
+    if name in _NEVER or name == "header" and not in_article or "hidden" in attributes:
         return SURE
-    found = NO
-    for key, *values in _ATTRIBUTE.findall(attributes):
-        key, value = key.lower(), "".join(values)
-        if key == "hidden":
-            return SURE
-        if key == "role" and value.lower() in _NEVER_ROLE or key in ("class", "id") and name not in ("body", "html") and _NEVER_NAME.search(value):
-            found = DOUBTFUL
-    return found
+    if attributes.get("role", "").lower() in _NEVER_ROLE:
+        return DOUBTFUL
+    named = name not in ("body", "html") and any(_names_chrome(attributes.get(key, "")) for key in ("class", "id"))
+    return DOUBTFUL if named else NO
 
 
 def _hidden_elements(sizes: dict[int, int], blocks: Counter, total: int, articles: list[tuple[int, ...]]) -> set[int]:
@@ -137,8 +161,9 @@ def lines_of(page: str | None) -> list[tuple[str, int]]:
             end = _END_RAW[name].search(page, at)
             at = end.end() if end else len(page)
         elif name not in _VOID and not attributes.rstrip().endswith("/"):
-            main = name in ("article", "main") or bool(re.search(r"role\s*=\s*[\"']?main\b", attributes, re.I))
-            chrome = _is_chrome(name, attributes, article > 0 or main)
+            named = _attributes(attributes)
+            main = name in ("article", "main") or named.get("role", "").lower() == "main"
+            chrome = _is_chrome(name, named, article > 0 or main)
             if main and not chrome and not hidden:
                 articles.append(around)
             # An inline element left open must not hide or hold what follows its block.
@@ -273,9 +298,24 @@ def _copied(sizes: list[int], shared: list[bool]) -> bool:
     return 2 * sum(n for n, x in zip(sizes, shared) if x and n > 0) > sum(n for n in sizes if n > 0)
 
 
-def template_lines(page: tuple[list, list[int]], others: list[tuple[list, list[int]]]) -> list[int]:
-    """Positions of the lines of `page` that its neighbours show to be template; each is (lines, sizes)."""
+def _article(sizes: list[int]) -> list[int]:
+    return [k for k, n in enumerate(sizes) if n > 0]
+
+
+def _at_ends(article: list[int], shared: list[bool]) -> set[int]:
+    """The shared lines at the head and the tail of an article, up to the first that is its own."""
+    ends = set(itertools.takewhile(lambda k: shared[k], article))
+    return ends | set(itertools.takewhile(lambda k: shared[k], reversed(article)))
+
+
+def template_lines(page: tuple[list, list[int]], others: list[tuple[list, list[int]]]) -> tuple[list[int], list[int]]:
+    """Positions of the lines of `page` that its neighbours show to be template; each is (lines, sizes).
+
+    First those outside of article elements, which go, then those of an article,
+    which go only if the whole host bears it out.
+    """
     lines, sizes = page
+    article = _article(sizes)
     votes, different = [0] * len(lines), 0
     for other, other_sizes in others:
         shared, back = common_lines(lines, other), common_lines(other, lines)
@@ -284,19 +324,45 @@ def template_lines(page: tuple[list, list[int]], others: list[tuple[list, list[i
             continue
         different += 1
         copied = _copied(sizes, shared) or _copied(other_sizes, back)
+        theirs = {other[k] for k in _at_ends(_article(other_sizes), back)}
+        ends = {k for k in _at_ends(article, shared) if lines[k] in theirs}
         for k, x in enumerate(shared):
-            votes[k] += x and not (copied and sizes[k] > 0)
+            votes[k] += x and (sizes[k] <= 0 or not copied and k in ends)
     # With a single other page there is no second one to ask.
-    return [k for k, n in enumerate(votes) if n >= (2 if sizes[k] > 0 else max(1, min(2, different)))]
+    outside = [k for k, n in enumerate(votes) if sizes[k] <= 0 and n >= max(1, min(2, different))]
+    return outside, [k for k, n in enumerate(votes) if sizes[k] > 0 and n >= 2]
+
 
+_LOST = T.StructType([T.StructField("outside", T.ArrayType(T.IntegerType())), T.StructField("inside", T.ArrayType(T.IntegerType()))])
 
-@F.pandas_udf(T.ArrayType(T.IntegerType()))
-def _lost(lines: pd.Series, sizes: pd.Series, neighbours: pd.Series) -> pd.Series:
-    """Positions of the lines that a page loses."""
+
+@F.pandas_udf(_LOST)
+def _lost(lines: pd.Series, sizes: pd.Series, neighbours: pd.Series) -> pd.DataFrame:
+    """Positions of the lines that a page loses, and of those of its article that it may lose."""
     out = []
     for own, n, others in zip(lines, sizes, neighbours):
         out.append(template_lines((own.tolist(), n.tolist()), [(o["lines"].tolist(), o["sizes"].tolist()) for o in others]))
-    return pd.Series(out, dtype=object)
+    return pd.DataFrame(out, columns=_LOST.names)
+
+
+# An article's line is site text if so many of the host's different pages have it, and no page of another host.
+SITE_PAGES, SITE_SHARE = 3, 0.5
+
+
+def site_lines(prints: DataFrame, asked: DataFrame) -> DataFrame:
+    """Of the lines `asked` about (row, host, at, line), those that are text of the site: (row, at).
+
+    Passages that pages share occur on other hosts too, or on few pages of one.
+    """
+    wanted = written(asked.groupBy("line").agg(F.lit(True).alias("asked")), "asked_lines")
+    every = prints.select("row", "host", F.explode(F.array_distinct("lines")).alias("line"))
+    # Broadcast as long as the lines asked about are few, else the lines of all pages shuffle.
+    held = lookup_join(every, wanted, ["line"], "inner", size=measured_bytes(wanted))
+    by_host = held.groupBy("line", "host").agg(F.count(F.lit(1)).alias("pages"))
+    alone = by_host.groupBy("line").agg(F.count(F.lit(1)).alias("hosts"), F.max("pages").alias("pages"))
+    sizes = prints.groupBy("host").agg(F.count(F.lit(1)).alias("all"))
+    proven = asked.join(alone.filter((F.col("hosts") == 1) & (F.col("pages") >= SITE_PAGES)), "line").join(sizes, "host")
+    return proven.filter(F.col("pages") >= SITE_SHARE * F.col("all")).select("row", "at")
 
 
 NEAR = 2
@@ -318,11 +384,16 @@ def neighbours(rows: DataFrame) -> DataFrame:
     pairs = lambda df, fits: df.select("row", F.explode(F.filter("sides", lambda s: (s["host"] == F.col("host")) & fits(s))).alias("_s")).select("row", F.col("_s.row").alias("other"))
     placed = ranged.select(*order, "range", sides(near).alias("sides"))
     inner = pairs(placed, lambda s: F.lit(True))
-    # 2 * NEAR rows per range: small enough for one task. What lies within NEAR of a page of another range is among them.
+    # 2 * NEAR rows per range. Ranges are numbered without gaps and met in blocks that overlap by half,
+    # so rows of ranges near to each other share a block, and no task gets the ends of all.
     ends = ranged.select(*order, "range", F.lag("range", NEAR).over(near).isNull().alias("first"), F.lead("range", NEAR).over(near).isNull().alias("last"))
-    ends = ends.filter("first or last")
-    met = ends.select(*order, "range", sides(Window.partitionBy(F.lit(0)).orderBy(*order)).alias("sides"))
-    return inner.unionByName(pairs(met, lambda s: s["range"] != F.col("range")))
+    ends = ends.filter("first or last").drop("first", "last")
+    filled = sorted(r[0] for r in ranged.select("range").distinct().collect())  # no more than ranges
+    numbers = F.broadcast(rows.sparkSession.createDataFrame(list(zip(filled, range(len(filled)))), "range int, number int"))
+    half = F.expr(f"array(2 * (number div {4 * NEAR}), 2 * ((number + {2 * NEAR}) div {4 * NEAR}) + 1)")
+    blocks = ends.join(numbers, "range").select(*order, "range", F.explode(half).alias("block"))
+    met = blocks.select(*order, "range", sides(Window.partitionBy("block").orderBy(*order)).alias("sides"))
+    return inner.unionByName(pairs(met, lambda s: s["range"] != F.col("range")).distinct())
 
 
 def main_text(pages: DataFrame) -> DataFrame:
@@ -336,8 +407,12 @@ def main_text(pages: DataFrame) -> DataFrame:
     given = prints.select(F.col("row").alias("other"), F.struct("lines", "sizes").alias("given"))
     # At most 2 * NEAR neighbours each.
     others = neighbours(prints.select("row", "host", "path")).join(given, "other").groupBy("row").agg(F.collect_list("given").alias("others"))
-    lost = prints.select("row", "lines", "sizes").join(others, "row").select("row", _lost("lines", "sizes", "others").alias("lost"))
-    lost = written(lost.filter(F.size("lost") > 0), "lost_lines", compression="zstd")
+    found = prints.join(others, "row").select("row", "host", "lines", F.explode(F.array(_lost("lines", "sizes", "others"))).alias("_l"))
+    found = found.select("row", "host", "_l.outside", "_l.inside", F.transform("_l.inside", lambda k: F.get("lines", k)).alias("asked"))
+    found = written(found.filter((F.size("outside") > 0) | (F.size("inside") > 0)), "lost_lines", compression="zstd")
+    asked = found.select("row", "host", F.explode(F.arrays_zip(F.col("inside").alias("at"), F.col("asked").alias("line"))).alias("_a")).select("row", "host", "_a.at", "_a.line")
+    outside = found.select("row", F.explode("outside").alias("at"))
+    lost = outside.unionByName(site_lines(prints, asked)).groupBy("row").agg(F.collect_list("at").alias("lost"))
     # Parsing again is cheaper than a written copy of all texts. The join is shuffled at any size; the lists are its small side.
     parsed = pages.select("page_id", "url", F.explode(F.array(_parse(F.col("html"), host))).alias("_p")).select("page_id", "url", "_p.*")
     parsed = parsed.join(lost.hint("shuffle_hash"), "row", "left")

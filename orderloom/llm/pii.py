@@ -30,6 +30,12 @@ CONTEXT = 40
 ACCEPT = 0.5
 TOLERANCE = 1e-9
 
+# Names of credentials in any case, and the forms of key blocks, signed tokens and issued tokens.
+_SECRET_NAME = r"(?i:password|passwd|pwd|secret|token|api[_-]?key)"
+_KEY_BLOCK = r"-----BEGIN[A-Z\x20]{0,30}PRIVATE\x20KEY-----[A-Za-z0-9+/=\s]*+(?:-----END[A-Z\x20]{0,30}PRIVATE\x20KEY-----)?"
+_SIGNED = r"eyJ[A-Za-z0-9_-]{8,}+\.[A-Za-z0-9_-]{8,}+\.[A-Za-z0-9_-]*+"
+_ISSUED = r"(?:gh[opsur]_|xox[abprs]-)[A-Za-z0-9-]{16,}+"
+
 _PATTERNS = {
     "email": r"(?:\G|(?<![A-Za-z0-9._%+-]))[A-Za-z0-9._%+-]++@[A-Za-z0-9-]++(?:\.[A-Za-z0-9-]++)++",
     "ip": r"(?:\G|(?<![0-9]))[0-9]++\.[0-9]++\.[0-9]++\.[0-9]++",
@@ -38,7 +44,7 @@ _PATTERNS = {
     "local_phone": r"(?<![0-9+.)-])(?<!\+[0-9]\x20)\(?[0-9]{3}\)?[\x20.-][0-9]{3}[.-][0-9]{4}(?![0-9-])",
     "ssn": r"(?<![0-9-])[0-9]{3}-[0-9]{2}-[0-9]{4}(?![0-9-])",
     "iban": r"(?<![A-Za-z0-9])[A-Z]{2}[0-9]{2}(?:\x20?[A-Z0-9]{4}){3,7}(?:\x20?[A-Z0-9]{1,3})?(?![A-Za-z0-9])",
-    "secret": r"(?<![A-Za-z0-9])(?:(?:password|passwd|pwd|secret|token|api_?key)[\x20]?[=:][\x20]?[^\s\"',;]{6,}+|AKIA[0-9A-Z]{16}(?![A-Za-z0-9])|[0-9a-f]{32,}+(?![A-Za-z0-9]))",
+    "secret": rf"(?<![A-Za-z0-9])(?:{_SECRET_NAME}[\"']?[\x20]?[=:][\x20]?[\"']?[^\s\"',;]{{6,}}+|AKIA[0-9A-Z]{{16}}(?![A-Za-z0-9])|[0-9a-f]{{32,}}+(?![A-Za-z0-9])|{_KEY_BLOCK}|{_SIGNED}|{_ISSUED})",
 }
 _STRICT = {
     "email": r"^[A-Za-z0-9][A-Za-z0-9._%+-]*@([A-Za-z0-9][A-Za-z0-9-]*\.)+[A-Za-z]{2,24}$",
@@ -48,7 +54,7 @@ _STRICT = {
     "local_phone": r"^(\([2-9][0-9]{2}\)\x20|[2-9][0-9]{2}[.-])[2-9][0-9]{2}[.-][0-9]{4}$",
     "ssn": r"^(?!000|666|9)[0-9]{3}-(?!00)[0-9]{2}-(?!0000)[0-9]{4}$",
     "iban": r"^[A-Z]{2}[0-9]{2}[A-Z0-9\x20]{11,38}$",
-    "secret": r"^AKIA|^[0-9a-f]{40}$|[=:]\x20?(?=.*[0-9])(?=.*[A-Za-z])",
+    "secret": r"^AKIA|^[0-9a-f]{40}$|^-----BEGIN|^eyJ|^gh[opsur]_|^xox[abprs]-|[=:]\x20?(?=.*[0-9])(?=.*[A-Za-z])",
 }
 # Gazetteers of endings and prefixes that real items of a kind have.
 _LISTED = {
@@ -59,7 +65,7 @@ _LISTED = {
     "local_phone": r"^\(?[2-9][0-8][0-9]",
     "ssn": r"^[0-8]",
     "iban": r"^(AT|BE|CH|CZ|DE|DK|ES|FI|FR|GB|GR|IE|IT|LU|NL|NO|PL|PT|SE)",
-    "secret": r"^(password|passwd|pwd|secret|token|api_?key|AKIA)|^[0-9a-f]{32}$|^[0-9a-f]{40}$|^[0-9a-f]{64}$",
+    "secret": rf"^({_SECRET_NAME}|AKIA|-----BEGIN|eyJ|gh[opsur]_|xox)|^[0-9a-f]{{32}}$|^[0-9a-f]{{40}}$|^[0-9a-f]{{64}}$",
 }
 _CUES = {
     "email": r"mail|contact|write to|courriel|correo|kontakt",
@@ -158,8 +164,8 @@ def found_spans(text: Column) -> Column:
     """Array of (kind, at, end, pattern) of base spans and candidates; the pattern starts with the kind."""
     empty = F.array().cast("array<struct<kind:int,at:bigint,end:bigint,pattern:string>>")
     digits = text.rlike("[0-9]")
-    # A secret needs no digit: a cue word with its sign, the start of a key, or a run of hex digits.
-    secret = text.rlike(r"(?:password|passwd|pwd|secret|token|api_?key)[\x20]?[=:]|AKIA|[0-9a-f]{32}")
+    # A secret needs no digit: a cue word with its sign, the start of a key or token, or a run of hex digits.
+    secret = text.rlike(rf"{_SECRET_NAME}[\"']?[\x20]?[=:]|AKIA|[0-9a-f]{{32}}|PRIVATE\x20KEY-----|eyJ|gh[opsur]_|xox[abprs]-")
     may = {"email": F.contains(text, F.lit("@")), "phone": digits & F.contains(text, F.lit("+")), "secret": secret}
     return F.concat(*[F.when(may.get(kind, digits), _spans_of(text, kind)).otherwise(empty) for kind in KINDS])
 

@@ -8,6 +8,10 @@ of a host's pages that rules allow or block, and restart with probability
 1 - damping. A host is blocked if its distrust exceeds its trust and is at least
 what a host gets whose pages are half blocked.
 
+Hosts without links to others pass nothing on: their rank leaves the walk, which
+lowers all ranks alike and so no comparison between trust and distrust of a host
+that both reach.
+
 Null urls and urls without `://` have an empty host and path; the empty host has
 no edges and no seeds. Pages without html have no links. Every row is judged,
 repeated ones alike. DataFrame functions only.
@@ -43,7 +47,8 @@ def path_of(url: Column) -> Column:
 def rule_of(host: Column, path: Column, rules=RULES) -> Column:
     """Struct (verdict, name) of the longest rule that fits, or null."""
     found = F.lit(None).cast("struct<verdict:string,name:string>")
-    for verdict, domain, start in sorted(rules, key=lambda r: len(r[1] + r[2])):
+    # The last one tried wins, so of equal ones the first comes last.
+    for verdict, domain, start in sorted(reversed(rules), key=lambda r: len(r[1] + r[2])):
         fits = ((host == domain) | host.endswith(f".{domain}")) & path.startswith(start)
         found = F.when(fits, F.struct(F.lit(verdict).alias("verdict"), F.lit(domain + start).alias("name"))).otherwise(found)
     return found
