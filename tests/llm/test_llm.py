@@ -394,13 +394,13 @@ def test_propagation_equals_matrix_iteration(spark):
 
 
 def test_toxicity(spark, odd):
-    sf = "/root/testdata/sf0.01"
+    sf = "/root/testdata/sf0.1"
     docs, labels = table(spark, sf, "documents"), table(spark, sf, "labels")
     network = toxicity.learned(docs, labels)
     rows = toxicity.toxicity(docs, labels, network).join(labels.select("doc_id", "toxic"), "doc_id").collect()
     hits, said, toxic = (sum(f(r) for r in rows if r.held_out) for f in (lambda r: r.predicted and r.toxic, lambda r: r.predicted, lambda r: r.toxic))
-    # A model that always says 0 finds nothing, one that always says 1 is mostly wrong.
-    assert toxic >= 5 and hits >= 0.8 * toxic and hits >= 0.8 * said
+    # A tenth of the labels is noise. A model that always says 0 finds nothing, one that always says 1 is mostly wrong.
+    assert toxic >= 20 and hits >= 0.8 * toxic and hits >= 0.9 * said
     assert all(r.predicted == (r.score >= 0.5) and r.held_out == (zlib.crc32(str(r.doc_id).encode()) % 5 == 0) for r in rows)
     assert toxicity.toxicity(odd, labels, network).count() == len(ODD)
     assert toxicity.harmless(odd, labels, network).columns == odd.columns
