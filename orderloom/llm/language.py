@@ -12,7 +12,7 @@ where nothing could be learned from. The prediction depends on the text alone:
 equal texts get equal results, null ids are neither learned from nor held out.
 """
 
-from collections.abc import Iterator
+from collections.abc import Iterable, Iterator
 
 import numpy as np
 import pandas as pd
@@ -43,6 +43,23 @@ def windows(texts: list[bytes]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     return x, np.repeat(np.arange(len(texts)), counts), (x != _PAD).sum(axis=1)
 
 
+def batches(texts: Iterable[bytes], size: int = BATCH) -> Iterator[tuple[list[int], list[bytes]]]:
+    """Texts cut at window ends into groups of at most `size` windows, with the number of each piece's text."""
+    owners, pieces, room = [], [], size
+    for k, text in enumerate(texts):
+        at = 0
+        while at < len(text):
+            pieces.append(text[at : at + room * STEPS])
+            owners.append(k)
+            at += len(pieces[-1])
+            room -= -(-len(pieces[-1]) // STEPS)
+            if not room:
+                yield owners, pieces
+                owners, pieces, room = [], [], size
+    if pieces:
+        yield owners, pieces
+
+
 def _sigmoid(x: np.ndarray) -> np.ndarray:
     return 1 / (1 + np.exp(-x))
 
@@ -130,16 +147,16 @@ class Network:
                     self.weights[name] -= slow * (first / (1 - 0.9**step)) / (np.sqrt(second / (1 - 0.99**step)) + 1e-8)
         return self
 
-    def pooled(self, texts: list[bytes]) -> np.ndarray:
-        """Mean probabilities over the bytes of each text (zeros for an empty one)."""
-        x, owner, sizes = windows(texts)
-        sums, total = np.zeros((len(texts), len(self.languages))), np.zeros(len(texts))
-        for at in range(0, len(x), BATCH):
-            part = np.ascontiguousarray(x[at : at + BATCH].T)
+    def pooled(self, texts: Iterable[bytes], count: int) -> np.ndarray:
+        """Mean probabilities over the bytes of each of `count` texts (zeros for an empty one)."""
+        sums, total = np.zeros((count, len(self.languages))), np.zeros(count)
+        for owners, pieces in batches(texts):
+            x, piece, sizes = windows(pieces)
+            part, owner = np.ascontiguousarray(x.T), np.array(owners)[piece]
             shares, _ = self.probabilities(part)
             shares *= (part != _PAD)[..., None]
-            np.add.at(sums, owner[at : at + BATCH], shares.sum(axis=0))
-        np.add.at(total, owner, sizes)
+            np.add.at(sums, owner, shares.sum(axis=0))
+            np.add.at(total, owner, sizes)
         return sums / np.maximum(total, 1)[:, None]
 
 
@@ -162,10 +179,8 @@ def predict(network: Network | None, texts: list[str | None]) -> list[tuple[str,
     if network is None:
         return out
     spoken = [k for k, text in enumerate(texts) if text and any(map(str.isalpha, text))]
-    for at in range(0, len(spoken), 256):
-        own = spoken[at : at + 256]
-        for k, shares in zip(own, network.pooled([texts[k].encode() for k in own])):
-            out[k] = (network.languages[int(shares.argmax())], min(1.0, float(shares.max())))
+    for k, shares in zip(spoken, network.pooled((texts[k].encode() for k in spoken), len(spoken))):
+        out[k] = (network.languages[int(shares.argmax())], min(1.0, float(shares.max())))
     return out
 
 

@@ -113,6 +113,35 @@ def test_token_counts(odd, docs, texts):
     small = tokens.TokenCounter(public_tokenizers.path(tokens.VOCABULARY), chunk=300, overlap=16)
     cases = [*list(texts.values())[:60], "a" * 2000 + " b c", "don't " * 300, "<|endoftext|> x" * 90, "é" * 900 + " \n" * 400]
     assert [small.count(t) for t in cases] == [length(t) for t in cases] and small.widened
+    assert all(len(w) <= tokens.MEMO_LENGTH for w in small.memo)
+
+
+def test_token_counts_without_blanks():
+    library = Tokenizer.from_file(public_tokenizers.path(tokens.VOCABULARY))
+    length = lambda t: len(library.encode(t, add_special_tokens=False).ids)
+    rng = np.random.default_rng(4)
+    han = "".join(chr(0x4E00 + k) + ("\u3002" if k % 16 == 0 else "") for k in rng.integers(0, 3000, 100_000))
+    counter = tokens.TokenCounter(public_tokenizers.path(tokens.VOCABULARY))
+    assert counter.count(han) == length(han) and not counter.widened
+    signs = ["a", "B", "e\u0301", "\u0301", "\u0130", "'", "'s", "'LL", "!", "\u3002", "\u754c", "\ud55c", "1", "\uff19", " ", "\n", "\u3000", "<|endoftext|>", "|>", "\u200d", "-"]
+    small = tokens.TokenCounter(public_tokenizers.path(tokens.VOCABULARY), chunk=60, overlap=8)
+    for size in rng.integers(30, 300, 1500):
+        text = "".join(rng.choice(signs, size))
+        assert small.count(text) == length(text), ascii(text)
+
+
+def test_language_batches():
+    texts = [b"x" * 300, b"", b"y" * 5, b"z" * 1000, b"w"]
+    groups = list(language.batches(texts, size=3))
+    assert all(sum(-(-len(p) // language.STEPS) for p in pieces) <= 3 for _, pieces in groups)
+    whole = [b""] * len(texts)
+    for owners, pieces in groups:
+        for k, piece in zip(owners, pieces):
+            whole[k] += piece
+    assert whole == texts
+    network = language.Network(["a", "b", "c"])
+    one_by_one = np.concatenate([network.pooled([t], 1) for t in texts])
+    assert np.allclose(network.pooled(iter(texts), len(texts)), one_by_one, atol=1e-6) and not one_by_one[1].any()
 
 
 def test_language_gradients_and_accuracy(spark, odd):
