@@ -1,5 +1,7 @@
 """Small helpers that several operators of this package share."""
 
+from collections.abc import Iterable, Iterator
+
 from pyspark.sql import Column, DataFrame, SparkSession, Window, functions as F
 
 from orderloom.sources.storage import work_folder
@@ -40,6 +42,19 @@ def hashed_sample(rows: DataFrame, label: str, per_label: int) -> list:
     return bounded.orderBy("_at", "doc_id", label).collect()
 
 
+def groups(texts: Iterable[str | None], rows: int, characters: int) -> Iterator[list[str | None]]:
+    """Consecutive texts in groups of at most `rows` and `characters`; a longer text is a group of its own."""
+    group, size = [], 0
+    for text in texts:
+        if group and (len(group) == rows or size + len(text or "") > characters):
+            yield group
+            group, size = [], 0
+        group.append(text)
+        size += len(text or "")
+    if group:
+        yield group
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 

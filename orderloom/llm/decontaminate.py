@@ -20,10 +20,11 @@ import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame, functions as F, types as T
 
-from orderloom.llm.common import FOLD, ascii_lower, words_of, written
+from orderloom.llm.common import FOLD, ascii_lower, groups, words_of, written
 
 WINDOW = 13
 BLOCK_ROWS = 250_000
+GROUP = 1 << 22
 
 _BREAKS = r"[\x00-\x2F\x3A-\x60\x7B-\x7F]+"
 _BASE = np.uint64(0x9E3779B97F4A7C15)
@@ -108,8 +109,7 @@ def _scanner(rows: list[tuple[str, str | None]]):
     def scan(batches: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
         windows = WindowSet(rows)
         for texts in batches:
-            texts = texts.tolist()
-            found = [r for i in range(0, len(texts), 256) for r in windows.scan(texts[i : i + 256])]
+            found = [r for group in groups(texts.tolist(), 256, GROUP) for r in windows.scan(group)]
             yield pd.DataFrame(found, columns=HITS.names)
 
     return scan

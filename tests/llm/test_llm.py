@@ -15,7 +15,7 @@ from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
 import corpus_pipeline
-from orderloom.llm import decontaminate, html, language, packing, pii, quality, simhash, tokens, toxicity, urls
+from orderloom.llm import common, decontaminate, html, language, packing, pii, quality, simhash, tokens, toxicity, urls
 from orderloom.llm.common import hashed_sample, table
 from orderloom.llm.queries import llm_oracles, llm_queries
 
@@ -130,6 +130,14 @@ def test_token_counts_without_blanks():
         assert small.count(text) == length(text), ascii(text)
 
 
+def test_groups_are_bounded():
+    texts = ["ab", None, "c" * 9, "", "de", "f", "g"]
+    found = list(common.groups(texts, 3, 4))
+    assert [t for g in found for t in g] == texts and ["c" * 9] in found
+    assert all(len(g) <= 3 and (len(g) == 1 or sum(len(t or "") for t in g) <= 4) for g in found)
+    assert list(common.groups([], 3, 4)) == []
+
+
 def test_language_batches():
     texts = [b"x" * 300, b"", b"y" * 5, b"z" * 1000, b"w"]
     groups = list(language.batches(texts, size=3))
