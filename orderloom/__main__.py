@@ -8,7 +8,7 @@ from orderloom.operators.load import compact_table
 from orderloom.plans import pipeline
 from orderloom.schemas import DIM_CATEGORY, DIM_CUSTOMER, DIM_DATE, DIM_PRODUCT, FACT_ORDERS, MART_QUARANTINE, STREAM_ORDERS
 from orderloom.sources import files, landing
-from orderloom.streaming import upsert
+from orderloom.streaming import daily, upsert
 from orderloom.streaming.load import stream_incremental_load, stream_rejects_load
 from orderloom.streaming.validate import stream_validate
 
@@ -58,6 +58,13 @@ def load_facts(spark, args):
     stream_incremental_load(landed, args.mart, args.checkpoint, trigger=EVERY_MINUTE).awaitTermination()
 
 
+def update_metrics(spark, args):
+    """Partial metrics at `partial`, kept up to date with landed fact files and the dimension table at `customers`."""
+    landed = files.stream_table(spark, args.landed, FACT_ORDERS, args.files_per_trigger, ("source", "source_day"))
+    customers = lambda: upsert.read_buckets(spark, args.customers, DIM_CUSTOMER)
+    daily.stream_daily_metrics(landed, customers, args.partial, args.checkpoint, EVERY_MINUTE).awaitTermination()
+
+
 def load_customers(spark, args):
     landed = files.stream_table(spark, args.landed, DIM_CUSTOMER, args.files_per_trigger, ("sent_at",))
     upsert.stream_customer_merge(landed, args.table, args.checkpoint, EVERY_MINUTE, args.buckets).awaitTermination()
@@ -103,6 +110,7 @@ def main() -> None:
         (validate_stream, ("events", "good", "bad", "deliveries", "checkpoint")),
         (stream_to_silver, ("events", "silver", "checkpoint")),
         (load_facts, ("landed", "mart", "checkpoint")),
+        (update_metrics, ("landed", "customers", "partial", "checkpoint")),
         (load_quarantine, ("landed", "mart", "deliveries", "checkpoint")),
     ):
         job(run, *names).add_argument("--files-per-trigger", type=int)

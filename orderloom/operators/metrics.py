@@ -66,6 +66,11 @@ def top_products_by_region(
     # Read twice below, so the lines are summed before.
     placed = version_in_force(kept(sold, "sold"), dim_customer, ["region"], reduced=True)
     by_id = placed.groupBy("region", "prod_id").agg(F.sum("revenue_usd").alias("revenue_usd"))
+    return ranked_products(by_id, dim_product, top, product_size)
+
+
+def ranked_products(by_id: DataFrame, dim_product: DataFrame, top: int = 3, product_size: int | None = None) -> DataFrame:
+    """The best products by name within each region, from one revenue per region and product id."""
     names = dim_product.select("prod_id", "prod_name")
     by_name = (
         lookup_join(by_id, names, ["prod_id"], "inner", size=product_size, reduced=True)

@@ -14,6 +14,7 @@ from orderloom.schemas import (
     DATASETS,
     DELIVERY,
     DIM_CUSTOMER,
+    FACT_ORDERS,
     MART_FACT,
     MART_QUARANTINE,
     RAW_ORDERS,
@@ -21,7 +22,7 @@ from orderloom.schemas import (
 )
 from orderloom.sources import bridge, files, landing
 from orderloom.sources.storage import kept, work_folder
-from orderloom.streaming import dedup, upsert, validate
+from orderloom.streaming import daily, dedup, upsert, validate
 from orderloom.streaming.load import stream_incremental_load as start_load, stream_rejects_load
 from orderloom.streaming.sink import SOURCE
 
@@ -355,6 +356,14 @@ METRICS = {
 }
 
 
+def _figures(name, metric):
+    """A metric as one row per figure."""
+    keys, numbers = METRICS[name]
+    pairs = [F.struct(F.lit(n).alias("figure"), F.col(n).cast("double").alias("value")) for n in numbers]
+    item = F.concat_ws("|", *[F.col(k).cast("string") for k in keys]) if keys else F.lit("")
+    return metric.select(F.lit(name).alias("metric"), item.alias("item"), F.inline(F.array(*pairs)))
+
+
 def metrics_from_gold(spark, sf_dir):
     """All six metrics as the metrics job finds them in the published serving tables, a row per figure."""
     root = work_folder(spark, "metrics_from_gold")
@@ -362,13 +371,43 @@ def metrics_from_gold(spark, sf_dir):
     pipeline.silver_to_gold(spark, f"{root}/silver", f"{root}/gold")
     pipeline.gold_metrics(spark, f"{root}/gold", f"{root}/metrics", BRIDGE_CATEGORY)
 
-    def figures(name):
-        keys, numbers = METRICS[name]
-        pairs = [F.struct(F.lit(n).alias("figure"), F.col(n).cast("double").alias("value")) for n in numbers]
-        item = F.concat_ws("|", *[F.col(k).cast("string") for k in keys]) if keys else F.lit("")
-        return files.scan_table(spark, f"{root}/metrics/{name}").select(F.lit(name).alias("metric"), item.alias("item"), F.inline(F.array(*pairs)))
+    return reduce(DataFrame.unionByName, [_figures(name, files.scan_table(spark, f"{root}/metrics/{name}")) for name in METRICS])
+
+
+def metrics_kept_daily(spark, sf_dir):
+    """Four metrics from partial results per day, after late lines, corrected customers and a second delivery.
 
-    return reduce(DataFrame.unionByName, map(figures, METRICS))
+    First come lines of early days, by versions of which the late ones lack and some
+    have another region; then no lines but the corrected versions; then the
+    other lines, late ones of early days among them; then all files again.
+    """
+    root = work_folder(spark, "metrics_kept_daily")
+    s = star(spark, sf_dir)
+    load.write_table(s.fact, f"{root}/lines")
+    lines = spark.read.schema(FACT_ORDERS).parquet(f"{root}/lines")
+    other = F.when(F.length("zip") == 5, F.concat("region", F.substring("zip", 5, 1))).otherwise(F.col("region"))
+    early = s.customers.filter(F.col("valid_from") < FIRST_LATE_DAY).withColumn("region", other)
+    former = kept(load.with_validity(early), "former")
+
+    def deliver(attempt, customers):
+        source = files.stream_table(spark, f"{root}/landed", FACT_ORDERS, origin=tuple(SOURCE))
+        daily.stream_daily_metrics(source, lambda: customers, f"{root}/partial", f"{root}/{attempt}").awaitTermination()
+
+    late = _late() | (F.col("prod_id") % 10 == 0)
+    lines.filter(~late).write.parquet(f"{root}/landed")
+    deliver("first", former)
+    daily.add_load(spark.createDataFrame([], MART_FACT), s.customers, f"{root}/partial", "correction")
+    lines.filter(late).write.mode("append").parquet(f"{root}/landed")
+    deliver("first", s.customers)
+    deliver("replay", s.customers)
+    partial = f"{root}/partial"
+    found = {
+        "dau_by_region": daily.dau_by_region(spark, partial),
+        "category_conversion": daily.category_conversion(spark, partial, BRIDGE_CATEGORY),
+        "top_products_by_region": daily.top_products_by_region(spark, partial, s.products, product_size=s.product_size),
+        "customer_lifetime_value": daily.customer_lifetime_value(spark, partial, s.customers, s.customer_size),
+    }
+    return reduce(DataFrame.unionByName, [_figures(name, metric) for name, metric in found.items()])
 
 
 def top_products_by_region(spark, sf_dir):
@@ -389,6 +428,7 @@ def all_queries() -> dict[str, Query]:
         "top_products_by_region": top_products_by_region,
         "customer_lifetime_value": on_star(lambda s: metrics.customer_lifetime_value(s.fact, s.customers, s.customer_size), *all_lookups),
         "metrics_from_gold": metrics_from_gold,
+        "metrics_kept_daily": metrics_kept_daily,
         "duplicate_orders": on_star(lambda s: orders.duplicate_orders(s.clean)),
         "dq_reason_counts": on_star(lambda s: orders.dq_reason_counts(s.quarantine)),
         "clean_orders": on_star(lambda s: s.clean),

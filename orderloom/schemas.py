@@ -14,6 +14,8 @@ _TYPES = {
     "amount": T.DecimalType(18, 2),
     "money": T.DecimalType(18, 4),
     "rate": T.DecimalType(18, 8),
+    "total": T.DecimalType(28, 4),
+    "units": T.DecimalType(28, 2),
 }
 
 
@@ -91,6 +93,17 @@ MART_QUARANTINE = _struct(
     "quantity string, order_date string, prod_id_text string"
 )
 
+# Partial results of the metrics: amounts of a day, and the versions they are credited by.
+DAY_ACTIVITY = _struct("cust_id string, order_day date, prod_id int, revenue_usd total, priced bigint, sold bigint")
+DAY_ORDERS = _struct(
+    "order_id string, cust_id string, root_category string, order_day date, is_revenue_status boolean, "
+    "revenue_usd total, quantity units"
+)
+DAY_CREDITS = _struct(
+    "order_day date, region string, prod_id int, revenue_usd total, priced bigint, sold bigint, users bigint"
+)
+VERSION_IN_USE = _struct("cust_id string, region string, valid_from date, valid_to date")
+
 # Rows of raw inputs that no table takes, or takes with nulls: where they came from and why.
 INPUT_REJECTS = _struct("dataset string, source string, reason string, record string, copies bigint")
 
