@@ -41,6 +41,18 @@ def write_table(
     return path
 
 
+def write_buckets(df: DataFrame, table: str, path: str, keys: list[str], buckets: int) -> DataFrame:
+    """Create or replace the catalog table `table`, kept at `path` in `buckets` by `keys`, and read it.
+
+    Grouping and joining by `keys` then needs no exchange. A bucket is read by one
+    task, so no value of `keys` may hold much of the table. Rows are gathered by
+    bucket first, else every task would write a file for each.
+    """
+    gathered = df.repartition(buckets, *keys)
+    gathered.write.mode("overwrite").bucketBy(buckets, *keys).sortBy(*keys).option("path", path).saveAsTable(table)
+    return df.sparkSession.table(table)
+
+
 def compact_table(
     spark: SparkSession, path: str, new_path: str, partition_by: str = "order_day"
 ) -> str:

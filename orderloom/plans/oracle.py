@@ -337,6 +337,7 @@ def all_oracles() -> dict[str, str]:
     return {
         "dau_by_region": _with(*_ORDERS, CUSTOMERS, select=_DAU),
         "category_conversion": _with(*_FACT, select=_CONVERSION),
+        "order_buckets": _with(*_FACT, select=_CONVERSION),
         "top_products_by_region": _with(*_ALL, select=_TOP),
         "customer_lifetime_value": _with(*_ALL, select=_LIFETIME),
         "metrics_from_gold": _with(*_ALL, select=_GOLD),

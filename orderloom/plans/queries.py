@@ -32,6 +32,8 @@ Query = Callable[[SparkSession, str], DataFrame]
 BRIDGE_CATEGORY = "ASIA"
 FIRST_LATE_DAY = "1999-01-01"
 GATE_LIMIT = 0.25
+# Buckets of the fact by order in `order_buckets`; raise them with the table.
+ORDER_BUCKETS = 32
 
 
 def star(spark: SparkSession, sf_dir: str) -> Star:
@@ -98,6 +100,14 @@ def write_table(spark, sf_dir):
     return files.scan_table(spark, path)
 
 
+def order_buckets(spark, sf_dir):
+    """Conversion from the fact in buckets by order, whose lines meet without an exchange."""
+    path = work_folder(spark, "order_buckets")
+    name = f"fact_by_order_{path.rsplit('-', 1)[1]}"
+    sold = load.write_buckets(star(spark, sf_dir).fact, name, path, ["order_id"], ORDER_BUCKETS)
+    return metrics.category_conversion(sold, BRIDGE_CATEGORY)
+
+
 def compact_table(spark, sf_dir):
     """Four small files for each order month rewritten as one."""
     root = work_folder(spark, "compact_table")
@@ -452,6 +462,7 @@ def all_queries() -> dict[str, Query]:
         "scan_rates": scan_rates,
         "scan_table": scan_table,
         "write_table": write_table,
+        "order_buckets": order_buckets,
         "compact_table": compact_table,
         "landing_scan": landing_scan,
         "landing_manifest": landing_manifest,

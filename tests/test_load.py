@@ -6,7 +6,7 @@ from collections import Counter
 import samples
 from pyspark.sql import functions as F
 
-from orderloom.operators import dims, load, orders
+from orderloom.operators import dims, load, metrics, orders
 from orderloom.schemas import DIM_CUSTOMER, MART_FACT, VERSION_KEY
 from orderloom.sources import files
 from orderloom.sources.storage import work_folder
@@ -101,3 +101,16 @@ def test_conform_by_name(spark):
     row = load.conform(spark.sql(f"select 1.00005D REVENUE_USD, {cells}"), MART_FACT)
     assert row.schema.names == MART_FACT.names
     assert str(row.first().revenue_usd) == "1.0001"
+
+
+def test_lines_in_buckets_by_order_meet_without_an_exchange(spark):
+    path = work_folder(spark, "test")
+    rows = spark.range(500).select(
+        F.concat(F.lit("A-"), F.col("id") % 40).alias("order_id"), F.lit("Sweet").alias("root_category"),
+        (F.col("id") % 3 == 0).alias("is_revenue_status"), F.col("id").cast("double").alias("revenue_usd"), F.lit(1.0).alias("quantity"),
+    )
+    table = load.write_buckets(rows, f"t_{path.rsplit('-', 1)[1]}", path, ["order_id"], 4)
+    found = metrics.category_conversion(table)
+    plan = found._jdf.queryExecution().executedPlan().toString()
+    assert "hashpartitioning" not in plan and "hashpartitioning" in metrics.category_conversion(rows)._jdf.queryExecution().executedPlan().toString()
+    assert found.collect() == metrics.category_conversion(rows).collect()
