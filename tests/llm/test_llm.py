@@ -444,6 +444,20 @@ def test_toxicity(spark, odd):
     assert {r.score for r in toxicity.toxicity(odd, labels.limit(0)).collect()} == {0.0}
 
 
+def test_toxicity_learns_from_all_labelled_texts(spark):
+    """A rare word in long texts decides, and every part of the rows is counted."""
+    filler = "plain words of no meaning " * 1000  # over 20,000 characters
+    rows = [(i, f"{filler} {'vile' if i % 50 == 0 else 'mild'} {i % 7}", "en", int(i % 50 == 0)) for i in range(1500)]
+    frame = spark.createDataFrame(rows, "doc_id long, text string, lang string, toxic int").cache()
+    network = toxicity.learned(frame.drop("toxic"), frame.select("doc_id", "toxic"), part=300)
+    found = toxicity.toxicity(frame.drop("toxic"), frame.select("doc_id", "toxic"), network).join(frame, "doc_id").collect()
+    assert len(found) == 1500 and all(r.predicted == r.toxic for r in found)
+    # Counts are those of one pass over all rows, however they are dealt.
+    one = spark.range(600).selectExpr("cast(id % 3 as int) AS part", "cast('w' AS binary) AS words", "cast(id % 2 as int) AS toxic", "0 AS language")
+    add = lambda _, own: np.array([len(list(own))], float)
+    assert toxicity._added(one.repartition(1).sortWithinPartitions("part"), add).tolist() == [600.0]
+
+
 def test_maxima_equal_a_loop():
     network, chance = toxicity.TextNetwork(["en"]), np.random.default_rng(3)
     network.words[:-1] = chance.normal(size=network.words[:-1].shape)  # the last row pads
