@@ -34,6 +34,8 @@ FIRST_LATE_DAY = "1999-01-01"
 GATE_LIMIT = 0.25
 # Buckets of the fact by order in `order_buckets`; raise them with the table.
 ORDER_BUCKETS = 32
+# Files of a month before a compaction, and months written by tasks of their own.
+SMALL_FILES, MONTHS_APART = 4, 96
 
 
 def star(spark: SparkSession, sf_dir: str) -> Star:
@@ -112,7 +114,11 @@ def compact_table(spark, sf_dir):
     """Four small files for each order month rewritten as one."""
     root = work_folder(spark, "compact_table")
     lines = star(spark, sf_dir).lines.withColumn("order_month", F.date_format("order_day", "yyyy-MM"))
-    lines.repartition(4, "order_id").write.partitionBy("order_month").parquet(f"{root}/small")
+    # A part of a month goes to a task of its own among many; parts of one month never meet in a task.
+    part = F.pmod(F.xxhash64("order_id"), F.lit(SMALL_FILES))
+    month = F.pmod(F.year("order_day") * 12 + F.month("order_day"), F.lit(MONTHS_APART))
+    dealt = lines.repartitionById(SMALL_FILES * MONTHS_APART, (month * SMALL_FILES + part).cast("int"))
+    dealt.write.partitionBy("order_month").parquet(f"{root}/small")
     load.compact_table(spark, f"{root}/small", f"{root}/compact", "order_month")
     return files.scan_table(spark, f"{root}/compact").drop("order_month")
 

@@ -1,5 +1,6 @@
 import datetime as dt
 import os
+import re
 
 from collections import Counter
 
@@ -7,6 +8,7 @@ import samples
 from pyspark.sql import functions as F
 
 from orderloom.operators import dims, load, metrics, orders
+from orderloom.plans import queries
 from orderloom.schemas import DIM_CUSTOMER, MART_FACT, VERSION_KEY
 from orderloom.sources import files
 from orderloom.sources.storage import work_folder
