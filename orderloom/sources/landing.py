@@ -80,7 +80,8 @@ def list_landed(spark: SparkSession, root: str) -> DataFrame:
     the last one. Hidden names are listed too, so that the manifest can tell of them.
     """
     root = root.rstrip("/")
-    level = spark.createDataFrame([(root, 0, True)], _ENTRY)
+    # One row needs one task, and no Python workers beside its own.
+    level = spark.createDataFrame([(root, 0, True)], _ENTRY).coalesce(1)
     for depth in range(5):
         level = level.mapInPandas(_list_step(to_the_end=depth == 4), _ENTRY)
         if depth in (2, 3):
