@@ -80,9 +80,7 @@ def dq_reason() -> Column:
 
 
 def order_date_text(ts: str) -> Column:
-    """A timestamp back in the raw text format, month and day unpadded."""
-    return F.regexp_replace(
-        F.col(ts).cast("string"),
-        r"^(\d{4})-0?(\d+)-0?(\d+) (\d\d:\d\d):.*$",
-        "$2/$3/$1 $4",
-    )
+    """A timestamp back in the raw text format, month and day unpadded; years of other than four digits stay as they are."""
+    text = F.col(ts).cast("string")
+    day = F.concat_ws("/", F.month(ts), F.dayofmonth(ts), F.substring(text, 1, 4))
+    return F.when(F.year(ts).between(0, 9999), F.concat(day, F.lit(" "), F.substring(text, 12, 5))).otherwise(text)

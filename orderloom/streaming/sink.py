@@ -98,8 +98,19 @@ def not_delivered(batch: DataFrame, deliveries: str, load: str) -> DataFrame:
     A file source hands a file over whole in one batch, so the file is the
     identity of its events: equal events stay, a replayed file goes. Only the
     records of the days these files were written on are read.
+
+    Every question to a batch computes all that the stream does before it, so its
+    files are found in one pass and kept; without any record none is needed.
     """
-    days = [r[0] for r in batch.select("source_day").distinct().collect()]
+    storage.make_directory(batch.sparkSession, deliveries)
+    if not any(n.startswith("source_day=") for n in storage.names(batch.sparkSession, deliveries)):
+        return batch
+    sent = storage.kept(batch.select(*SOURCE).distinct(), "sent_files")
+    days = [r[0] for r in sent.select("source_day").distinct().collect()]
     known = other_loads(read_folders(batch.sparkSession, deliveries, DELIVERY, "source_day", days), load)
-    replayed = known.select("source").join(batch.select("source").distinct(), "source", "left_semi").distinct()
-    return batch if replayed.isEmpty() else batch.join(replayed, "source", "left_anti")
+    replayed = known.select("source").join(sent.select("source"), "source", "left_semi").distinct()
+    if replayed.isEmpty():
+        return batch
+    # An empty batch is landed too, so that a retry leaves nothing of a former attempt.
+    fresh = sent.join(replayed, "source", "left_anti")
+    return batch.limit(0) if fresh.isEmpty() else batch.join(replayed, "source", "left_anti")

@@ -1,4 +1,5 @@
 import base64
+import datetime as dt
 import json
 import os
 import time
@@ -9,6 +10,7 @@ import samples
 from pyspark.sql import functions as F, types as T
 
 from orderloom import __main__
+from orderloom.functions import rules
 from orderloom.operators import dims, fact, orders
 from orderloom.operators.load import compact_table, conform
 from orderloom.plans.pipeline import unified_orders
@@ -237,3 +239,32 @@ def test_only_days_that_may_hold_a_key_are_read(spark):
     sink.land_once(again, f"{root}/t", "two-0", ["key"], "day")
     sink.land_once(days, f"{root}/t", "three-0", ["key"], "day")
     assert sorted(r.key for r in spark.read.parquet(f"{root}/t").collect()) == sorted(str(i) for i in range(1000))
+
+
+def test_a_batch_is_computed_once_for_its_files(spark):
+    """What a stream does before a batch runs for no question without a record, and once if all its files are known."""
+    root = work_folder(spark, "sent")
+    runs = spark.sparkContext.accumulator(0)
+
+    def counted(batches):
+        runs.add(1)
+        yield from batches
+
+    schema = "data string, source string, source_day date"
+    rows = spark.createDataFrame([("x", f, dt.date(2024, 1, 1)) for f in ("a", "a", "b")], schema).coalesce(1)
+    batch = rows.mapInPandas(counted, schema)
+    assert sink.not_delivered(batch, f"{root}/d", "one").count() == 3 and runs.value == 1
+    record = spark.createDataFrame([("a", 2, 0, dt.date(2024, 1, 1))], "source string, good long, bad long, source_day date")
+    sink.write_load(record, f"{root}/d", "one", "source_day")
+    assert [r.source for r in sink.not_delivered(batch, f"{root}/d", "two").collect()] == ["b"]
+    assert sink.not_delivered(batch, f"{root}/d", "one").count() == 3
+    sink.write_load(record.withColumn("source", F.lit("b")), f"{root}/d", "more", "source_day")
+    before = runs.value
+    assert sink.not_delivered(batch, f"{root}/d", "two").count() == 0 and runs.value == before + 1
+
+
+def test_order_date_text(spark):
+    rows = spark.sql("SELECT explode(array(timestamp_ntz'2024-01-05 09:05:07', timestamp_ntz'0031-12-25 23:59:00', timestamp_ntz'+12024-01-05 09:05:00', null)) AS ts")
+    old = F.regexp_replace(F.col("ts").cast("string"), r"^(\d{4})-0?(\d+)-0?(\d+) (\d\d:\d\d):.*$", "$2/$3/$1 $4")
+    found = rows.select(rules.order_date_text("ts").alias("new"), old.alias("old")).collect()
+    assert found[0].new == "1/5/2024 09:05" and all(r.new == r.old for r in found)
