@@ -13,6 +13,9 @@ EXPANSION = 8
 # A key with more rows than this is split into parts of about as many.
 HOT_ROWS = 1_000_000
 
+# Buckets of key hashes in which rows are counted before keys are.
+HASH_BUCKETS = 1 << 16
+
 
 def estimated_bytes(df: DataFrame) -> int:
     """Size in memory of a frame by the optimizer's estimate, without running anything.
@@ -31,10 +34,15 @@ def measured_bytes(df: DataFrame) -> int:
 def hot_keys(df: DataFrame, *keys: str, rows: int = HOT_ROWS) -> DataFrame:
     """Hash and number of parts of every key behind more than `rows` rows.
 
-    Counts over the key columns alone, combined before the shuffle. There are
-    at most total/`rows` such keys: a million, or 16 MB, for 10^12 rows.
+    Counts over the key columns alone: first of `HASH_BUCKETS` hash buckets, which are few
+    wherever the rows are, then of the keys in buckets with more than `rows` rows. If
+    there is no such bucket, the second pass does not run. There are
+    at most total/`rows` hot keys: a million, or 16 MB, for 10^12 rows.
     """
-    counts = df.groupBy(F.xxhash64(*keys).alias("_key")).agg(F.count(F.lit(1)).alias("n"))
+    bucket = F.pmod("_key", F.lit(HASH_BUCKETS))
+    hashed = df.select(F.xxhash64(*keys).alias("_key")).withColumn("_bucket", bucket)
+    crowded = hashed.groupBy("_bucket").agg(F.count(F.lit(1)).alias("n")).filter(F.col("n") > rows).select("_bucket")
+    counts = hashed.join(F.broadcast(crowded), "_bucket", "left_semi").groupBy("_key").agg(F.count(F.lit(1)).alias("n"))
     return counts.filter(F.col("n") > rows).select("_key", F.ceil(F.col("n") / rows).cast("int").alias("_parts"))
 
 

@@ -4,6 +4,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from orderloom.operators import joins
+from orderloom.plans.star import Raw, Star
 
 
 def _left(spark):
@@ -98,3 +99,12 @@ def test_versions_are_met_once_per_customer_and_day(spark):
     # The only customer becomes a constant; the join is on the day alone, without a range.
     joined = [line for line in placed._jdf.queryExecution().executedPlan().toString().splitlines() if "Join" in line]
     assert joined and all("order_day" in line and "<=" not in line and "valid_to" not in line for line in joined)
+
+
+def test_hot_products_come_from_written_lines(spark):
+    """Lines that are kept tell the hot products; the raw input is not made again."""
+    lines = spark.range(30).selectExpr("cast(if(id < 20, 1, id) as int) AS prod_id")
+    raw = Raw(orders=None, customers=None, products=None, categories=None, rates=None)
+    assert Star(raw, lines=lines).hot_products().collect() == []
+    found = joins.hot_keys(lines, "prod_id", rows=9).select("_parts").collect()
+    assert [r[0] for r in found] == [3]
