@@ -6,7 +6,10 @@ load adds to users and revenue of a day, region and product) and `versions`, the
 customer versions by which all credits so far were given. Where a version has
 been corrected, a load withdraws what its customers were credited under the old
 one and credits it under the new one. Facts that came before are not read again: of their
-activity only the days of the load and the customers of changed versions are.
+activity only the months of the load and the customers of changed versions are.
+
+Rows are per day, folders are not: activity has one per month and load, sorted by day, as
+parts of it are asked for; the rest is read whole and has one per load.
 
 Figures are fixed-point, so a withdrawal takes back exactly what was credited.
 Loads run one after another; a load that is run again replaces its own rows.
@@ -27,6 +30,9 @@ from orderloom.streaming.sink import SOURCE, not_delivered, other_loads, read_fo
 CUSTOMER_DAY = ["cust_id", "order_day"]
 CREDIT = ["order_day", "region", "prod_id"]
 AMOUNTS = ["revenue_usd", "priced", "sold", "users"]
+# The folder level of activity: the first day of the month.
+MONTH = "order_month"
+MONTH_ACTIVITY = T.StructType([*DAY_ACTIVITY.fields, T.StructField(MONTH, T.DateType())])
 
 
 def _table(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:
@@ -73,8 +79,9 @@ def _moved(activity: DataFrame, changed: DataFrame, old: DataFrame, new: DataFra
     first, last = changed.agg(F.min("first_day"), F.max("last_day")).first()
     if first is None:
         return None
-    # The span prunes the folders of days, the join the customers.
-    within = activity.filter(F.col("order_day").between(first, last)).join(changed, "cust_id")
+    # The span prunes the folders of months and the days within them, the join the customers.
+    months = F.col(MONTH).between(first.replace(day=1), last.replace(day=1))
+    within = activity.filter(months & F.col("order_day").between(first, last)).join(changed, "cust_id")
     asked = within.filter(F.col("order_day").between(F.col("first_day"), F.col("last_day"))).select(*DAY_ACTIVITY.names)
     of_changed = lambda versions: versions.join(changed.select("cust_id"), "cust_id", "left_semi")
     return _credits(asked, of_changed(old), -1).unionByName(_credits(asked, of_changed(new), 1))
@@ -83,8 +90,8 @@ def _moved(activity: DataFrame, changed: DataFrame, old: DataFrame, new: DataFra
 def add_load(fact: DataFrame, dim_customer: DataFrame, root: str, load: str) -> None:
     """Add fact rows, which no other load has, to the partial results at `root`, and correct these to `dim_customer`.
 
-    `fact` may be empty where only customers changed. The driver sees the days
-    of the load and the span of days of changed versions alone.
+    `fact` may be empty where only customers changed. The driver sees the months
+    of the load and the spans of its days and of those of changed versions alone.
     """
     spark = fact.sparkSession
     new = conform(dim_customer, VERSION_IN_USE)
@@ -96,20 +103,24 @@ def add_load(fact: DataFrame, dim_customer: DataFrame, root: str, load: str) ->
         storage.delete(spark, f"{root}/versions/{name}")
     old = spark.read.schema(VERSION_IN_USE).parquet(f"{root}/versions/{before[-1]}") if before else None
 
-    write_load(day_activity(fact), f"{root}/activity", load, "order_day")
-    write_load(day_orders(fact), f"{root}/orders", load, "order_day")
-    days = [r[0] for r in fact.select("order_day").distinct().collect()]
-    there = read_folders(spark, f"{root}/activity", DAY_ACTIVITY, "order_day", days)
+    month = F.trunc("order_day", "month").alias(MONTH)
+    write_load(day_activity(fact).select("*", month), f"{root}/activity", load, MONTH, "order_day")
+    write_table(day_orders(fact), f"{root}/orders/{LOAD}={load}")
+    spans = fact.groupBy(month).agg(F.min("order_day").alias("first"), F.max("order_day").alias("last")).collect()
+    there = read_folders(spark, f"{root}/activity", MONTH_ACTIVITY, MONTH, [r[0] for r in spans])
     own = there.filter(F.col(LOAD) == load).select(*DAY_ACTIVITY.names)
-    fresh = not_in(own.select(*CUSTOMER_DAY).distinct(), other_loads(there, load), CUSTOMER_DAY)
+    fresh, days = own.select(*CUSTOMER_DAY).distinct(), [d for r in spans for d in r[1:] if d is not None]
+    if days:
+        others = other_loads(there, load).filter(F.col("order_day").between(min(days), max(days)))
+        fresh = not_in(fresh, others, CUSTOMER_DAY)
     credits, moved = _credits(own, new, 1, fresh), None
     if old is not None:
         changed = storage.kept(changed_versions(old, new), "changed_versions")
-        moved = _moved(other_loads(_table(spark, f"{root}/activity", DAY_ACTIVITY), load), changed, old, new)
+        moved = _moved(other_loads(_table(spark, f"{root}/activity", MONTH_ACTIVITY), load), changed, old, new)
     if moved is not None:
         both = credits.unionByName(moved).groupBy(*CREDIT).agg(*[F.sum(c).alias(c) for c in AMOUNTS])
         credits = both.filter(" or ".join(f"{c} <> 0" for c in AMOUNTS))
-    write_table(conform(credits, DAY_CREDITS), f"{root}/credits/{LOAD}={load}", "order_day")
+    write_table(conform(credits, DAY_CREDITS), f"{root}/credits/{LOAD}={load}")
     if old is None or moved is not None:
         number = int(before[-1].split("-")[0]) + 1 if before else 1
         write_table(new, f"{root}/versions/{number:012d}-{load}")

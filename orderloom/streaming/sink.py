@@ -37,9 +37,9 @@ def read_folders(spark: SparkSession, path: str, schema: T.StructType, column: s
     return spark.read.schema(full).option("basePath", path).parquet(*found)
 
 
-def write_load(rows: DataFrame, path: str, load: str, column: str) -> None:
+def write_load(rows: DataFrame, path: str, load: str, column: str, *sort_by: str) -> None:
     """Rows of one load at `path`/<column>=.../load_id=<load>; a retry replaces its own folders only."""
-    write_table(rows.withColumn(LOAD, F.lit(load)), path, [column, LOAD], only_touched=True)
+    write_table(rows.withColumn(LOAD, F.lit(load)), path, [column, LOAD], sort_by, only_touched=True)
 
 
 def other_loads(rows: DataFrame, load: str) -> DataFrame:

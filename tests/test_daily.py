@@ -113,3 +113,18 @@ def test_only_customers_of_changed_versions_are_asked(spark):
     moved = spark.read.parquet(f"{ledger}/credits/load_id=b")
     # West is the region of C2, whose versions stayed.
     assert moved.filter(F.col("region") == "west").isEmpty() and not moved.isEmpty()
+
+
+def test_folders_follow_months_and_loads(spark):
+    root = work_folder(spark, "test")
+    versions = _versions(spark, EARLY)
+    # Days of two months, and lines without a day.
+    days = F.when(F.col("prod_id") == 1, F.date_add("order_day", 31)).when(F.col("prod_id") > 1, F.col("order_day"))
+    parts = [_fact(spark, 150, seed).withColumn("order_day", days) for seed in (11, 12)]
+    for load, part in zip("ab", parts):
+        daily.add_load(part, versions, root, load)
+    _same(spark, root, parts[0].unionByName(parts[1]), versions)
+    folders = lambda table: sorted(n for n in names(spark, f"{root}/{table}") if "=" in n)
+    assert folders("activity") == ["order_month=2024-01-01", "order_month=2024-02-01", "order_month=__HIVE_DEFAULT_PARTITION__"]
+    assert folders("orders") == folders("credits") == ["load_id=a", "load_id=b"]
+    assert not [n for n in names(spark, f"{root}/credits/load_id=a") if "=" in n]
