@@ -216,10 +216,12 @@ def _landed_files(spark, sf_dir):
     """The five raw inputs as landed files with faulty ones among them, read by their manifest."""
     bucket = work_folder(spark, "landed_files")
     root, raw = f"{bucket}/bronze/raw", bridge.BridgedRaw(spark, sf_dir)
-    pipeline.write_bronze(raw, root)
+    # Two sets of files hold the lines.
+    lines = kept(raw.orders, "lines")
+    pipeline.write_bronze(Raw(lines, raw.customers, raw.products, raw.categories, raw.rates), root)
     # Every second line would be a good one, of an order nobody placed.
     line = F.concat_ws(",", F.concat("order_id", F.lit("77")), "cust_id", "order_date", "prod_id", "quantity", "status")
-    raw.orders.select(F.concat(F.lit("no header\n"), line).alias("value")).write.text(f"{root}/orders/headless")
+    lines.select(F.concat(F.lit("no header\n"), line).alias("value")).write.text(f"{root}/orders/headless")
     pipeline.write_csv(raw.products.filter("prod_id % 17 = 0").withColumn("price", F.col("price") + 1), f"{root}/product/again")
     short = raw.products.filter("prod_id % 23 = 0").select(F.concat("prod_id", F.lit("x")).alias("prod_id"), "cat_id")
     pipeline.write_csv(short, f"{root}/product/short")
