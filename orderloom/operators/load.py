@@ -80,6 +80,18 @@ def not_in(delta: DataFrame, target: DataFrame, keys: list[str]) -> DataFrame:
     return delta.join(known, match, "left_anti")
 
 
+def one_new_per_key(delta: DataFrame, target: DataFrame, keys: list[str]) -> DataFrame:
+    """One row per key of `delta` that does not occur in `target`, the smallest by value, nulls matching nulls.
+
+    Both sides meet in one aggregate, so rows are shuffled once, copies collapsed before.
+    """
+    rest = [c for c in delta.columns if c not in keys]
+    rows = delta.select(*keys, F.struct(*rest or [F.lit(0).alias("_none")]).alias("_row"), F.lit(False).alias("_held"))
+    held = target.select(*keys, F.lit(None).cast(rows.schema["_row"].dataType).alias("_row"), F.lit(True).alias("_held"))
+    merged = rows.unionByName(held).groupBy(*keys).agg(F.min("_row").alias("_row"), F.max("_held").alias("_held"))
+    return merged.filter(~F.col("_held")).select(*[F.col(c) if c in keys else F.col(f"_row.{c}").alias(c) for c in delta.columns])
+
+
 def idempotent_append(delta: DataFrame, target: DataFrame, keys: list[str] = LINE_KEY) -> DataFrame:
     """Rows to append: one per new key of `delta`, so a second delivery adds nothing."""
     return not_in(one_per_key(delta, keys), target, keys)

@@ -5,7 +5,7 @@ import json
 from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 
 from orderloom.operators.joins import one_per_key
-from orderloom.operators.load import LOAD, not_in, write_table
+from orderloom.operators.load import LOAD, not_in, one_new_per_key, write_table
 from orderloom.schemas import DELIVERY
 from orderloom.sources import storage
 
@@ -51,44 +51,71 @@ def key_hashes(rows: DataFrame, keys: list[str], day: str, *also: str) -> DataFr
     return rows.select(*also, F.date_format(day, "yyyy-MM").alias("month"), F.xxhash64(*keys).alias("key_hash"))
 
 
+def write_hashes(hashes: DataFrame, path: str, load: str, replace: bool = False) -> None:
+    """Months and key hashes of one load beside the table at `path`, by month; `replace` drops those of other loads."""
+    rows = hashes.select("month", "key_hash").withColumn(LOAD, F.lit(load))
+    write_table(rows, f"{path}_keys", ["month", LOAD], only_touched=not replace)
+
+
 def write_keys(rows: DataFrame, path: str, load: str, keys: list[str], day: str, replace: bool = False) -> None:
-    """Key hashes of one load beside the table at `path`, by month; `replace` drops those of other loads."""
-    hashes = key_hashes(rows, keys, day).withColumn(LOAD, F.lit(load))
-    write_table(hashes, f"{path}_keys", ["month", LOAD], only_touched=not replace)
+    """Key hashes of the rows of one load beside the table at `path`."""
+    write_hashes(key_hashes(rows, keys, day), path, load, replace)
+
+
+def marked_hashes(batch: DataFrame, path: str, load: str, keys: list[str], day: str) -> DataFrame:
+    """Day, month and key hash of the rows of a batch, `held` where another load has recorded the hash and null elsewhere."""
+    own = key_hashes(batch, keys, day, day)
+    if not storage.exists(batch.sparkSession, f"{path}_keys"):
+        return own.withColumn("held", F.lit(None).cast("boolean"))
+    months = [r[0] for r in own.select("month").distinct().collect()]
+    schema = T.StructType([T.StructField("month", T.StringType()), T.StructField("key_hash", T.LongType())])
+    held = other_loads(read_folders(batch.sparkSession, f"{path}_keys", schema, "month", months), load)
+    return own.join(held.select("key_hash", F.lit(True).alias("held")), "key_hash", "left")
 
 
-def _known_days(batch: DataFrame, path: str, load: str, keys: list[str], day: str) -> list:
+def _known_days(batch: DataFrame, path: str, load: str, keys: list[str], day: str, marked: DataFrame | None = None) -> list:
     """Days of the batch on which another load may hold one of its keys.
 
     All days where the table has no key hashes. Equal hashes only ask for a
     closer look at the day; the list is bounded by the calendar.
     """
-    spark = batch.sparkSession
-    if not storage.exists(spark, f"{path}_keys"):
+    if not storage.exists(batch.sparkSession, f"{path}_keys"):
         return [r[0] for r in batch.select(day).distinct().collect()]
-    own = key_hashes(batch, keys, day, day)
-    months = [r[0] for r in own.select("month").distinct().collect()]
-    schema = T.StructType([T.StructField("month", T.StringType()), T.StructField("key_hash", T.LongType())])
-    held = other_loads(read_folders(spark, f"{path}_keys", schema, "month", months), load).select("key_hash").distinct()
-    return [r[0] for r in own.join(held, "key_hash", "left_semi").select(day).distinct().collect()]
+    marked = marked_hashes(batch, path, load, keys, day) if marked is None else marked
+    return [r[0] for r in marked.filter("held").select(day).distinct().collect()]
 
 
-def land_once(batch: DataFrame, path: str, load: str, keys: list[str], partition_by: str) -> None:
+def land_once(batch: DataFrame, path: str, load: str, keys: list[str], partition_by: str, unique: bool = False) -> None:
     """Write one row per key of a batch, without the keys that another load holds.
 
     A retried batch overwrites its own folders; a replay under a new checkpoint
-    has another load id and is caught by the anti join, as are keys that a
+    has another load id and is caught by the comparison of keys, as are keys that a
     compaction has moved. Hashes of the keys landed so far, kept by month
     beside the table, tell which of the batch's days may hold one of its keys;
-    only those days are read for the join. The hashes of a load are written before
-    its rows, so rows without a hash do not exist.
+    only those days are read for it. The hashes of a load are written before
+    its rows, so rows without a hash do not exist; a hash that another load has recorded
+    is not recorded again. `unique` says that the batch has no key twice.
+
+    Only the last step needs more of the batch than its keys and day, so a batch that is
+    read from files is better not cached.
     """
-    known = _known_days(batch, path, load, keys, partition_by)
-    fresh = one_per_key(batch, keys)
+    spark = batch.sparkSession
+    if not storage.exists(spark, path):
+        # No load has brought a row yet.
+        known, marked = [], marked_hashes(batch, path, load, keys, partition_by)
+        write_hashes(marked, path, load)
+    else:
+        marked = marked_hashes(batch, path, load, keys, partition_by).persist()
+        try:
+            known = _known_days(batch, path, load, keys, partition_by, marked)
+            write_hashes(marked.filter("held is null"), path, load)
+        finally:
+            marked.unpersist()
     if known:
-        target = read_folders(batch.sparkSession, path, batch.schema, partition_by, known)
-        fresh = not_in(fresh, other_loads(target, load), keys)
-    write_keys(batch, path, load, keys, partition_by)
+        target = other_loads(read_folders(spark, path, batch.schema, partition_by, known), load)
+        fresh = not_in(batch, target, keys) if unique else one_new_per_key(batch, target, keys)
+    else:
+        fresh = batch if unique else one_per_key(batch, keys)
     write_load(fresh, path, load, partition_by)
 
 

@@ -8,6 +8,7 @@ import samples
 from pyspark.sql import functions as F
 
 from orderloom.operators import dims, load, metrics, orders
+from orderloom.operators.joins import one_per_key
 from orderloom.plans import queries
 from orderloom.schemas import DIM_CUSTOMER, MART_FACT, VERSION_KEY
 from orderloom.sources import files
@@ -36,6 +37,18 @@ def _dim(spark):
     return dims.scd2_customer(samples.raw_customers(spark))
 
 
+def test_one_aggregate_finds_new_keys(spark):
+    """The same rows as one per key followed by an anti join, copies, nulls and NaN among the keys."""
+    nan = float("nan")
+    schema = "a string, b double, c int, d string"
+    delta = spark.createDataFrame([("x", 1.0, 2, "q"), ("x", 1.0, 1, "r"), (None, nan, 3, None), (None, nan, 3, "s"), ("y", None, 4, None), ("z", -0.0, 5, "t")], schema)
+    target = spark.createDataFrame([("x", 2.0, 0, ""), (None, nan, 0, ""), ("y", None, 0, None), ("y", None, 0, None)], schema)
+    for known in (target, target.limit(0), target.filter("a is null")):
+        expected = load.not_in(one_per_key(delta, ["a", "b"]), known, ["a", "b"])
+        assert Counter(map(str, load.one_new_per_key(delta, known, ["a", "b"]).collect())) == Counter(map(str, expected.collect()))
+    assert load.one_new_per_key(delta.select("a"), target.select("a"), ["a"]).collect() == [("z",)]
+
+
 def test_merge_twice_is_merge_once(spark):
     delta = _dim(spark)
     once = load.scd2_merge(spark.createDataFrame([], DIM_CUSTOMER), delta)

@@ -268,3 +268,17 @@ def test_order_date_text(spark):
     old = F.regexp_replace(F.col("ts").cast("string"), r"^(\d{4})-0?(\d+)-0?(\d+) (\d\d:\d\d):.*$", "$2/$3/$1 $4")
     found = rows.select(rules.order_date_text("ts").alias("new"), old.alias("old")).collect()
     assert found[0].new == "1/5/2024 09:05" and all(r.new == r.old for r in found)
+
+
+def test_a_replay_records_no_key_again(spark):
+    """Hashes that a load has recorded are not written by another; new keys beside them are, and once."""
+    root = work_folder(spark, "test")
+    days = spark.range(100).selectExpr("cast(id as string) key", "date_add(date'2024-01-01', cast(id % 50 as int)) day")
+    hashes = lambda: spark.read.parquet(f"{root}/t_keys")
+    sink.land_once(days.filter("key < '5'"), f"{root}/t", "one-0", ["key"], "day")
+    before = hashes().count()
+    sink.land_once(days.filter("key < '5'"), f"{root}/t", "two-0", ["key"], "day")
+    assert hashes().count() == before
+    sink.land_once(days, f"{root}/t", "three-0", ["key"], "day")
+    sink.land_once(days, f"{root}/t", "three-0", ["key"], "day")
+    assert hashes().count() == hashes().select("key_hash").distinct().count() == spark.read.parquet(f"{root}/t").count() == 100
