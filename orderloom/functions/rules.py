@@ -37,12 +37,14 @@ def normal_order_id(text) -> Column:
     """Letters, dash, number padded to three digits and never cut; null if malformed.
 
     Blanks around it are dropped first, and a digit is demanded before any zero
-    is added: `A-` has no number to pad.
+    is added: `A-` has no number to pad. A number of three digits or more that begins
+    with no zero stays as it is.
     """
     bare = strip(text)
+    normal = bare.rlike(r"^[A-Za-z]+-[1-9][0-9]{2,}$")
     widened = F.replace(bare, F.lit("-"), F.lit("-000"))
     padded = F.regexp_replace(widened, r"^([A-Za-z]+)-0*([0-9]{3,})$", "$1-$2")
-    return F.when(bare.rlike(r"^[A-Za-z]+-[0-9]+$"), padded)
+    return F.when(normal, bare).when(bare.rlike(r"^[A-Za-z]+-[0-9]+$"), padded)
 
 
 def order_timestamp(text: str) -> Column:

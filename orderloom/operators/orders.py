@@ -59,16 +59,20 @@ def quarantine_orders(raw: DataFrame) -> DataFrame:
     return rejected_lines(flagged_orders(raw))
 
 
+def checked_orders(raw: DataFrame) -> DataFrame:
+    """Flagged lines that keep their raw text only if they are rejected."""
+    rejected = F.col("dq_reason").isNotNull()
+    text = {c: F.when(rejected, F.col(c)) for c in ("order_id", "order_date", "prod_id", "quantity")}
+    return flagged_orders(raw).withColumns({**text, "rejected": rejected})
+
+
 def write_checked(raw: DataFrame, path: str) -> None:
     """Parse and flag raw lines once and keep them, good and rejected in folders of their own.
 
     Everything later reads this table, so raw text is parsed a single time.
     Good lines keep no raw text.
     """
-    rejected = F.col("dq_reason").isNotNull()
-    text = {c: F.when(rejected, F.col(c)) for c in ("order_id", "order_date", "prod_id", "quantity")}
-    flagged = flagged_orders(raw).withColumns({**text, "rejected": rejected})
-    flagged.write.mode("overwrite").partitionBy("rejected").parquet(path)
+    checked_orders(raw).write.mode("overwrite").partitionBy("rejected").parquet(path)
 
 
 def dedup_orders(clean: DataFrame) -> DataFrame:

@@ -5,6 +5,9 @@ lineage at durable storage, gives the optimizer true sizes for its join choice,
 and means a lost executor never costs more than the table in work.
 """
 
+from collections.abc import Callable
+from concurrent.futures import ThreadPoolExecutor
+
 from pyspark.sql import DataFrame, SparkSession, functions as F
 from pyspark.sql.streaming import StreamingQuery
 
@@ -76,6 +79,12 @@ def unified_orders(batch: DataFrame, stream: DataFrame) -> DataFrame:
     return batch.select(*RAW_ORDERS.names, *origin).unionByName(event_text(stream), allowMissingColumns=True)
 
 
+def at_once(*steps: Callable[[], object]) -> None:
+    """Run steps that need nothing of each other at the same time: each alone is a chain of jobs that leaves cores idle."""
+    with ThreadPoolExecutor(len(steps)) as pool:
+        list(pool.map(lambda step: step(), steps))
+
+
 # The load of the silver fact that a batch run writes; streamed slices add loads of their own.
 BATCH = "batch"
 
@@ -97,10 +106,20 @@ def bronze_to_silver(
     if reject_limit is not None:
         quality.enforce_gate(checked.select("dq_reason"), reject_limit)
 
-    write_table(dims.scd2_customer(raw.customers), at("dim_customer"))
-    write_table(dims.quarantine_customers(raw.customers), at("customer_quarantine"))
-    write_table(dims.category_rollup(raw.categories), at("dim_category"))
-    write_table(dims.dim_product(raw.products, read("dim_category")), at("dim_product"))
+    # Each is read by its table and by several rules of the rejects.
+    raw = Raw(raw.orders, kept(raw.customers, "customers"), raw.products, raw.categories, kept(raw.rates, "rates"))
+
+    def products() -> None:
+        write_table(dims.category_rollup(raw.categories), at("dim_category"))
+        write_table(dims.dim_product(raw.products, read("dim_category")), at("dim_product"))
+
+    at_once(
+        lambda: write_table(dims.scd2_customer(raw.customers), at("dim_customer")),
+        lambda: write_table(dims.quarantine_customers(raw.customers), at("customer_quarantine")),
+        products,
+        lambda: write_table(fx.daily_rates(raw.rates), at("fx_rates")),
+        lambda: write_table(rejects.input_rejects(raw), at("input_rejects"), "dataset"),
+    )
 
     clean = orders.good_lines(checked.filter("not rejected"))
     priced = fact.priced_orders(
@@ -109,13 +128,13 @@ def bronze_to_silver(
         size=joins.measured_bytes(read("dim_product")),
         hot=lambda: joins.hot_keys(clean, "prod_id"),
     )
-    write_table(fx.daily_rates(raw.rates), at("fx_rates"))
-    write_table(rejects.input_rejects(raw), at("input_rejects"), "dataset")
     sold = fact.fact_orders(priced, read("fx_rates")).withColumn(LOAD, F.lit(BATCH))
     write_table(sold, at("fact_orders"), ["order_day", LOAD], ("cust_id",))
-    write_keys(read("fact_orders"), at("fact_orders"), BATCH, LINE_KEY, "order_day", replace=True)
-    names = ["fact_orders", "orders_quarantine", "dim_customer", "customer_quarantine", "dim_category", "dim_product", "input_rejects"]
-    return quality.stage_counts({name: read(name) for name in names})
+    # Its folders, one for each day, are listed once.
+    written = read("fact_orders")
+    write_keys(written, at("fact_orders"), BATCH, LINE_KEY, "order_day", replace=True)
+    names = ["orders_quarantine", "dim_customer", "customer_quarantine", "dim_category", "dim_product", "input_rejects"]
+    return quality.stage_counts({"fact_orders": written} | {name: read(name) for name in names})
 
 
 def stream_to_silver(landed: DataFrame, silver: str, checkpoint: str, trigger: dict | None = None) -> StreamingQuery:
@@ -175,16 +194,14 @@ def gold_metrics(spark: SparkSession, gold: str, out: str, category: str = "Swee
     """
     read = lambda name: served(spark, gold, name)
     sold, customers, products = read("fact_orders"), read("dim_customer"), read("dim_product")
-    customer_size = joins.measured_bytes(customers)
     found = {
-        "dau_by_region": metrics.dau_by_region(sold, customers),
-        "category_conversion": metrics.category_conversion(sold, category),
-        "top_products_by_region": metrics.top_products_by_region(
+        "dau_by_region": lambda: metrics.dau_by_region(sold, customers),
+        "category_conversion": lambda: metrics.category_conversion(sold, category),
+        "top_products_by_region": lambda: metrics.top_products_by_region(
             sold, products, customers, product_size=joins.measured_bytes(products)
         ),
-        "customer_lifetime_value": metrics.customer_lifetime_value(sold, customers, customer_size),
-        "duplicate_orders": orders.duplicate_orders(sold),
-        "dq_reason_counts": orders.dq_reason_counts(read("orders_quarantine")),
+        "customer_lifetime_value": lambda: metrics.customer_lifetime_value(sold, customers, joins.measured_bytes(customers)),
+        "duplicate_orders": lambda: orders.duplicate_orders(sold),
+        "dq_reason_counts": lambda: orders.dq_reason_counts(read("orders_quarantine")),
     }
-    for name, metric in found.items():
-        write_table(metric, f"{out}/{name}")
+    at_once(*[lambda name=name, metric=metric: write_table(metric(), f"{out}/{name}") for name, metric in found.items()])

@@ -175,3 +175,19 @@ def test_streamed_slices_join_the_silver_fact_once(spark, tmp_path):
     pipeline.bronze_to_silver(spark, again, f"{root}/silver2")
     names = [c for c in after.columns if c != "load_id"]
     assert Counter(files.scan_table(spark, f"{root}/silver2/fact_orders").select(*names).collect()) == Counter(after.select(*names).collect())
+
+
+def test_raw_customers_are_computed_once(spark):
+    """The dimension, its quarantine and the rejects share one computation of what customers are read from."""
+    root = work_folder(spark, "test")
+    runs = spark.sparkContext.accumulator(0)
+
+    def counted(batches):
+        runs.add(1)
+        yield from batches
+
+    customers = samples.raw_customers(spark).coalesce(1)
+    customers = customers.mapInPandas(counted, customers.schema)
+    raw = Raw(samples.raw_orders(spark), customers, samples.raw_products(spark), samples.raw_categories(spark), samples.rates(spark).filter("fx_date is not null"))
+    pipeline.bronze_to_silver(spark, raw, f"{root}/silver")
+    assert runs.value == 1
