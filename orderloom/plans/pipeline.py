@@ -149,13 +149,20 @@ def stream_to_silver(landed: DataFrame, silver: str, checkpoint: str, trigger: d
     def add(batch: DataFrame, batch_id: int) -> None:
         spark = batch.sparkSession
         load = f"{stream_id(spark, checkpoint)}-{batch_id}"
-        flagged = orders.flagged_orders(event_text(batch)).persist()
+        flagged = orders.checked_orders(event_text(batch)).persist()
         try:
             products, rates = files.scan_table(spark, f"{silver}/dim_product"), files.scan_table(spark, f"{silver}/fx_rates")
-            lines = orders.dedup_orders(orders.good_lines(flagged))
-            priced = fact.priced_orders(lines, products, size=joins.measured_bytes(products))
+            clean = orders.good_lines(flagged)
+            # Counted once from cached lines; of the deduplicated ones each mention would be computed anew.
+            priced = fact.priced_orders(
+                orders.dedup_orders(clean),
+                products,
+                size=joins.measured_bytes(products),
+                hot=lambda: kept(joins.hot_keys(clean, "prod_id"), "hot_products"),
+            )
             write_load(orders.rejected_lines(flagged), f"{silver}/stream_quarantine", load, "dq_reason")
-            land_once(kept(fact.fact_orders(priced, rates), "slice"), f"{silver}/fact_orders", load, LINE_KEY, "order_day")
+            # Lines are one per key by now, and a line meets one product and one rate at most.
+            land_once(kept(fact.fact_orders(priced, rates), "slice"), f"{silver}/fact_orders", load, LINE_KEY, "order_day", unique=True)
         finally:
             flagged.unpersist()
 

@@ -191,3 +191,22 @@ def test_raw_customers_are_computed_once(spark):
     raw = Raw(samples.raw_orders(spark), customers, samples.raw_products(spark), samples.raw_categories(spark), samples.rates(spark).filter("fx_date is not null"))
     pipeline.bronze_to_silver(spark, raw, f"{root}/silver")
     assert runs.value == 1
+
+
+def test_hot_products_of_a_slice_are_counted_before_it_is_deduplicated(spark, monkeypatch):
+    """With products too many to broadcast, and to the same fact."""
+    root = work_folder(spark, "test")
+    raw = Raw(samples.raw_orders(spark), samples.raw_customers(spark), samples.raw_products(spark), samples.raw_categories(spark), samples.rates(spark).filter("fx_date is not null"))
+    new = [("A-901", "C1", "1/5/2024 9:05", 1, 2, "paid"), ("A-901", "C1", "1/5/2024 9:05", 1, 2, "paid"), ("A-902", "C2", "1/5/2024 9:05", 1, 2, "paid")]
+    spark.createDataFrame(new, STREAM_ORDERS).write.json(f"{root}/good")
+    facts, counted, hot_keys = [], [], pipeline.joins.hot_keys
+    for size in (0, 1 << 40):
+        pipeline.bronze_to_silver(spark, raw, f"{root}/silver{size}")
+        monkeypatch.setattr(pipeline.joins, "measured_bytes", lambda df, size=size: size)
+        monkeypatch.setattr(pipeline.joins, "hot_keys", lambda df, *keys, **options: counted.append(df) or hot_keys(df, *keys, **options))
+        landed = files.stream_table(spark, f"{root}/good", STREAM_ORDERS, format="json")
+        pipeline.stream_to_silver(landed, f"{root}/silver{size}", f"{root}/c{size}").awaitTermination()
+        monkeypatch.undo()
+        facts.append(Counter(files.scan_table(spark, f"{root}/silver{size}/fact_orders").drop("load_id").collect()))
+    assert facts[0] == facts[1] and [r.order_id for r in facts[0].elements()].count("A-901") == 1
+    assert counted and not any("Aggregate" in df._jdf.queryExecution().optimizedPlan().toString() for df in counted)
